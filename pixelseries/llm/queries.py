@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import exact_dedup as xd
 from . import quality_rules as qr
+from . import source_mix as sm
 from . import sql
 from .common import table
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = sm.by_position(sm.source_mix(table(spark, sf_dir, "documents")))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("position")
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = qr.quality_rules(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -16,13 +26,22 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return xd.exact_dedup(documents).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def queries() -> dict:
     return {
+        "op2_source_mix": op2_source_mix,
         "op5_quality_rules": op5_quality_rules,
+        "op8_exact_dedup": op8_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_source_mix": sql.op2(),
         "op5_quality_rules": sql.op5(),
+        "op8_exact_dedup": sql.op8(),
     }

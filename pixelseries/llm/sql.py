@@ -50,3 +50,52 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
        NOT base_failed AND {' AND '.join(ok)} AS kept
 FROM judged"""
+
+
+def op2() -> str:
+    turn = lambda place: f"{place} % 3"
+    return rf"""
+WITH sizes AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size FROM documents),
+stats AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS place
+  FROM sizes GROUP BY source),
+weighed AS (
+  SELECT *, (CASE {turn('place')} WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END)::DOUBLE AS weight,
+         (2 * source_size)::DOUBLE AS cap FROM stats),
+levels AS (
+  SELECT *, ((1.5::DOUBLE * sum(source_size) OVER ()::DOUBLE) - coalesce(sum(cap) OVER (ORDER BY cap / weight, place
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY cap / weight, place
+           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed),
+targets AS (
+  SELECT *, least(cap, coalesce(weight * min(CASE WHEN level <= cap / weight THEN level END) OVER (), cap)) AS target
+  FROM levels),
+streams AS (
+  SELECT doc_id, size, source_size, target, place, floor(target)::BIGINT AS wanted,
+         coalesce(sum(size) OVER (PARTITION BY place ORDER BY ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT,
+           doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source),
+taken AS (
+  SELECT *, greatest(0, least(size, wanted - start)) AS one, greatest(0, least(size, wanted - source_size - start)) AS two,
+         start / target AS share FROM streams)
+SELECT doc_id, size, source_size, target, (one + two)::BIGINT AS taken,
+       CASE WHEN one + two > 0 THEN CASE {turn('place')}
+         WHEN 0 THEN CASE WHEN share * 5 < 3.125 THEN (sqrt(56.25 - 10 * (share * 5)) - 7.5) / -5
+                     ELSE 0.5 + (sqrt(25 - 10 * (share * 5 - 3.125)) - 5) / -5 END
+         WHEN 1 THEN CASE WHEN share * 2 < 1 THEN share * 2 / 2 ELSE 0.5 + (share * 2 - 1) / 2 END
+         ELSE CASE WHEN share * 1 < 0.375 THEN (sqrt(0.25 + 2 * share) - 0.5) / 1
+              ELSE 0.5 + (sqrt(1 + 2 * (share - 0.375)) - 1) / 1 END END END AS position
+FROM taken"""
+
+
+def op8() -> str:
+    return r"""
+WITH named AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256
+  FROM documents),
+ranked AS (
+  SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST) AS keep_id,
+         count(*) OVER (PARTITION BY text_sha256) AS group_size
+  FROM named)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM ranked"""
