@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as xd
+from . import license_scan as ls
 from . import quality_rules as qr
 from . import source_mix as sm
 from . import sql
+from . import url_filter as uf
 from .common import table
 
 
@@ -26,6 +28,19 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ls.license_scan(documents).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return uf.url_filter(table(spark, sf_dir, "pages").select("page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict", "block_score"
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return xd.exact_dedup(documents).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -35,6 +50,8 @@ def queries() -> dict:
     return {
         "op2_source_mix": op2_source_mix,
         "op5_quality_rules": op5_quality_rules,
+        "op6_license_scan": op6_license_scan,
+        "op7_url_filter": op7_url_filter,
         "op8_exact_dedup": op8_exact_dedup,
     }
 
@@ -43,5 +60,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mix": sql.op2(),
         "op5_quality_rules": sql.op5(),
+        "op6_license_scan": sql.op6(),
         "op8_exact_dedup": sql.op8(),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import license_scan as ls
 from . import quality_rules as qr
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -99,3 +100,36 @@ ranked AS (
          count(*) OVER (PARTITION BY text_sha256) AS group_size
   FROM named)
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM ranked"""
+
+
+def op6() -> str:
+    split = lambda text: (
+        rf"list_filter(string_split_regex(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+        rf" '{ls.SEPARATORS}'), lambda x: x <> '')"
+    )
+    phrases = ", ".join(f"([{_quoted(p.split(' '))}], '{label}')" for p, label in ls.PHRASES)
+    templates = ", ".join(
+        f"({k}, '{label}', [{_quoted(ws)}], {ls.need(len(ws), ls.THRESHOLD)})"
+        for k, (label, ws) in enumerate(ls.template_sets())
+    )
+    return rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+split AS (SELECT rid, doc_id, {split('t')} AS w FROM docs),
+phrases(p, label) AS (VALUES {phrases}),
+places AS (
+  SELECT rid, label, i - 1 AS i FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM split), phrases
+  WHERE w[i] = p[1] AND w[i:i + len(p) - 1] = p),
+base AS (
+  SELECT rid, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list_distinct(list(label))) AS b
+  FROM places GROUP BY rid),
+templates(id, label, words, least) AS (VALUES {templates}),
+blocks AS (SELECT rid, {split('line')} AS w FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM docs)),
+matches AS (
+  SELECT rid, label, len(list_intersect(words, w)) / len(words) AS c FROM blocks, templates
+  WHERE len(list_intersect(words, w)) >= least),
+more AS (SELECT rid, list(DISTINCT label) AS m, max(c) AS best FROM matches GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, array_to_string(coalesce(b, []), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(b, []), coalesce(m, [])))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score
+FROM split LEFT JOIN base USING (rid) LEFT JOIN more USING (rid)"""
