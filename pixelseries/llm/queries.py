@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import exact_dedup as xd
 from . import license_scan as ls
+from . import near_dedup as nd
 from . import quality_rules as qr
 from . import source_mix as sm
 from . import sql
@@ -21,6 +22,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nd.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = qr.quality_rules(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -49,6 +54,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op2_source_mix": op2_source_mix,
+        "op4_simhash_near_dedup": op4_simhash_near_dedup,
         "op5_quality_rules": op5_quality_rules,
         "op6_license_scan": op6_license_scan,
         "op7_url_filter": op7_url_filter,
