@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe_words as bw
 from . import exact_dedup as xd
 from . import license_scan as ls
 from . import near_dedup as nd
@@ -22,6 +24,21 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_digests(coded: DataFrame) -> DataFrame:
+    """doc_id, n_tokens and the SHA-256 of the ids (decimal, joined by spaces) and of the decoded text."""
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op3_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return with_digests(bw.encode_decode(table(spark, sf_dir, "documents"), path))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nd.near_dedup(table(spark, sf_dir, "documents"))
 
@@ -54,6 +71,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op2_source_mix": op2_source_mix,
+        "op3_bpe_words": op3_bpe_words,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
         "op5_quality_rules": op5_quality_rules,
         "op6_license_scan": op6_license_scan,
