@@ -14,6 +14,7 @@ from . import quality_rules as qr
 from . import source_mix as sm
 from . import sql
 from . import url_filter as uf
+from . import warc
 from .common import table
 
 
@@ -68,6 +69,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xd.exact_dedup(documents).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def queries() -> dict:
     return {
         "op2_source_mix": op2_source_mix,
@@ -77,6 +82,7 @@ def queries() -> dict:
         "op6_license_scan": op6_license_scan,
         "op7_url_filter": op7_url_filter,
         "op8_exact_dedup": op8_exact_dedup,
+        "op10_warc": op10_warc,
     }
 
 
@@ -86,4 +92,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality_rules": sql.op5(),
         "op6_license_scan": sql.op6(),
         "op8_exact_dedup": sql.op8(),
+        "op10_warc": sql.op10(),
     }

@@ -133,3 +133,14 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
        array_to_string(list_sort(list_distinct(list_concat(coalesce(b, []), coalesce(m, [])))), ',') AS labels,
        CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score
 FROM split LEFT JOIN base USING (rid) LEFT JOIN more USING (rid)"""
+
+
+def op10() -> str:
+    return """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest AS payload_digest,
+       CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND payload_bytes >= 100"""
