@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from . import bpe_words as bw
 from . import exact_dedup as xd
+from . import language_id as li
 from . import license_scan as ls
 from . import near_dedup as nd
+from . import quality_model as qm
 from . import quality_rules as qr
 from . import source_mix as sm
 from . import sql
@@ -18,6 +20,12 @@ from . import warc
 from .common import table
 
 
+def op1_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return qm.quality_scores(documents, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = sm.by_position(sm.source_mix(table(spark, sf_dir, "documents")))
     return mixed.select(
@@ -69,12 +77,18 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xd.exact_dedup(documents).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return li.languages(documents).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def queries() -> dict:
     return {
+        "op1_quality_attention": op1_quality_attention,
         "op2_source_mix": op2_source_mix,
         "op3_bpe_words": op3_bpe_words,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
@@ -82,12 +96,14 @@ def queries() -> dict:
         "op6_license_scan": op6_license_scan,
         "op7_url_filter": op7_url_filter,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_language_id": op9_language_id,
         "op10_warc": op10_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_quality_attention": op1_quality_attention,
         "op2_source_mix": sql.op2(),
         "op5_quality_rules": sql.op5(),
         "op6_license_scan": sql.op6(),
