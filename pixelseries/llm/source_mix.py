@@ -20,6 +20,7 @@ rows count each time. A corpus without words gives targets of 0.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,7 +67,8 @@ def source_targets(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, m
     """One row per source: size, rows, place in the order, target.
 
     The fixed point of resharing is a common level v with target = min(weight * v, cap). With
-    sources ordered by cap / weight, those before the first that v leaves uncapped are capped.
+    sources ordered by cap / weight, those before the first that v leaves uncapped are capped;
+    capping more than those only lowers the level, so v is the largest level that fits.
     """
     weights = F.array(*[F.lit(integrals(s)[-1]) for s in schedules])
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
@@ -86,7 +88,7 @@ def source_targets(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, m
     ).over(after)
     stats = stats.withColumn("_level", level)
     uncapped = F.when(F.col("_level") <= F.col("_cap") / F.col("_weight"), F.col("_level"))
-    return stats.withColumn("_level", F.min(uncapped).over(everything)).select(
+    return stats.withColumn("_level", F.max(uncapped).over(everything)).select(
         "source",
         "source_size",
         "_docs",
@@ -126,17 +128,16 @@ def mix(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, max_epochs:
     rows = rows.withColumn("_upto", F.sum("size").over(inside)).join(offsets, ["_place", "_bucket"])
     start = F.col("_offset") + F.col("_upto") - F.col("size")
     wanted = F.floor(F.col("target")).cast("long")
-    passes = F.transform(
-        F.sequence(F.lit(0), F.lit(int(-(-max_epochs // 1)) - 1)),
-        lambda k: F.struct(
-            F.greatest(F.lit(0), F.least(F.col("size"), wanted - k * F.col("source_size") - F.col("_start"))).alias("words"),
-            F.try_divide((k * F.col("source_size") + F.col("_start")).cast("double"), F.col("target")).alias("share"),
-        ),
-    )
-    rows = rows.withColumn("_start", start).withColumn("_passes", F.filter(passes, lambda p: p["words"] > 0))
-    taken = F.aggregate("_passes", F.lit(0).cast("long"), lambda a, p: a + p["words"])
-    at = F.transform("_passes", lambda p: position(p["share"], F.col("_turn"), schedules))
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), at.alias("positions"))
+    rows = rows.withColumn("_start", start)
+    taken, at = F.lit(0).cast("long"), []
+    for k in range(ceil(max_epochs)):
+        begun = k * F.col("source_size") + F.col("_start")
+        part = F.greatest(F.lit(0), F.least(F.col("size"), wanted - begun))
+        share = F.try_divide(begun.cast("double"), F.col("target"))
+        taken = taken + part
+        at.append(F.when(part > 0, position(share, F.col("_turn"), schedules)))
+    positions = F.array_compact(F.array(*at)).alias("positions")
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), positions)
 
 
 def by_position(mixed: DataFrame) -> DataFrame:

@@ -69,7 +69,7 @@ levels AS (
            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM weighed),
 targets AS (
-  SELECT *, least(cap, coalesce(weight * min(CASE WHEN level <= cap / weight THEN level END) OVER (), cap)) AS target
+  SELECT *, least(cap, coalesce(weight * max(CASE WHEN level <= cap / weight THEN level END) OVER (), cap)) AS target
   FROM levels),
 streams AS (
   SELECT doc_id, size, source_size, target, place, floor(target)::BIGINT AS wanted,
