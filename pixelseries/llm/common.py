@@ -66,3 +66,8 @@ def words(text: Column) -> Column:
     """Maximal runs of characters other than ASCII white space; none for an empty text."""
     bare = F.btrim(text, F.lit(WS_CHARS))
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, WS_CLASS + "+"))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

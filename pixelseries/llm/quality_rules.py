@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CLASS, whole_text, words
+from .common import WS_CLASS, let, whole_text, words
 
 #: Common function words of the languages that the corpus holds (English, German, French, Spanish).
 STOP_WORDS = (
@@ -41,96 +41,111 @@ def _count(pattern: str, text: Column) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
-def repeat_words(df: DataFrame, word_col: str, out: str) -> DataFrame:
-    """Count the words that lie in a 3-word window found twice or more in the array ``word_col``.
+def repeat_words(w: Column) -> Column:
+    """Number of words of the array ``w`` that lie in a 3-word window found twice or more in it.
 
     Windows are compared by their 64-bit hash. Start positions of repeated windows, in order,
     each cover three words less the overlap with the next one.
     """
-    n = F.size(word_col)
-    at = lambda i: F.get(F.col(word_col), i)
-    none = F.array().cast("array<bigint>")
-    df = df.withColumn(
-        "_tri",
-        F.when(
-            n >= 3,
-            F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(at(i), at(i + 1), at(i + 2))),
-        ).otherwise(none),
-    )
-    repeated = F.size(F.array_distinct("_tri")) < F.size("_tri")
-    df = df.withColumn(
-        "_ord",
-        F.when(repeated, F.sort_array(F.transform("_tri", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))),
-    )
-    same = lambda x, k: F.coalesce(F.get(F.col("_ord"), k)["h"] == x["h"], F.lit(False))
-    df = df.withColumn(
-        "_pos",
-        F.sort_array(F.transform(F.filter("_ord", lambda x, k: same(x, k - 1) | same(x, k + 1)), lambda x: x["i"])),
-    )
-    gaps = F.transform("_pos", lambda p, k: F.least(F.lit(3), F.coalesce(F.get(F.col("_pos"), k + 1) - p, F.lit(3))))
-    covered = F.aggregate(gaps, F.lit(0).cast("long"), lambda a, g: a + g)
-    return df.withColumn(out, F.coalesce(covered, F.lit(0).cast("long"))).drop("_tri", "_ord", "_pos")
-
-
-def measure(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The columns ``keep`` of ``df`` with the counts and ratios that the rules use."""
-    text = F.col("_text")
-    df = df.select(*keep, whole_text(text_col).alias("_text"))
-    df = df.select(
-        *keep,
-        "_text",
-        words(text).alias("_w"),
-        F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"),
-    )
-    df = repeat_words(df, "_w", "n_repeat_words")
-    stop = F.size(F.filter("_w", lambda x: F.lower(x).isin(STOP_WORDS)))
-    df = df.select(
-        *keep,
-        "n_repeat_words",
-        F.size("_w").cast("long").alias("n_words"),
-        F.length(F.regexp_replace(text, WS_CLASS + "+", "")).cast("long").alias("word_chars"),
-        _count(r"[#*$%&|<>]+", text).alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        _count(r"[!?]+", text).alias("_marks"),
-        _count(r"\p{Lu}+", text).alias("_capitals"),
-        stop.alias("_stop"),
-        F.size(F.filter("_w", lambda x: x == "|")).alias("_pipes"),
-    )
-    n = F.col("n_words")
-    return df.select(
-        *keep,
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        _ratio(F.col("word_chars"), n).alias("mean_word_length"),
-        _ratio(F.col("n_symbols"), n).alias("symbols_per_word"),
-        _ratio(F.col("_marks"), n).alias("marks_per_word"),
-        _ratio(F.col("_pipes"), n).alias("pipe_word_ratio"),
-        _ratio(F.col("_capitals"), F.col("word_chars")).alias("capital_ratio"),
-        _ratio(F.col("_stop"), n).alias("stop_word_ratio"),
-        _ratio(F.col("n_dup_lines"), F.col("n_lines")).alias("dup_line_ratio"),
+    hashes = F.when(
+        F.size(w) >= 3,
+        F.transform(
+            F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+        ),
+    ).otherwise(F.array().cast("array<bigint>"))
+
+    def starts(ranked: Column) -> Column:
+        same = lambda x, k: F.coalesce(F.get(ranked, k)["h"] == x["h"], F.lit(False))
+        return F.sort_array(
+            F.transform(F.filter(ranked, lambda x, k: same(x, k - 1) | same(x, k + 1)), lambda x: x["i"])
+        )
+
+    def covered(at: Column) -> Column:
+        gaps = F.transform(at, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - p, F.lit(3))))
+        return F.aggregate(gaps, F.lit(0).cast("long"), lambda a, g: a + g)
+
+    def count(h: Column) -> Column:
+        ranked = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        some = let(ranked, lambda r: let(starts(r), covered))
+        return F.when(F.size(F.array_distinct(h)) < F.size(h), some).otherwise(F.lit(0).cast("long"))
+
+    return let(hashes, count)
+
+
+def counts(t: Column, w: Column, lines: Column) -> Column:
+    stop = F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))
+    return F.struct(
+        F.size(w).cast("long").alias("n_words"),
+        F.length(F.regexp_replace(t, WS_CLASS + "+", "")).cast("long").alias("word_chars"),
+        _count(r"[#*$%&|<>]+", t).alias("n_symbols"),
+        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+        repeat_words(w).alias("n_repeat_words"),
+        F.size(lines).cast("long").alias("n_lines"),
+        _count(r"[!?]+", t).alias("marks"),
+        _count(r"\p{Lu}+", t).alias("capitals"),
+        F.size(stop).cast("long").alias("stops"),
+        F.size(F.filter(w, lambda x: x == "|")).cast("long").alias("pipes"),
     )
 
 
-def broken(rule: tuple) -> Column:
+def ratios(c: Column) -> dict[str, Column]:
+    n = c["n_words"]
+    return {
+        "mean_word_length": _ratio(c["word_chars"], n),
+        "symbols_per_word": _ratio(c["n_symbols"], n),
+        "marks_per_word": _ratio(c["marks"], n),
+        "pipe_word_ratio": _ratio(c["pipes"], n),
+        "capital_ratio": _ratio(c["capitals"], c["word_chars"]),
+        "stop_word_ratio": _ratio(c["stops"], n),
+        "dup_line_ratio": _ratio(c["n_dup_lines"], c["n_lines"]),
+    }
+
+
+def broken(rule: tuple, r: Column) -> Column:
     name, least, most = rule
-    low = F.lit(False) if least is None else F.col(name) < least
-    high = F.lit(False) if most is None else F.col(name) > most
-    return low | high
-
-
-def judge(measured: DataFrame, thresholds=THRESHOLDS, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
-    """Add ``base_failed``, ``broken_rules`` (names, in table order) and ``kept``."""
-    n = F.col("n_words")
-    base = (n < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * n)
-    rules = F.filter(F.array(*[F.when(broken(r), F.lit(r[0])) for r in thresholds]), lambda x: x.isNotNull())
-    return measured.withColumns({"base_failed": base, "broken_rules": rules}).withColumn(
-        "kept", ~F.col("base_failed") & (F.size("broken_rules") == 0)
-    )
+    low = F.lit(False) if least is None else r[name] < least
+    high = F.lit(False) if most is None else r[name] > most
+    return F.when(low | high, F.lit(name))
+
+
+def verdict(text: Column, thresholds=THRESHOLDS, min_words: int = 50, max_repeat_percent: int = 50) -> Column:
+    """One struct of counts, ratios, ``base_failed``, ``broken_rules`` (names, in table order) and ``kept``.
+
+    It is a single expression whose parts are bound by ``let``, so a filter on a field of it
+    that is pushed below other projections still measures each text once.
+    """
+
+    def judged(c: Column, r: Column) -> Column:
+        n = c["n_words"]
+        base = (n < min_words) | (100 * c["n_repeat_words"] > max_repeat_percent * n)
+        rules = F.filter(F.array(*[broken(x, r) for x in thresholds]), lambda x: x.isNotNull())
+        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+        return let(
+            F.struct(base.alias("b"), rules.alias("r")),
+            lambda v: F.struct(
+                *[c[x].alias(x) for x in names],
+                *[r[x].alias(x) for x, _, _ in THRESHOLDS],
+                v["b"].alias("base_failed"),
+                v["r"].alias("broken_rules"),
+                (~v["b"] & (F.size(v["r"]) == 0)).alias("kept"),
+            ),
+        )
+
+    def of_counts(c: Column) -> Column:
+        return let(F.struct(*[x.alias(k) for k, x in ratios(c).items()]), lambda r: judged(c, r))
+
+    def of_text(t: Column) -> Column:
+        lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+        return let(words(t), lambda w: let(lines, lambda ls: let(counts(t, w, ls), of_counts)))
+
+    return let(text, of_text)
 
 
 def quality_rules(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), **limits) -> DataFrame:
-    return judge(measure(df, text_col, keep), **limits)
+    """The columns ``keep`` of ``df`` with the fields of ``verdict``."""
+    return df.select(*keep, verdict(whole_text(text_col), **limits).alias("_m")).select(*keep, "_m.*")
+
+
+def kept_documents(df: DataFrame, text_col: str = "text", **limits) -> DataFrame:
+    """The rows of ``df``, all columns, that no rule rejects."""
+    return df.filter(verdict(whole_text(text_col), **limits)["kept"])
