@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,6 +99,7 @@ def queries() -> dict:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_language_id": op9_language_id,
         "op10_warc": op10_warc,
+        "pipeline": corpus_pipeline.run,
     }
 
 
