@@ -56,6 +56,17 @@ def run_metrics(comp: DataFrame, names: list[str] | None = None) -> DataFrame:
     )
 
 
+def catalog_report(comp: DataFrame) -> DataFrame:
+    """The catalog with, per feature, the pixels it was computed for and those where it is present: one aggregate over all."""
+    wide = feature_table(comp)
+    features = [c for c in wide.columns if c not in PIXEL]
+    counts = wide.agg(F.count("*").alias("pixels"), *[F.count(c).alias(c) for c in features])
+    long = counts.unpivot(["pixels"], features, "feature", "present")
+    catalog = metric_catalog(comp.sparkSession).drop("description")
+    column = F.regexp_replace(F.concat_ws("__", "metric", "band"), "-", "_")
+    return catalog.withColumn("feature", column).join(long, "feature").drop("feature")
+
+
 def training_table(samples: DataFrame, features: DataFrame) -> DataFrame:
     """Every sample with its features; ``matched`` tells whether the pixel has any."""
     marked = features.withColumn("matched", F.lit(True))

@@ -148,16 +148,20 @@ UNION ALL SELECT product, 'h0' || tile[2:], day, stamp, {_PATH.format(p="product
 
 
 def _catalog_rows() -> str:
-    def rows(name: str, value: str, bands: list[str]) -> str:
-        return f"SELECT '{name}' AS metric, unnest([{', '.join(repr(b) for b in bands)}]) AS band"
+    """(metric, band, value) of all 263 features, counted."""
 
-    parts = [rows("unsorted_monthly", "", [f"{b}-p{k:02d}" for k in range(12) for b in B8])]
-    eight = ["band_min", "band_median", "band_max", "band_amplitude", "amp_greenest", "amp_warmest"]
-    eight += [f"{n}_{at}" for n in ("green", "temp") for at in ("max", "median", "min")]
-    eight += [f"{n}_{k}_mean" for n in ("greenest", "warmest") for k in (3, 6, 8)]
-    parts += [rows(n, "", B8) for n in eight] + [rows(f"lowest_{k}_mean", "", BANDS) for k in (3, 6, 8)]
-    parts += [rows(n, "", ["b31"]) for n in ("temp_mean_warmest3", "temp_mean_greenest3")]
-    return f"SELECT metric, band, metric || '-' || band AS layer FROM ({' UNION ALL '.join(parts)})"
+    def rows(name: str, value: str, where: str = IN8) -> str:
+        return f"SELECT '{name}' AS metric, band, value FROM ({_metric(value, where)})"
+
+    parts = [f"SELECT 'unsorted_monthly' AS metric, band || '-p' || lpad(period::VARCHAR, 2, '0') AS band, val AS value FROM ranked WHERE {IN8}"]
+    parts += [rows(n, *VALUES[n]) for n in VALUES if n != "lowest_3_mean"]
+    parts += [rows(n, *VALUES["band_amplitude"]) for n in ("amp_greenest", "amp_warmest")]
+    for k in (3, 6, 8):
+        parts += [rows(f"lowest_{k}_mean", _mean_of("own_up", k), IN7)]
+        parts += [rows(f"greenest_{k}_mean", _mean_of("g_down", k)), rows(f"warmest_{k}_mean", _mean_of("t_down", k))]
+    parts += [rows("temp_mean_greenest3", _mean_of("g_down", 3), "band = 'b31'")]
+    return f"""SELECT metric, band, metric || '-' || band AS layer, count(*) AS pixels, count(value) AS present
+               FROM ({' UNION ALL '.join(parts)}) GROUP BY metric, band"""
 
 
 def statements(slice_days: list[int], dump_day: int, dump_band: str, chosen: list[str]) -> dict[str, str]:
@@ -263,7 +267,7 @@ def statements(slice_days: list[int], dump_day: int, dump_band: str, chosen: lis
         ),
         "amp_greenest": with_(LONG, amp("g_up", "g_down")),
         "amp_warmest": with_(LONG, amp("t_up", "t_down")),
-        "metric_catalog": _catalog_rows(),
+        "metric_catalog": with_(LONG, _catalog_rows()),
         "run_metrics": with_(
             LONG, " UNION ALL ".join(f"SELECT {T}, '{n}' AS metric, band, value FROM ({_metric(*VALUES[n])})" for n in chosen)
         ),

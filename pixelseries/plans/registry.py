@@ -109,6 +109,10 @@ def write_mask(spark, sf):
     return spark.read.parquet(path).select(*PIXEL, "day", "mask")
 
 
+def ok():
+    return px.qa_ok(F.col("state"), F.col("zenith"))
+
+
 def long_of(value, name: str = "value"):
     """All bands of the filled observations, one row each, with a value from (band value, row)."""
 
@@ -159,7 +163,6 @@ def training_table(spark, sf):
 
 
 def queries() -> dict:
-    ok = px.qa_ok(F.col("state"), F.col("zenith"))
     found = {
         "granule_catalog": granule_catalog,
         "parse_tile_id": parse_tile_id,
@@ -179,8 +182,8 @@ def queries() -> dict:
         "normalize_nodata": lambda s, d: bd.normalized(obs(s, d)).select(*PIXEL, "day", *ad.ALL_BANDS, "zenith"),
         "zenith_clamp": long_of(lambda v: px.zenith_clamp(v, F.col("zenith"))),
         "qa_bits": lambda s, d: dg.qa_bits(obs(s, d)),
-        "qa_mask": on_obs(lambda o: o.select(*PIXEL, "day", ok.alias("ok"))),
-        "apply_qa": long_of(lambda v: px.apply_qa(v, ok)),
+        "qa_mask": on_obs(lambda o: o.select(*PIXEL, "day", ok().alias("ok"))),
+        "apply_qa": long_of(lambda v: px.apply_qa(v, ok())),
         "missing_to_null": missing_to_null,
         "ndvi": on_obs(lambda o: o.select(*PIXEL, "day", px.ndvi(F.col("b1"), F.col("b2")).alias("ndvi"))),
         "thermal_key": on_obs(lambda o: o.select(*PIXEL, "day", px.thermal_key(F.col("b31")).alias("therm"))),
@@ -197,7 +200,7 @@ def queries() -> dict:
         "temp_mean_greenest3": temp_mean_greenest3,
         "amp_greenest": amplitudes("green"),
         "amp_warmest": amplitudes("temp"),
-        "metric_catalog": lambda s, d: ft.metric_catalog(s).select("metric", "band", "layer"),
+        "metric_catalog": lambda s, d: ft.catalog_report(comp(s, d)),
         "run_metrics": lambda s, d: ft.run_metrics(comp(s, d), CHOSEN),
         "feature_table": lambda s, d: ft.feature_table(comp(s, d), CHOSEN),
         "training_table": training_table,
