@@ -161,9 +161,10 @@ def _joined(path: str, out_schema: pa.Schema):
             ids, decoded = [], []
             for text in rows["_text"].slice(at, OUT_ROWS).to_pylist():
                 found = text.split()
-                for w in set(found) - ids_of.keys():
-                    ids_of[w] = coded = b"".join([table[u] for u in units(w)])
-                    text_of[w] = " ".join([names[k] for k in np.frombuffer(coded, kind).tolist()])
+                for w in found:
+                    if w not in ids_of:
+                        ids_of[w] = coded = b"".join([table[u] for u in units(w)])
+                        text_of[w] = " ".join([names[k] for k in np.frombuffer(coded, kind).tolist()])
                 ids.append(np.frombuffer(b"".join([ids_of[w] for w in found]), kind).astype(np.int32))
                 decoded.append(" ".join([t for w in found if (t := text_of[w])]))
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
