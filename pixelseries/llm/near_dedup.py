@@ -21,14 +21,14 @@ from .common import staged, whole_text
 from .components import components
 
 
-@F.pandas_udf("long")
-def _fingerprints(texts: pd.Series) -> pd.Series:
-    return pd.Series(np.array([simhash.fingerprint(t) for t in texts], np.uint64).view(np.int64))
-
-
 def fingerprints(df: DataFrame, text_col: str = "text") -> DataFrame:
     """(doc_id, fp) of every row, written once: all later steps read only this."""
-    return staged(df.select("doc_id", _fingerprints(whole_text(text_col).cast("binary")).alias("fp")), "prints")
+
+    @F.pandas_udf("long")
+    def prints(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([simhash.fingerprint(t) for t in texts], np.uint64).view(np.int64))
+
+    return staged(df.select("doc_id", prints(whole_text(text_col).cast("binary")).alias("fp")), "prints")
 
 
 def _keyed(prints: DataFrame, near: bool, name: str) -> DataFrame:
