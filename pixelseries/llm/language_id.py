@@ -24,9 +24,9 @@ from . import bigru
 from .common import whole_text
 from .quality_model import fold
 
-#: At most about so many documents train the network, and so many bytes of each.
+#: At most about so many documents train the network, and so many windows of each, spread over its whole text.
 MAX_DOCS = 1200
-MAX_TRAIN_BYTES = 4096
+MAX_WINDOWS = 64
 #: Names of languages are collected and become the network's classes.
 MAX_LANGUAGES = 500
 
@@ -52,9 +52,16 @@ def training_sample(documents: DataFrame, folds: int, held: int, max_docs: int)
 
 def train(documents: DataFrame, folds: int = 4, held: int = 2, max_docs: int = MAX_DOCS) -> tuple[list[str], dict | None]:
     """The languages, in order, and the network (None if there are fewer than two)."""
+
+    def spread(batches):
+        for batch in batches:
+            cut = [bigru.windows(x) for x in batch["x"]]
+            picked = [c[np.unique(np.linspace(0, len(c) - 1, MAX_WINDOWS).astype(int))] for c in cut]
+            yield pd.DataFrame({"x": [p.tobytes() for p in picked], "lang": batch["lang"]})
+
     sample = training_sample(documents, folds, held, max_docs)
-    rows = sample.select(F.encode(F.substring(letters(whole_text()), 1, MAX_TRAIN_BYTES), "UTF-8").alias("x"), "lang").collect()
-    rows = sorted((r["lang"], bytes(r["x"])) for r in rows if r["x"])
+    sample = sample.select(F.encode(letters(whole_text()), "UTF-8").alias("x"), "lang").filter(F.octet_length("x") > 0)
+    rows = sorted((r["lang"], bytes(r["x"])) for r in sample.mapInPandas(spread, "x binary, lang string").collect())
     names = sorted({lang for lang, _ in rows})
     if len(names) < 2:
         return names, None
