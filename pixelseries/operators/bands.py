@@ -70,15 +70,20 @@ def dense_grid(obs: DataFrame) -> DataFrame:
     return grid.join(obs.drop("idx"), [*PIXEL, "day"], "left")
 
 
-def clean(obs: DataFrame, apply_qa: bool = True) -> DataFrame:
-    """The dense grid with each band filled, clamped and masked."""
+def cleaned_rows(obs: DataFrame, apply_qa: bool = True) -> DataFrame:
+    """Each observation with its bands filled, clamped and masked: row by row, no exchange."""
     ok = px.qa_ok(F.col("state"), F.col("zenith"))
 
     def value(band: str):
         read = px.zenith_clamp(F.col(band), F.col("zenith"))
         return px.apply_qa(read, ok) if apply_qa else read
 
-    return normalized(dense_grid(obs)).select(*PIXEL, "day", "idx", *[value(b).cast("int").alias(b) for b in ALL_BANDS])
+    return normalized(obs).select(*PIXEL, "day", "idx", *[value(b).cast("int").alias(b) for b in ALL_BANDS])
+
+
+def clean(obs: DataFrame, apply_qa: bool = True) -> DataFrame:
+    """The dense grid of cleaned observations."""
+    return cleaned_rows(dense_grid(obs), apply_qa)
 
 
 def write_bands(df: DataFrame, path: str) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pixelseries.functions import pixel as px
-from pixelseries.operators.bands import TILE_YEAR, tile_calendar
+from pixelseries.operators.bands import TILE_YEAR, cleaned_rows, tile_calendar
 from pixelseries.sources.adapter import ALL_BANDS, DATES, PIXEL
 
 
@@ -23,11 +23,20 @@ def period_map(dates: DataFrame, per_period: int = 2) -> DataFrame:
     return ranked.select(*TILE_YEAR, "day", "period", first.alias("first_day"))
 
 
-def composite_mean(cleaned: DataFrame, periods: DataFrame) -> DataFrame:
-    """Mean of the values that are there, per pixel, band and period; none gives null."""
-    joined = cleaned.join(periods, [*TILE_YEAR, "day"])
-    return joined.groupBy(*PIXEL, "period").agg(
-        F.min("first_day").alias("first_day"), *[F.avg(b).alias(b) for b in ALL_BANDS]
+def composite_mean(values: DataFrame, periods: DataFrame) -> DataFrame:
+    """Mean of the values that are there, per pixel, band and period; none gives null.
+
+    ``values`` may lack dates: a row without values for every pixel and period stands in for them, so every
+    pixel of a complete tile-year gets all its periods without a join of the observations to a dense grid.
+    """
+    spans = periods.groupBy(*TILE_YEAR, "period").agg(F.min("first_day").alias("first_day"))
+    rows = values.join(periods, [*TILE_YEAR, "day"]).select(*PIXEL, "period", "first_day", *ALL_BANDS)
+    empty = values.select(*PIXEL).distinct().join(spans, TILE_YEAR)
+    empty = empty.select(*PIXEL, "period", "first_day", *[F.lit(None).cast("int").alias(b) for b in ALL_BANDS])
+    return (
+        rows.unionByName(empty)
+        .groupBy(*PIXEL, "period")
+        .agg(F.min("first_day").alias("first_day"), *[F.avg(b).alias(b) for b in ALL_BANDS])
     )
 
 
@@ -40,5 +49,6 @@ def with_index(composites: DataFrame, ndvi_missing: str = "zero", as_int16: bool
     )
 
 
-def composites(obs: DataFrame, cleaned: DataFrame, per_period: int = 2) -> DataFrame:
-    return with_index(composite_mean(cleaned, period_map(tile_calendar(obs), per_period)))
+def composites(obs: DataFrame, per_period: int = 2, apply_qa: bool = True) -> DataFrame:
+    """Observations to composites with their index: one exchange of partial means, and one of distinct pixels."""
+    return with_index(composite_mean(cleaned_rows(obs, apply_qa), period_map(tile_calendar(obs), per_period)))

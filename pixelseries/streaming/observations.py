@@ -3,23 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pixelseries.functions import pixel as px
-from pixelseries.operators.bands import normalized
-from pixelseries.sources.adapter import ALL_BANDS, PIXEL
+from pixelseries.operators.bands import cleaned_rows
 
 
 def clean_stream(obs: DataFrame, apply_qa: bool = True) -> DataFrame:
     """Fill, clamp and mask each observation of a stream (or of a table)."""
-    ok = px.qa_ok(F.col("state"), F.col("zenith"))
-
-    def value(band: str):
-        read = px.zenith_clamp(F.col(band), F.col("zenith"))
-        return px.apply_qa(read, ok) if apply_qa else read
-
-    return normalized(obs).select(*PIXEL, "day", "idx", *[value(b).alias(b) for b in ALL_BANDS])
+    return cleaned_rows(obs, apply_qa)
 
 
 def write_clean_stream(obs: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -75,7 +75,7 @@ def test_latest_pairs_missing_and_incomplete(spark):
 
 def test_composites_pair_dates_and_end_alone(spark):
     obs = season(spark)
-    comp = cp.composites(obs, bd.clean(obs)).filter("pixel = 1").orderBy("period").collect()
+    comp = cp.composites(obs).filter("pixel = 1").orderBy("period").collect()
     assert len(comp) == 12
     assert comp[0]["b1"] == 100.5 and comp[7]["b1"] == 114.5 and comp[11]["b1"] == 122.0
     assert cp.period_map(bd.tile_calendar(obs), 1).filter("period = 22").count() == 1
@@ -84,7 +84,7 @@ def test_composites_pair_dates_and_end_alone(spark):
 def test_missing_values_by_metric(spark):
     bad = lambda i: 1 if i in (0, 1) else 0
     obs = season(spark, state=bad, skip=(2,))
-    comp = cp.composites(obs, bd.clean(obs))
+    comp = cp.composites(obs)
     at = lambda name: mt.metric_long(comp, name).filter("pixel = 1 AND band = 'b1'").first()["value"]
     assert comp.filter("pixel = 1").count() == 12 and comp.filter("pixel = 1 AND b1 IS NULL").count() == 1
     assert at("band_min") == 103.0
@@ -96,14 +96,14 @@ def test_missing_values_by_metric(spark):
 
 def test_ties_take_the_last_for_max_and_the_first_for_min(spark):
     obs = season(spark, value=lambda i, b: 1000 + i if b == 5 else (200 if b == 2 else 100))
-    comp = cp.composites(obs, bd.clean(obs))
+    comp = cp.composites(obs)
     at = lambda name: mt.metric_long(comp, name).filter("pixel = 1 AND band = 'b5'").first()["value"]
     assert at("green_max") == 1022.0 and at("green_min") == 1000.5 and at("green_median") == 1012.5
 
 
 def test_bounds_between_metrics(spark):
     obs = season(spark, value=lambda i, b: (i * 37 + b * 11) % 500)
-    wide = ft.feature_table(cp.composites(obs, bd.clean(obs)))
+    wide = ft.feature_table(cp.composites(obs))
     assert len([c for c in wide.columns if c not in PIXEL]) == 263 == ft.metric_catalog(spark).count()
     for row in wide.collect():
         for b in BANDS:
