@@ -1,10 +1,10 @@
 """BPE encoding and decoding over a distinct-word table.
 
 Tokens never cross white space, so a text's ids are its words' ids in order. Documents are
-cut into blocks of bounded size; each block names its distinct words once. All blocks'
-words are shuffled and sorted by word, and the tokenizer encodes each distinct word of the
-corpus once. Ids go back to the blocks that asked, where they are joined to the word
-positions of each document. Decoding looks each id up in the id-to-piece table, which has
+cut into blocks of bounded size; each block names its distinct words once, dealt to buckets
+by the hash of the word. A bucket gathers the words of all blocks, and the tokenizer encodes
+each distinct word of the corpus once. Ids go back to the blocks that asked, in the order
+of the words, and are joined to the word positions of each document. Decoding looks each id up in the id-to-piece table, which has
 the vocabulary's fixed size and so may sit in every task; ``decode_ids`` is the same join
 for any table of ids.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import os
 import re
+import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -41,6 +42,8 @@ from .common import whole_text
 
 #: Bytes of text in a block, about; what a Python worker holds grows with this alone.
 BLOCK_BYTES = 32_000_000
+#: Buckets of the distinct-word table; a worker holds the distinct words of one at a time.
+BUCKETS = 4096
 #: Texts in each batch that a worker hands back.
 OUT_ROWS = 500
 #: Printable ASCII and the letters of Latin-1: composed, so normalisation leaves all but case alone.
@@ -108,16 +111,24 @@ def blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int,
         yield cut()
 
 
+def buckets(rows: pa.Table) -> dict[int, list[str]]:
+    """The distinct units of a block, in order of appearance, dealt to buckets by their hash."""
+    seen: dict[bytes, None] = {}
+    for text in rows["_text"].to_pylist():
+        seen.update(dict.fromkeys(text.split()))
+    dealt: dict[int, list[str]] = {}
+    for unit in dict.fromkeys(u for w in seen for u in units(w)):
+        dealt.setdefault(zlib.crc32(unit.encode()) % BUCKETS, []).append(unit)
+    return dealt
+
+
 def _named_words(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, rows in blocks(batches, most):
-            seen: set[bytes] = set()
-            for text in rows["_text"].to_pylist():
-                seen.update(text.split())
-            found = list({u for w in seen for u in units(w)})
-            for at in range(0, len(found), 50_000):
-                part = found[at : at + 50_000]
-                yield pa.record_batch({"word": pa.array(part, pa.string()), "block": pa.array([name] * len(part), pa.int64())})
+            dealt = buckets(rows)
+            if dealt:
+                columns = [pa.array(dealt, pa.int32()), pa.array([name] * len(dealt), pa.int64())]
+                yield pa.record_batch([*columns, pa.array(dealt.values(), pa.list_(pa.string()))], ["bucket", "block", "words"])
 
     return run
 
@@ -135,24 +146,43 @@ def _packed(most: int):
 
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by word: each run of one word is encoded once, across batches too."""
-        made, kind, last, ids = tokenizer(path), id_type(path), None, b""
+        """Rows come sorted by bucket, and a word has one bucket: what it holds is kept until the next bucket begins."""
+        made, kind, last = tokenizer(path), id_type(path), None
+        known: dict[str, bytes] = {}
         for batch in batches:
-            words = batch["word"].to_pylist()
-            fresh = [w for w, before in zip(words, [last, *words]) if w != before]
-            coded = iter(made.encode_batch(fresh, add_special_tokens=False))
+            rows = list(zip(batch["bucket"].to_pylist(), batch["words"].to_pylist()))
+            fresh = list(dict.fromkeys(w for _, words in rows for w in words if w not in known))
+            coded = made.encode_batch(fresh, add_special_tokens=False)
+            known.update((w, np.array(c.ids, kind).tobytes()) for w, c in zip(fresh, coded))
             out = []
-            for w in words:
-                if w != last:
-                    last, ids = w, np.array(next(coded).ids, kind).tobytes()
-                out.append(ids)
-            yield pa.record_batch({"block": batch["block"], "word": batch["word"], "data": pa.array(out, pa.binary())})
+            for _, words in rows:
+                ids = [known[w] for w in words]
+                out.append(np.array([len(x) for x in ids], "<u4").tobytes() + b"".join(ids))
+            if rows:
+                last = rows[-1][0]
+                known = {w: known[w] for bucket, words in rows if bucket == last for w in words} | (
+                    known if all(bucket == last for bucket, _ in rows) else {}
+                )
+            yield pa.record_batch({"block": batch["block"], "bucket": batch["bucket"], "data": pa.array(out, pa.binary())})
 
     return run
 
 
+def ids_by_unit(rows: pa.Table, answers: dict[int, bytes]) -> dict[str, bytes]:
+    """Ids of each unit of a block, from the answers of its buckets: lengths in bytes, then the ids."""
+    table: dict[str, bytes] = {}
+    for bucket, named in buckets(rows).items():
+        data = answers[bucket]
+        at = 4 * len(named)
+        for unit, size in zip(named, np.frombuffer(data[:at], "<u4").tolist(), strict=True):
+            table[unit] = data[at : at + size]
+            at += size
+    return table
+
+
 def _joined(path: str, out_schema: pa.Schema):
-    def texts(table: dict[str, bytes], rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    def texts(answers: dict[int, bytes], rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        table = ids_by_unit(rows, answers)
         kind, names = id_type(path), pieces(path)
         ids_of: dict[bytes, bytes] = {}
         text_of: dict[bytes, str] = {}
@@ -176,16 +206,16 @@ def _joined(path: str, out_schema: pa.Schema):
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out_schema)], schema=out_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by block, the words of a block before its texts."""
-        block, table = None, {}
+        """Rows come sorted by block, the answers of its buckets before its texts."""
+        block, answers = None, {}
         for batch in batches:
-            for name, kind, word, data in zip(*(batch[c].to_pylist() for c in ("block", "kind", "word", "data"))):
+            for name, bucket, data in zip(*(batch[c].to_pylist() for c in ("block", "bucket", "data"))):
                 if name != block:
-                    block, table = name, {}
-                if kind == 0:
-                    table[word] = data
+                    block, answers = name, {}
+                if bucket < BUCKETS:
+                    answers[bucket] = data
                 else:
-                    yield from texts(table, pa.ipc.open_stream(data).read_all())
+                    yield from texts(answers, pa.ipc.open_stream(data).read_all())
 
     return run
 
@@ -195,12 +225,12 @@ def encode_decode(
 ) -> DataFrame:
     """The columns ``keep`` of each row with ``ids`` (array of int) and ``decoded`` (those ids as text)."""
     rows = df.select(*keep, whole_text(text_col).cast("binary").alias("_text"))
-    words = rows.mapInArrow(_named_words(block_bytes), "word string, block long")
-    coded = words.repartition("word").sortWithinPartitions("word")
-    coded = coded.mapInArrow(_encoded(path), "block long, word string, data binary").withColumn("kind", F.lit(0))
+    words = rows.mapInArrow(_named_words(block_bytes), "bucket int, block long, words array<string>")
+    coded = words.repartition("bucket").sortWithinPartitions("bucket")
+    coded = coded.mapInArrow(_encoded(path), "block long, bucket int, data binary")
     texts = rows.mapInArrow(_packed(block_bytes), "block long, data binary")
-    texts = texts.select("block", F.lit(None).cast("string").alias("word"), "data", F.lit(1).alias("kind"))
-    met = coded.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
+    texts = texts.select("block", F.lit(BUCKETS).alias("bucket"), "data")
+    met = coded.unionByName(texts).repartition("block").sortWithinPartitions("block", "bucket")
     schema = T.StructType(
         [df.schema[c] for c in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
     )
