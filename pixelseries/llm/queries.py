@@ -105,7 +105,6 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_quality_attention": op1_quality_attention,
         "op2_source_mix": sql.op2(),
         "op5_quality_rules": sql.op5(),
         "op6_license_scan": sql.op6(),
