@@ -54,7 +54,7 @@ def position(share: Column, turn: Column, schedules: Sequence[Sequence[float]])
                 t = (F.sqrt(F.greatest(F.lit(a * a) + 2 * slope * rest, F.lit(0.0))) - a) / slope
             else:
                 t = rest / a if a else F.lit(0.0)
-            at = F.when(asked < done[j + 1], j * step + t).otherwise(at)
+            at = F.when(asked < done[j + 1], j * step + t if j else t).otherwise(at)
         out = F.when(turn == k, at).otherwise(out)
     return out
 
