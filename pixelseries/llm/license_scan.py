@@ -1,8 +1,11 @@
 """License scan: exact phrases, and an exact set-similarity join with license templates.
 
-Words are runs of digits, letters a-z (A-Z lower-cased) and non-ASCII characters. A text
-block is a line. A block matches a template when it holds at least ``threshold`` of the
-template's distinct words. The join is exact: template words are ordered by how many
+Words are runs of digits, letters a-z (A-Z lower-cased) and non-ASCII characters. Text
+blocks are the lines, and windows of the words of the whole text that no line break ends:
+with L the words of the longest template, window k holds the 2 L words from word k L on, so
+that every run of L + 1 words lies in a window however it is wrapped. A block matches a
+template when it holds at least ``threshold`` of the template's distinct words. The join is
+exact: template words are ordered by how many
 documents of the corpus hold them, rarest first; a block that matches must hold one of the
 first |T| - need + 1 words of the template (prefix filter), at least ``need`` template words
 at all (length filter), and enough words must follow on both sides of the shared one
@@ -44,6 +47,18 @@ TEMPLATES = (
     ("cc-by", "This work is licensed under a Creative Commons Attribution International License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
 )
+#: (label, notice): later parts of the same notices, for texts that hold only those. The SQL twin does not know them.
+LATER_PARTS = (
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
+    ("mit", "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    ("apache-2", "you may not use this file except in compliance with the License"),
+    ("apache-2", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS"),
+    ("gpl", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"),
+    ("gpl", "You should have received a copy of the GNU General Public License along with this program"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer"),
+    ("mpl", "If a copy of the MPL was not distributed with this file, You can obtain one at"),
+)
 THRESHOLD = 0.9
 #: The templates' distinct words are collected with their counts, so there may be only so many.
 MAX_TEMPLATE_WORDS = 10_000
@@ -53,12 +68,16 @@ def license_words(text: Column) -> Column:
     return F.filter(F.split(ascii_lower(text), SEPARATORS), lambda x: x != "")
 
 
-def template_sets(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
-    """(label, distinct words) of each template, split as texts are."""
+def split_words(text: str) -> list[str]:
+    """The words of ``text``, as ``license_words`` splits them."""
     fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     keep = lambda c: c if c.isascii() and (c.isdigit() or c.islower()) or not c.isascii() else " "
-    sets = [(label, list(dict.fromkeys("".join(map(keep, text.translate(fold))).split(" ")))) for label, text in templates]
-    return [(label, [w for w in words if w]) for label, words in sets]
+    return [w for w in "".join(map(keep, text.translate(fold))).split(" ") if w]
+
+
+def template_sets(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
+    """(label, distinct words) of each template, split as texts are."""
+    return [(label, list(dict.fromkeys(split_words(text)))) for label, text in templates]
 
 
 def need(size: int, threshold: float) -> int:
@@ -105,7 +124,15 @@ def word_order(df: DataFrame, vocabulary: list[str], text_col: str = "text") ->
     return sorted(vocabulary, key=lambda w: (seen.get(w, 0), w))
 
 
-def template_matches(df: DataFrame, text_col: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def blocks(text: str, words: str, order: list[str], longest: int) -> Column:
+    """Words of ``order`` in each line, then in each window, of a text with at least one word."""
+    lines = F.transform(F.split(text, "\n"), lambda line: F.array_intersect(F.lit(order), license_words(line)))
+    starts = F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0)), F.lit(longest))
+    windows = F.transform(starts, lambda k: F.array_intersect(F.lit(order), F.slice(words, k + 1, 2 * longest)))
+    return F.concat(lines, windows)
+
+
+def template_matches(df: DataFrame, text_col: str = "text", templates=TEMPLATES + LATER_PARTS, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, _text_key, block, label, template, containment) of every block and template that match."""
     spark = df.sparkSession
     sets = template_sets(templates)
@@ -119,16 +146,19 @@ def template_matches(df: DataFrame, text_col: str = "text", templates=TEMPLATES,
     index = spark.createDataFrame(
         rows, "word string, template int, label string, i int, t_size int, least int, t_words array<string>"
     )
-    lines = df.select(
+    firsts = sorted({r[0] for r in rows})
+    longest = max(len(split_words(text)) for _, text in templates)
+    # A block that matches holds a prefix word, so its text does.
+    texts = df.select(
         "doc_id",
         F.xxhash64(whole_text(text_col)).alias("_text_key"),
-        F.posexplode(F.split(whole_text(text_col), "\n")).alias("block", "_line"),
-    )
-    held = lines.select(
-        "doc_id", "_text_key", "block", F.array_intersect(F.lit(order), license_words(F.col("_line"))).alias("_held")
+        whole_text(text_col).alias("_text"),
+        license_words(whole_text(text_col)).alias("_words"),
+    ).filter(F.arrays_overlap("_words", F.lit(firsts)))
+    held = texts.select(
+        "doc_id", "_text_key", F.posexplode(blocks("_text", "_words", order, longest)).alias("block", "_held")
     )
     held = held.filter(F.size("_held") >= min(r[5] for r in rows))
-    firsts = sorted({r[0] for r in rows})
     probes = held.select(
         "doc_id",
         "_text_key",
@@ -150,7 +180,7 @@ def template_matches(df: DataFrame, text_col: str = "text", templates=TEMPLATES,
     )
 
 
-def license_scan(df: DataFrame, text_col: str = "text", phrases=PHRASES, templates=TEMPLATES, threshold=THRESHOLD) -> DataFrame:
+def license_scan(df: DataFrame, text_col: str = "text", phrases=PHRASES, templates=TEMPLATES + LATER_PARTS, threshold=THRESHOLD) -> DataFrame:
     """All rows and columns of ``df`` with counts, places, ``base_labels``, ``labels`` and ``score``.
 
     ``score`` is 1 where a phrase stands, else the best containment of a template that matched, else 0.

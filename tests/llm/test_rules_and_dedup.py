@@ -158,6 +158,41 @@ def test_license_scan(spark):
     assert ls.license_scan(docs(spark, [])).count() == 0
 
 
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published"
+
+
+def test_license_notices_in_any_wrapping(spark):
+    """Notices are found wherever their lines break, wherever they stand, and by their later parts."""
+    lay = lambda text, n: "\n * ".join(" ".join(text.split()[k : k + n]) for k in range(0, len(text.split()), n))
+    rows, want = [], {}
+    for label, notice in (("mit", MIT), ("bsd", BSD), ("gpl", GPL)):
+        for n in (1, 3, 5, 8, 10):
+            for ahead in (0, 7, 23, 40):
+                want[len(rows)] = label
+                rows.append((len(rows), "zzz " * ahead + "\n" + lay(notice, n) + "\n" + "yyy " * 30))
+    for label, text in ls.LATER_PARTS:
+        want[len(rows)] = label
+        rows.append((len(rows), "Our notes.\n" + lay(text, 6)))
+    rows += [(k, lay("zzz " * 60 + GPL[:30] + "yyy " * 60 + GPL[45:75], 9)) for k in (500, None)]
+    got = {r["doc_id"]: r for r in ls.license_scan(docs(spark, rows)).collect()}
+    assert {k: got[k]["labels"] for k in want} == want
+    assert got[500]["labels"] == got[None]["labels"] == "" and got[500]["score"] == 0
+    assert all(got[k]["base_labels"] == "" and got[k]["score"] >= ls.THRESHOLD for k in want)
+    found = ls.template_matches(docs(spark, rows)).groupBy("doc_id", "template").count().collect()
+    longest = max(len(ls.split_words(t)) for _, t in ls.TEMPLATES + ls.LATER_PARTS)
+    sets, plain = ls.template_sets(ls.TEMPLATES + ls.LATER_PARTS), {}
+    for doc_id, text in rows:
+        w = ls.split_words(text.replace("\n", " "))
+        held = [set(ls.split_words(x)) for x in text.split("\n")] + [set(w[k : k + 2 * longest]) for k in range(0, len(w), longest)]
+        for k, (_, ws) in enumerate(sets):
+            n = sum(len(h & set(ws)) >= ls.need(len(ws), ls.THRESHOLD) for h in held)
+            plain |= {(doc_id, k): n} if n else {}
+    # A block is found once for each prefix word it holds.
+    assert {(r["doc_id"], r["template"]) for r in found} == set(plain)
+
+
 URLS = [None, "", "no scheme", "http://", "http://Org/x", "https://a.Example.ORG/en/17?x=1#f", "http://example.org", "http://x.com/fr/a?b#c", "http://x.com/de/1", "http://notorg/", "a://b?c/d", "a://b#c://d", "x://h\n/p", "http://com/fr/"]
 
 
