@@ -6,9 +6,10 @@
 4. source mix: documents leave, stay or repeat as the mix takes them, in training order;
 5. BPE: each row that is left becomes its token ids and their digests.
 
-Stages 1 to 4 return the columns of ``documents``. A null ``doc_id`` never names a group:
-such rows stay unless an equal text stays instead. A document whose words the mix takes
-only in part is kept whole.
+Stages 1 to 4 return the columns of ``documents``, and decide row by row: rows that share a
+``doc_id`` or have none get verdicts of their own, by a key of the rows of a stage's
+input. A null ``doc_id`` comes after all others: such a row stays unless an equal text or a
+near copy stays instead. A document whose words the mix takes only in part is kept whole.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelseries.llm import bpe_words, exact_dedup, near_dedup, quality_rules, source_mix
-from pixelseries.llm.common import new_path, table
+from pixelseries.llm.common import ROW, keyed, new_path, table
 
 #: XXH64 fingerprints and BPE have no SQL form, so the pipeline as a whole has none.
 ORACLE_SQL = None
@@ -29,20 +30,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(docs).filter("kept").select(*docs.columns)
+    return exact_dedup.one_per_text(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_dedup.near_dedup(docs)
-    gone = found.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return near_dedup.one_per_component(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = source_mix.source_mix(docs)
-    takes = mixed.select(F.col("doc_id").alias("_id"), F.explode("positions").alias("_at")).distinct()
-    placed = docs.join(takes, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return placed.orderBy("_at", "doc_id").select(*docs.columns)
+    rows = keyed(docs, "rows")
+    mixed = source_mix.source_mix(rows.withColumn("_tie", F.xxhash64(*docs.columns)), carry=("_tie", ROW))
+    takes = mixed.select(ROW, "_tie", F.explode("positions").alias("_at"))
+    return rows.join(takes, ROW).orderBy("_at", "doc_id", "_tie").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

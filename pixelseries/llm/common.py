@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: The key of a row, for tables whose ids can be null or repeat.
+ROW = "_row_key"
+
+
+def keyed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a key of each row on which all later reads agree.
+
+    Rows of a plain Parquet scan have their file and place in it; all others are written once with a number.
+    """
+    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            return df.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias(ROW))
+        except AnalysisException:
+            pass  # no Parquet
+    return staged(df.withColumn(ROW, F.struct(F.monotonically_increasing_id().alias("row_index"))), name)
+
+
 def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows; else leave the join to a shuffle."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -13,24 +13,27 @@ aggregation and join on the digest.
 Odd rows: a null text counts as empty, and all empty texts are one group. Rows that repeat
 a ``doc_id`` with an equal text are one document and get the same verdict. Other columns
 pass through; columns named like a result are replaced. An empty table gives no rows.
+``one_per_text`` goes by rows in place of ids: of rows that tie for a group, one stays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CLASS, staged, whole_text
+from .common import ROW, WS_CLASS, keyed, staged, whole_text
 
 VERDICT = ("keep_id", "group_size", "kept")
 
 
+def digest(text_col: str = "text") -> Column:
+    return F.sha2(F.regexp_replace(whole_text(text_col), WS_CLASS + "+", "").cast("binary"), 256)
+
+
 def with_digest(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Add ``text_sha256`` of the text without white space, and the code points of the text."""
-    text = whole_text(text_col)
     df = df.drop(*VERDICT, "text_sha256", "_points")
-    bare = F.regexp_replace(text, WS_CLASS + "+", "")
-    return df.withColumns({"text_sha256": F.sha2(bare.cast("binary"), 256), "_points": F.length(text)})
+    return df.withColumns({"text_sha256": digest(text_col), "_points": F.length(whole_text(text_col))})
 
 
 def _winners(digests: DataFrame) -> DataFrame:
@@ -67,3 +70,13 @@ def exact_dedup(df: DataFrame, text_col: str = "text", support: float = 0.005) -
     digests = staged(rows.select("doc_id", "_points", "text_sha256"), "digests")
     narrow = set(df.columns) <= {"doc_id", text_col}
     return settle(digests if narrow else rows, digests, support).drop("_points")
+
+
+def one_per_text(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """One row of ``df`` for each text: the winner as above; of rows that tie, the least hash of all columns."""
+    made = {"_sha256": digest(text_col), "_points": F.length(whole_text(text_col)), "_tie": F.xxhash64(*df.columns)}
+    rows = keyed(df, "rows")
+    digests = staged(rows.select("doc_id", *[c.alias(n) for n, c in made.items()], ROW), "digests")
+    best = F.min(F.struct((-F.col("_points")).alias("p"), F.col("doc_id").isNull().alias("n"), "doc_id", "_tie", ROW))
+    winners = digests.groupBy("_sha256").agg(best.alias("_best")).select(F.col(f"_best.{ROW}").alias(ROW))
+    return rows.join(winners, ROW, "left_semi").select(*df.columns)

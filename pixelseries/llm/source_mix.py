@@ -59,8 +59,8 @@ def position(share: Column, turn: Column, schedules: Sequence[Sequence[float]])
     return out
 
 
-def sized(df: DataFrame, text_col: str = "text") -> DataFrame:
-    return df.select("doc_id", "source", F.size(words(whole_text(text_col))).cast("long").alias("size"))
+def sized(df: DataFrame, text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    return df.select("doc_id", "source", F.size(words(whole_text(text_col))).cast("long").alias("size"), *carry)
 
 
 def source_targets(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, max_epochs: float = 2.0) -> DataFrame:
@@ -101,8 +101,10 @@ def source_targets(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, m
 def mix(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, max_epochs: float = 2.0) -> DataFrame:
     """One row per document of ``sizes`` (doc_id, source, size): targets, words taken and training positions.
 
+    Further columns of ``sizes`` pass through, and order rows that tie.
     ``taken`` counts repeats. ``positions`` holds the position of each pass that takes words of it.
     """
+    carried = [c for c in sizes.columns if c not in ("doc_id", "source", "size")]
     order = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
     sources = staged(source_targets(sizes, schedules, budget, max_epochs), "sources").withColumnRenamed("source", "_src")
     buckets = F.greatest(
@@ -122,7 +124,7 @@ def mix(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, max_epochs:
     )
     inside = (
         Window.partitionBy("_place", "_bucket")
-        .orderBy("_order", F.col("doc_id").asc_nulls_last(), "size")
+        .orderBy("_order", F.col("doc_id").asc_nulls_last(), "size", *carried)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     rows = rows.withColumn("_upto", F.sum("size").over(inside)).join(offsets, ["_place", "_bucket"])
@@ -137,7 +139,7 @@ def mix(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, max_epochs:
         taken = taken + part
         at.append(F.when(part > 0, position(share, F.col("_turn"), schedules)))
     positions = F.array_compact(F.array(*at)).alias("positions")
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), positions)
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), positions, *carried)
 
 
 def by_position(mixed: DataFrame) -> DataFrame:
@@ -145,6 +147,6 @@ def by_position(mixed: DataFrame) -> DataFrame:
     return mixed.orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
 
 
-def source_mix(df: DataFrame, text_col: str = "text", **options) -> DataFrame:
+def source_mix(df: DataFrame, text_col: str = "text", carry: Sequence[str] = (), **options) -> DataFrame:
     """Mix all documents of ``df``; sizes are staged once, as several passes read them."""
-    return mix(staged(sized(df, text_col), "sizes"), **options)
+    return mix(staged(sized(df, text_col, carry), "sizes"), **options)

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from pixelseries.llm import attention_mil as mil
-from pixelseries.llm import bigru, components, language_id, near_dedup, quality_model, simhash, warc
+from pixelseries.llm import bigru, common, components, language_id, near_dedup, quality_model, simhash, warc
 from pixelseries.llm import bpe_words as bw
 from pixelseries.llm import passage_encoder as enc
 from pixelseries.llm import queries as q
@@ -274,3 +274,35 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_pipeline_decides_row_by_row(spark):
+    """Rows with null, repeated and conflicting ids get verdicts of their own, each row once."""
+    stages = dict(corpus_pipeline.STAGES)
+    after = lambda name, texts, ids: sorted(((r["doc_id"], r["text"]) for r in stages[name](spark, documents(spark, texts, ids), SF).collect()), key=repr)
+    texts, ids = zip(("a b", 5), ("a b", 5), ("ab", 5), ("c", None), ("c", None), ("d", None), ("d", 9), ("e", None), ("f", 5))
+    assert after("exact_dedup", texts, ids) == [(5, "a b"), (5, "f"), (9, "d"), (None, "c"), (None, "e")]
+    one, two, three = (" ".join(f"{c}{k}" for k in range(300)) for c in "xyz")
+    texts, ids = zip((one, 5), (two, 3), (two.upper(), 5), (three, None), (three.upper(), None), (two.title(), None), (one.upper(), 5), ("alone", None))
+    got = after("near_dedup", texts, ids)
+    assert [(i, t.lower()) for i, t in got] == [(3, two), (5, one), (None, "alone"), (None, three)]
+    texts = [f"t{k} " + "w " * (k % 7) for k in range(300)]
+    ids = [None if k % 3 == 0 else 7 if k % 3 == 1 else k for k in range(300)]
+    mixed = after("source_mix", texts, ids)
+    assert set(mixed) <= set(zip(ids, texts)) and max(map(mixed.count, mixed)) <= 2
+    # Each source keeps what it takes of its own rows: 1.5 times the words, give or take a document for each source and pass.
+    words = lambda rows: sum(len(t.split()) for _, t in rows)
+    assert abs(words(mixed) - 1.5 * words(zip(ids, texts))) <= 4 * 7
+    assert mixed == after("source_mix", texts, ids)
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_row_keys(spark, plain):
+    """A plain scan gets its keys in place, anything else gets a copy; both are of one row each and hold on rereading."""
+    docs = documents(spark, ["a", "a", None, "b"] * 50, [None, 1, 1, 2] * 50).repartition(7)
+    docs.write.parquet(path := warc.new_path(spark, "keyed"))
+    read = spark.read.parquet(path)
+    read = read if plain else read.crossJoin(spark.range(2)).drop("id")
+    rows = common.keyed(read, "rows")
+    assert rows.select(common.ROW).distinct().count() == rows.count() == read.count()
+    assert not rows.repartition(3).exceptAll(rows).head(1)
