@@ -1,55 +1,50 @@
 """BPE encoding and decoding over a distinct-word table.
 
 Tokens never cross white space, so a text's ids are its words' ids in order. Documents are
-cut into blocks of bounded size; each block names its distinct words once, dealt to buckets
-by the hash of the word. A bucket gathers the words of all blocks, and the tokenizer encodes
-each distinct word of the corpus once. Ids go back to the blocks that asked, in the order
-of the words, and are joined to the word positions of each document. Decoding looks each id up in the id-to-piece table, which has
-the vocabulary's fixed size and so may sit in every task; ``decode_ids`` is the same join
-for any table of ids.
-
-A word of printable ASCII and Latin-1 letters is split further the way the tokenizer's own
-pattern splits it (which shrinks the table); any other word is encoded as it stands.
-
-Blocks are named by a hash of their rows, and both passes over the input cut them alike, so
-the input should be a plain scan (write it out first if it is not); a block that does not
-find its words stops the job, it never loses any.
+cut into blocks of bounded size. Each block splits its texts into words once with Arrow and
+names its distinct words, dealt to buckets by the hash of the word; a bucket gathers the
+words of all blocks, and the tokenizer encodes each distinct word of the corpus once. The
+ids of a block's words return to it in the order of the words, and are joined to the word
+positions of its documents by a vectorised take. Decoding takes each id's piece from the
+id-to-piece table, which has the vocabulary's fixed size and so may sit in every task;
+``decode_ids`` is the same join for any table of ids.
+
+Both passes over the input must cut the same blocks, which a scan of files does. Any other
+input is written to the shared folder first. Blocks are named by a hash of their rows, so a
+block that does not find its words stops the job; it never loses any.
 
 Odd rows: a null or empty text, or one of white space alone, has no ids and decodes to an
 empty text; repeated rows each give a row; a text longer than a block is a block of its
-own; an empty table gives no rows.
+own; an empty table gives no rows. Only the columns of ``keep`` and the text are read, and a
+kept column may have any name but ``ids`` and ``decoded``.
 """
 
 from __future__ import annotations
 
 import os
-import re
-import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import whole_text
+from .common import is_scan, staged, unused, whole_text
 
 #: Bytes of text in a block, about; what a Python worker holds grows with this alone.
 BLOCK_BYTES = 32_000_000
 #: Buckets of the distinct-word table; a worker holds the distinct words of one at a time.
 BUCKETS = 4096
-#: Texts in each batch that a worker hands back.
-OUT_ROWS = 500
-#: Printable ASCII and the letters of Latin-1: composed, so normalisation leaves all but case alone.
-PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-#: The tokenizer's own word pattern, a fixed value of its file.
-UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Word positions in each batch that a worker hands back, about.
+OUT_WORDS = 1_000_000
 
 
 @cache
@@ -70,34 +65,34 @@ def pieces(path: str) -> list[str]:
     return [made.id_to_token(k) or "" for k in range(made.get_vocab_size())]
 
 
-def id_type(path: str) -> str:
-    return "<u2" if len(pieces(path)) <= 1 << 16 else "<u4"
+def id_type(path: str) -> np.dtype:
+    return np.dtype("u2" if len(pieces(path)) <= 1 << 16 else "u4")
 
 
-def units(word: bytes) -> list[str]:
-    """What the distinct-word table holds for a word: its parts if it is plain, else itself.
+def cut_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, pa.Table]]:
+    """Rows in order, cut where the bytes of the last column, the text, reach ``most``; each block with its name.
 
-    Special tokens are marked in the raw text, so a word that may hold one stays whole.
+    The column before the text is the number of the input's partition.
     """
-    text = word.decode()
-    if PLAIN.fullmatch(text) and "<|" not in text:
-        return UNITS.findall(text.lower())
-    return [text]
-
-
-def blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, pa.Table]]:
-    """Rows in order, cut where the bytes of ``_text`` reach ``most``; each block with its name."""
     held, size = [], 0
 
-    def cut() -> tuple[int, pa.Table]:
+    def cut(count: int) -> tuple[int, pa.Table]:
         whole = pa.Table.from_batches(held).combine_chunks()
-        digest = xxhash.xxh64()
-        for text in whole["_text"].to_pylist():
-            digest.update(len(text).to_bytes(8, "little") + text)
+        # The place in the input keeps blocks of equal rows apart, so that no block is hot.
+        digest = xxhash.xxh64(f"{whole.columns[-2][0]} {count} {whole.num_rows}")
+        text = whole.columns[-1].chunk(0)
+        lengths = pc.binary_length(text).to_numpy(zero_copy_only=False)
+        digest.update(lengths.tobytes())
+        first = int(np.frombuffer(text.buffers()[1], np.int32, 1, text.offset * 4)[0])
+        if text.buffers()[2] is not None:
+            digest.update(memoryview(text.buffers()[2])[first : first + int(lengths.sum(dtype=np.int64))])
         return digest.intdigest() - (1 << 63), whole
 
+    count = 0
     for batch in batches:
-        sizes = np.cumsum(pc.binary_length(batch["_text"]).to_numpy(zero_copy_only=False).astype(np.int64))
+        if not batch.num_rows:
+            continue
+        sizes = np.cumsum(pc.binary_length(batch.columns[-1]).to_numpy(zero_copy_only=False).astype(np.int64))
         start, base = 0, 0
         while start < batch.num_rows:
             end = min(batch.num_rows, int(np.searchsorted(sizes, base + most - size)) + 1)
@@ -105,41 +100,73 @@ def blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int,
             size += int(sizes[end - 1]) - base
             start, base = end, int(sizes[end - 1])
             if size >= most:
-                yield cut()
-                held, size = [], 0
+                yield cut(count)
+                held, size, count = [], 0, count + 1
     if held:
-        yield cut()
+        yield cut(count)
 
 
-def buckets(rows: pa.Table) -> dict[int, list[str]]:
-    """The distinct units of a block, in order of appearance, dealt to buckets by their hash."""
-    seen: dict[bytes, None] = {}
-    for text in rows["_text"].to_pylist():
-        seen.update(dict.fromkeys(text.split()))
-    dealt: dict[int, list[str]] = {}
-    for unit in dict.fromkeys(u for w in seen for u in units(w)):
-        dealt.setdefault(zlib.crc32(unit.encode()) % BUCKETS, []).append(unit)
-    return dealt
+def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The number of words of each text, and all words in order, as places in the array of distinct ones."""
+    bare = pc.ascii_trim_whitespace(texts)
+    lists = pc.ascii_split_whitespace(pc.if_else(pc.equal(bare, ""), pa.scalar(None, texts.type), bare))
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return counts.astype(np.int64), lists.flatten().dictionary_encode()
+
+
+def dealt(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(order, bucket of each word in that order): distinct words by the bucket of their hash, then by appearance."""
+    bucket = (pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False) % BUCKETS).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    return order, bucket[order]
 
 
 def _named_words(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, rows in blocks(batches, most):
-            dealt = buckets(rows)
-            if dealt:
-                columns = [pa.array(dealt, pa.int32()), pa.array([name] * len(dealt), pa.int64())]
-                yield pa.record_batch([*columns, pa.array(dealt.values(), pa.list_(pa.string()))], ["bucket", "block", "words"])
+        """The distinct words of each block and bucket, joined by spaces."""
+        for name, rows in cut_blocks(batches, most):
+            words = split_words(rows.columns[-1].chunk(0))[1].dictionary
+            if not len(words):
+                continue
+            order, bucket = dealt(words)
+            heads = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[heads, len(order)].astype(np.int32)), words.take(pa.array(order)))
+            columns = [pa.array(bucket[heads]), pa.array(np.full(len(heads), name)), pc.binary_join(lists, " ")]
+            yield pa.record_batch(columns, ["bucket", "block", "words"])
 
     return run
 
 
 def _packed(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, rows in blocks(batches, most):
+        """Each block without its texts: kept columns, word counts, and for each word position the place of its word.
+
+        Places are ranked by frequency and cut into byte planes, which compress well; ``at`` leads from ranks to the
+        order in which the words were sent off.
+        """
+        press = zstandard.ZstdCompressor(level=1)
+        for name, rows in cut_blocks(batches, most):
+            counts, words = split_words(rows.columns[-1].chunk(0))
+            n = len(words.dictionary)
+            order = dealt(words.dictionary)[0] if n else np.empty(0, np.int64)
+            sent = np.empty(n, np.int64)
+            sent[order] = np.arange(n)
+            codes = words.indices.to_numpy(zero_copy_only=False)
+            by_rank = np.argsort(-np.bincount(codes, minlength=n), kind="stable")
+            rank = np.empty(n, "<u4")
+            rank[by_rank] = np.arange(n)
+            planes = np.ascontiguousarray(rank[codes].view(np.uint8).reshape(-1, 4).T)
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_table(rows)
-            yield pa.record_batch({"block": pa.array([name], pa.int64()), "data": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+            kept = rows.select(rows.column_names[:-2]).append_column("_words", pa.array(counts))
+            with pa.ipc.new_stream(sink, kept.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(kept)
+            columns = {
+                "block": pa.array([name], pa.int64()),
+                "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                "codes": pa.array([press.compress(planes)], pa.binary()),
+                "at": pa.array([press.compress(sent[by_rank].astype("<u4"))], pa.binary()),
+            }
+            yield pa.record_batch(columns)
 
     return run
 
@@ -147,75 +174,70 @@ def _packed(most: int):
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by bucket, and a word has one bucket: what it holds is kept until the next bucket begins."""
-        made, kind, last = tokenizer(path), id_type(path), None
+        made, kind, last = tokenizer(path), id_type(path).char, None
         known: dict[str, bytes] = {}
         for batch in batches:
-            rows = list(zip(batch["bucket"].to_pylist(), batch["words"].to_pylist()))
-            fresh = list(dict.fromkeys(w for _, words in rows for w in words if w not in known))
-            coded = made.encode_batch(fresh, add_special_tokens=False)
-            known.update((w, np.array(c.ids, kind).tobytes()) for w, c in zip(fresh, coded))
-            out = []
-            for _, words in rows:
-                ids = [known[w] for w in words]
-                out.append(np.array([len(x) for x in ids], "<u4").tobytes() + b"".join(ids))
-            if rows:
-                last = rows[-1][0]
-                known = {w: known[w] for bucket, words in rows if bucket == last for w in words} | (
-                    known if all(bucket == last for bucket, _ in rows) else {}
-                )
-            yield pa.record_batch({"block": batch["block"], "bucket": batch["bucket"], "data": pa.array(out, pa.binary())})
+            at = batch["bucket"].to_numpy(zero_copy_only=False)
+            named = [x.split(" ") for x in batch["words"].to_pylist()]
+            sizes, ids = [], []
+            heads = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else []
+            for a, b in zip(heads, [*heads[1:], len(at)]):
+                if at[a] != last:
+                    known, last = {}, at[a]
+                fresh = [w for w in dict.fromkeys(w for words in named[a:b] for w in words) if w not in known]
+                coded = made.encode_batch_fast(fresh, add_special_tokens=False)
+                known.update((w, array(kind, c.ids).tobytes()) for w, c in zip(fresh, coded))
+                for words in named[a:b]:
+                    found = [known[w] for w in words]
+                    sizes.append(array("I", map(len, found)).tobytes())
+                    ids.append(b"".join(found))
+            columns = {"block": batch["block"], "bucket": batch["bucket"], "sizes": pa.array(sizes, pa.binary()), "ids": pa.array(ids, pa.binary())}
+            yield pa.record_batch(columns)
 
     return run
 
 
-def ids_by_unit(rows: pa.Table, answers: dict[int, bytes]) -> dict[str, bytes]:
-    """Ids of each unit of a block, from the answers of its buckets: lengths in bytes, then the ids."""
-    table: dict[str, bytes] = {}
-    for bucket, named in buckets(rows).items():
-        data = answers[bucket]
-        at = 4 * len(named)
-        for unit, size in zip(named, np.frombuffer(data[:at], "<u4").tolist(), strict=True):
-            table[unit] = data[at : at + size]
-            at += size
-    return table
-
-
 def _joined(path: str, out_schema: pa.Schema):
-    def texts(answers: dict[int, bytes], rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        table = ids_by_unit(rows, answers)
-        kind, names = id_type(path), pieces(path)
-        ids_of: dict[bytes, bytes] = {}
-        text_of: dict[bytes, str] = {}
-        keep = rows.drop_columns(["_text"])
-        for at in range(0, rows.num_rows, OUT_ROWS):
-            ids, decoded = [], []
-            for text in rows["_text"].slice(at, OUT_ROWS).to_pylist():
-                found = text.split()
-                for w in found:
-                    if w not in ids_of:
-                        ids_of[w] = coded = b"".join([table[u] for u in units(w)])
-                        text_of[w] = " ".join([names[k] for k in np.frombuffer(coded, kind).tolist()])
-                ids.append(np.frombuffer(b"".join([ids_of[w] for w in found]), kind).astype(np.int32))
-                decoded.append(" ".join([t for w in found if (t := text_of[w])]))
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            part = keep.slice(at, OUT_ROWS).combine_chunks()
-            columns = [part[c].combine_chunks() for c in part.column_names] + [lists, pa.array(decoded, pa.string())]
-            columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out_schema)], schema=out_schema)
+    def texts(answers: dict[int, tuple[bytes, bytes]], rows: bytes, codes: bytes, at: bytes) -> Iterator[pa.RecordBatch]:
+        kind, names = id_type(path), pa.array(pieces(path))
+        unpress = zstandard.ZstdDecompressor().decompress
+        sent = [answers[k] for k in sorted(answers)]
+        size = np.frombuffer(b"".join(x for x, _ in sent), "u4").astype(np.int64) // kind.itemsize
+        flat = np.frombuffer(b"".join(x for _, x in sent), kind)
+        to = np.frombuffer(unpress(at), "<u4")
+        if len(to) != len(size):
+            raise ValueError("a block did not find its words: the input came in another order on its second reading")
+        first = (np.cumsum(size) - size)[to]
+        size = size[to]
+        code = np.frombuffer(np.ascontiguousarray(np.frombuffer(unpress(codes), np.uint8).reshape(4, -1).T).tobytes(), "<u4")
+        kept = pa.ipc.open_stream(rows).read_all().combine_chunks()
+        ends = np.cumsum(kept.columns[-1].to_numpy())
+        kept, start, word = kept.remove_column(kept.num_columns - 1), 0, 0
+        while start < len(ends):
+            end = max(start + 1, int(np.searchsorted(ends, word + OUT_WORDS, "right")))
+            c = code[word : ends[end - 1]]
+            n = size[c]
+            upto = np.cumsum(n)
+            ids = flat[np.repeat(first[c] - (upto - n), n) + np.arange(upto[-1] if len(upto) else 0)].astype(np.int32)
+            inner = np.r_[0, upto][np.r_[0, ends[start:end] - word]].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(inner), pa.array(ids))
+            decoded = pc.binary_join(pa.ListArray.from_arrays(pa.array(inner), names.take(pa.array(ids))), " ")
+            part = kept.slice(start, end - start).combine_chunks()
+            columns = [x.chunk(0) if x.num_chunks else pa.array([], x.type) for x in part.columns] + [lists, decoded]
+            yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(columns, out_schema)], schema=out_schema)
+            start, word = end, int(ends[end - 1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by block, the answers of its buckets before its texts."""
+        """Rows come sorted by block, the answers of its buckets before its rows."""
         block, answers = None, {}
         for batch in batches:
-            for name, bucket, data in zip(*(batch[c].to_pylist() for c in ("block", "bucket", "data"))):
+            for name, bucket, sizes, ids, rows, at in zip(*(batch[c].to_pylist() for c in ("block", "bucket", "sizes", "ids", "rows", "at"))):
                 if name != block:
                     block, answers = name, {}
                 if bucket < BUCKETS:
-                    answers[bucket] = data
+                    answers[bucket] = sizes, ids
                 else:
-                    yield from texts(answers, pa.ipc.open_stream(data).read_all())
+                    yield from texts(answers, rows, ids, at)
 
     return run
 
@@ -224,15 +246,20 @@ def encode_decode(
     df: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """The columns ``keep`` of each row with ``ids`` (array of int) and ``decoded`` (those ids as text)."""
-    rows = df.select(*keep, whole_text(text_col).cast("binary").alias("_text"))
-    words = rows.mapInArrow(_named_words(block_bytes), "bucket int, block long, words array<string>")
+    text = unused("_text", keep)
+    rows = df.select(*keep, whole_text(text_col).alias(text))
+    if not is_scan(df):
+        rows = staged(rows, "texts")
+    rows = rows.select(*keep, F.spark_partition_id().alias(unused("_place", keep)), text)
+    words = rows.mapInArrow(_named_words(block_bytes), "bucket int, block long, words string")
     coded = words.repartition("bucket").sortWithinPartitions("bucket")
-    coded = coded.mapInArrow(_encoded(path), "block long, bucket int, data binary")
-    texts = rows.mapInArrow(_packed(block_bytes), "block long, data binary")
-    texts = texts.select("block", F.lit(BUCKETS).alias("bucket"), "data")
-    met = coded.unionByName(texts).repartition("block").sortWithinPartitions("block", "bucket")
+    coded = coded.mapInArrow(_encoded(path), "block long, bucket int, sizes binary, ids binary")
+    packed = rows.mapInArrow(_packed(block_bytes), "block long, rows binary, codes binary, at binary")
+    packed = packed.select("block", F.lit(BUCKETS).alias("bucket"), F.lit(None).cast("binary").alias("sizes"), F.col("codes").alias("ids"), "rows", "at")
+    none = F.lit(None).cast("binary")
+    met = coded.select("*", none.alias("rows"), none.alias("at")).unionByName(packed).repartition("block").sortWithinPartitions("block", "bucket")
     schema = T.StructType(
-        [df.schema[c] for c in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+        [rows.schema[c] for c in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
     )
     return met.mapInArrow(_joined(path, to_arrow_schema(schema)), schema)
 

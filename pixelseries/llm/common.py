@@ -53,12 +53,25 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 ROW = "_row_key"
 
 
+def unused(name: str, columns) -> str:
+    """``name``, with as many underscores as it takes to be none of ``columns`` in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is files as they were read, so that every pass over it finds the same rows in the same places."""
+    return df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+
+
 def keyed(df: DataFrame, name: str) -> DataFrame:
     """``df`` with a key of each row on which all later reads agree.
 
     Rows of a plain Parquet scan have their file and place in it; all others are written once with a number.
     """
-    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+    if is_scan(df):
         try:
             return df.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias(ROW))
         except AnalysisException:
