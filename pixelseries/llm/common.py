@@ -62,8 +62,14 @@ def unused(name: str, columns) -> str:
 
 
 def is_scan(df: DataFrame) -> bool:
-    """Whether ``df`` is files as they were read, so that every pass over it finds the same rows in the same places."""
-    return df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+    """Whether ``df`` is files as they were read, so that every pass over it finds the same rows in the same places.
+
+    Columns may be dropped or added by expressions of the row, and rows filtered.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter") and plan.deterministic():
+        plan = plan.child()
+    return plan.getClass().getSimpleName() == "LogicalRelation"
 
 
 def keyed(df: DataFrame, name: str) -> DataFrame:

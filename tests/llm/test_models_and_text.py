@@ -8,6 +8,7 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -51,6 +52,16 @@ def test_bpe_equals_the_library(spark, block_bytes):
     assert bw.encode_decode(documents(spark, []), PATH).count() == 0
 
 
+def test_bpe_of_an_input_that_is_no_scan(spark):
+    """Rows in an order of chance are written first, and kept columns may bear the names used inside."""
+    texts = [f"some {'word' * (k % 9)} and w{k}" for k in range(500)]
+    frame = documents(spark, texts).orderBy(F.rand()).withColumnsRenamed({"source": "_words", "lang": "_TEXT", "n_chars": "_place"})
+    out = bw.encode_decode(frame, PATH, keep=("doc_id", "_words", "_TEXT", "_place"), block_bytes=2000)
+    made = Tokenizer.from_file(PATH)
+    got = {r["doc_id"]: (r["ids"], r["_words"], r["_TEXT"], r["_place"]) for r in out.collect()}
+    assert got == {k: (made.encode(t, add_special_tokens=False).ids, f"s{k % 2}", "en", None) for k, t in enumerate(texts)}
+
+
 def test_bpe_query(spark, table):
     made = Tokenizer.from_file(PATH)
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
@@ -267,6 +278,10 @@ def test_pipeline_against_its_parts(spark, table):
     texts = {r[0]: r[1] for r in near}
     assert sorted(r["doc_id"] for r in final) == sorted(r[0] for r in mixed)
     assert all(r["n_tokens"] == len(made.encode(texts[r["doc_id"]], add_special_tokens=False).ids) for r in final)
+    # Rows end in training order: by the mix's positions, each document's first and second turn.
+    at = {r["doc_id"]: r["positions"] for r in q.sm.source_mix(spark.createDataFrame(near, table.schema)).collect()}
+    order = sorted((p, i) for i, ps in at.items() for p in ps)
+    assert [r["doc_id"] for r in final] == [i for _, i in order]
 
 
 def test_pipeline_of_an_empty_table(spark):
