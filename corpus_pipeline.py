@@ -4,7 +4,7 @@
 2. exact dedup: of equal texts one document stays;
 3. SimHash near-dedup: of each group of near copies the smallest id stays;
 4. source mix: documents leave, stay or repeat as the mix takes them, in training order;
-5. BPE: each row that is left becomes its token ids and their digests.
+5. BPE: each row that is left becomes its token ids and their digests, in training order.
 
 Stages 1 to 4 return the columns of ``documents``, and decide row by row: rows that share a
 ``doc_id`` or have none get verdicts of their own, by a key of the rows of a stage's
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelseries.llm import bpe_words, exact_dedup, near_dedup, quality_rules, source_mix
-from pixelseries.llm.common import ROW, keyed, new_path, table
+from pixelseries.llm.common import ROW, keyed, new_path, staged, table
 
 #: XXH64 fingerprints and BPE have no SQL form, so the pipeline as a whole has none.
 ORACLE_SQL = None
@@ -45,13 +45,18 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = bpe_words.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return coded.select(
+    """One row for each row of ``docs``, in their order: the mix wrote them by training position, file after file."""
+    rows = keyed(docs, "rows")
+    coded = bpe_words.encode_decode(rows, public_tokenizers.path("word_bpe_49k.json"), keep=("doc_id", ROW))
+    made = coded.select(
+        ROW,
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+    # A range sort reads its input twice, so the digests are written first: they are small, the encoding is not.
+    return staged(made, "tokens").orderBy(ROW).drop(ROW)
 
 
 STAGES = [
