@@ -2,18 +2,20 @@
 
 Texts are equal when they are identical once every ASCII white-space character is
 deleted. Of equal texts the row with the most code points stays, then the smallest
-``doc_id`` (a null id comes last).
+``doc_id`` (a null id comes last). Exactly one row of each group stays: of rows that tie in
+both, the one that comes first in the input's files.
 
 A frequent-items sketch (Misra-Gries counters, as in ``DataFrame.freqItems``) names every
 digest that can hold more than ``support`` of the rows. One pass counts those exactly and
 picks their winners: at most ``1 / support`` rows, broadcast so that the many rows of hot
 groups are settled where they are read. All other digests go through an ordinary
-aggregation and join on the digest.
+aggregation and join on the digest. Winners are found by three aggregates (of equal rows,
+of equal lengths, of the group) whose states are plain numbers, so all are hash aggregates.
 
-Odd rows: a null text counts as empty, and all empty texts are one group. Rows that repeat
-a ``doc_id`` with an equal text are one document and get the same verdict. Other columns
-pass through; columns named like a result are replaced. An empty table gives no rows.
-``one_per_text`` goes by rows in place of ids: of rows that tie for a group, one stays.
+Odd rows: a null text counts as empty, and all empty texts are one group. Other columns
+pass through; columns named like a result are replaced. Very long texts are hashed whole. An
+empty table gives no rows. In ``one_per_text`` of rows that tie the one with the least hash
+of all columns stays.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, WS_CLASS, keyed, staged, whole_text
+from .common import ROW, WS_CLASS, keyed, staged, unused, whole_text
 
 VERDICT = ("keep_id", "group_size", "kept")
 
@@ -30,18 +32,17 @@ def digest(text_col: str = "text") -> Column:
     return F.sha2(F.regexp_replace(whole_text(text_col), WS_CLASS + "+", "").cast("binary"), 256)
 
 
-def with_digest(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add ``text_sha256`` of the text without white space, and the code points of the text."""
-    df = df.drop(*VERDICT, "text_sha256", "_points")
-    return df.withColumns({"text_sha256": digest(text_col), "_points": F.length(whole_text(text_col))})
-
-
 def _winners(digests: DataFrame) -> DataFrame:
-    best = F.min(F.struct((-F.col("_points")).alias("p"), F.col("doc_id").isNull().alias("n"), "doc_id"))
-    return (
-        digests.groupBy("text_sha256")
-        .agg(best.alias("_best"), F.count("*").alias("group_size"))
-        .select("text_sha256", F.col("_best.doc_id").alias("keep_id"), "group_size")
+    """(text_sha256, keep_id, keep_row, group_size); states are numbers where ids and rows are.
+
+    ``min`` and ``min_by`` pass over null ids, so a null id wins only among nulls.
+    """
+    same = digests.groupBy("text_sha256", "points", "doc_id").agg(F.min(ROW).alias("row"), F.count("*").alias("n"))
+    long = same.groupBy("text_sha256", "points").agg(
+        F.min("doc_id").alias("id"), F.coalesce(F.min_by("row", "doc_id"), F.min("row")).alias("row"), F.sum("n").alias("n")
+    )
+    return long.groupBy("text_sha256").agg(
+        F.max_by("id", "points").alias("keep_id"), F.max_by("row", "points").alias("keep_row"), F.sum("n").alias("group_size")
     )
 
 
@@ -51,32 +52,46 @@ def frequent(digests: DataFrame, support: float) -> list[str]:
     return [x for x in (found[0] or []) if x is not None] if found else []
 
 
-def settle(rows: DataFrame, digests: DataFrame, support: float = 0.005) -> DataFrame:
-    """Add the verdict to ``rows``, which have ``text_sha256``; ``digests`` is their narrow, staged form."""
+def settle(digests: DataFrame, support: float = 0.005) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ``digests`` (doc_id, points, text_sha256, row key) with their verdicts, and the hot groups' winners."""
     hot = frequent(digests, support)
     is_hot = F.col("text_sha256").isin(hot)
-    cold_part = rows.filter(~is_hot).join(_winners(digests.filter(~is_hot)), "text_sha256")
-    if not hot:
-        joined = cold_part
-    else:
+    cold = digests.filter(~is_hot)
+    # One layout by digest serves all three aggregates; hot groups, which have too many rows for that, combine where they are read.
+    joined = cold.join(_winners(cold.repartition("text_sha256")), "text_sha256")
+    verified = None
+    if hot:
         verified = staged(_winners(digests.filter(is_hot)).coalesce(1), "hot-digests")
-        joined = rows.filter(is_hot).join(F.broadcast(verified), "text_sha256").unionByName(cold_part)
-    return joined.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+        joined = digests.filter(is_hot).join(F.broadcast(verified), "text_sha256").unionByName(joined)
+    return joined.withColumn("kept", F.col(ROW) == F.col("keep_row")).drop("keep_row"), verified
 
 
 def exact_dedup(df: DataFrame, text_col: str = "text", support: float = 0.005) -> DataFrame:
     """All rows and columns of ``df`` with ``text_sha256``, ``keep_id``, ``group_size`` and ``kept``."""
-    rows = with_digest(df, text_col)
-    digests = staged(rows.select("doc_id", "_points", "text_sha256"), "digests")
     narrow = set(df.columns) <= {"doc_id", text_col}
-    return settle(digests if narrow else rows, digests, support).drop("_points")
+    # Digests are written once, so a number given there stays with its row.
+    rows = df.withColumn(ROW, F.monotonically_increasing_id()) if narrow else keyed(df, "rows")
+    made = {"points": F.length(whole_text(text_col)), "text_sha256": digest(text_col)}
+    digests = staged(rows.select("doc_id", ROW, *[c.alias(n) for n, c in made.items()]), "digests")
+    told = settle(digests, support)[0].select("doc_id", ROW, "text_sha256", *VERDICT)
+    if narrow:
+        return told.drop(ROW)
+    return rows.drop(*VERDICT, "text_sha256").join(told.drop("doc_id"), ROW).drop(ROW)
+
 
+def one_per_text(df: DataFrame, text_col: str = "text", support: float = 0.005) -> DataFrame:
+    """One row of ``df`` for each text: the winner as above; of rows that tie, the least hash of all columns.
 
-def one_per_text(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """One row of ``df`` for each text: the winner as above; of rows that tie, the least hash of all columns."""
-    made = {"_sha256": digest(text_col), "_points": F.length(whole_text(text_col)), "_tie": F.xxhash64(*df.columns)}
+    Losers of hot groups go where they are read, by the broadcast winners; the rest by a join on the row.
+    """
     rows = keyed(df, "rows")
-    digests = staged(rows.select("doc_id", *[c.alias(n) for n, c in made.items()], ROW), "digests")
-    best = F.min(F.struct((-F.col("_points")).alias("p"), F.col("doc_id").isNull().alias("n"), "doc_id", "_tie", ROW))
-    winners = digests.groupBy("_sha256").agg(best.alias("_best")).select(F.col(f"_best.{ROW}").alias(ROW))
-    return rows.join(winners, ROW, "left_semi").select(*df.columns)
+    made = {"points": F.length(whole_text(text_col)), "text_sha256": digest(text_col)}
+    tied = F.struct(F.xxhash64(*df.columns).alias("tie"), ROW).alias(ROW)
+    digests = staged(rows.select("doc_id", tied, *[c.alias(n) for n, c in made.items()]), "digests")
+    told, hot = settle(digests, support)
+    if hot is not None:
+        sha = unused("_sha256", rows.columns)
+        winners = hot.select(F.col("text_sha256").alias(sha), F.col(f"keep_row.{ROW}").alias(sha + "_row"))
+        rows = rows.withColumn(sha, digest(text_col)).join(F.broadcast(winners), sha, "left")
+        rows = rows.filter(F.col(sha + "_row").isNull() | (F.col(sha + "_row") == F.col(ROW)))
+    return rows.join(told.filter("kept").select(F.col(f"{ROW}.{ROW}").alias(ROW)), ROW, "left_semi").select(*df.columns)

@@ -97,9 +97,10 @@ WITH named AS (
   FROM documents),
 ranked AS (
   SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST) AS keep_id,
-         count(*) OVER (PARTITION BY text_sha256) AS group_size
+         count(*) OVER (PARTITION BY text_sha256) AS group_size,
+         row_number() OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST) = 1 AS kept
   FROM named)
-SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM ranked"""
+SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM ranked"""
 
 
 def op6() -> str:

@@ -74,11 +74,34 @@ def test_exact_dedup(spark, support):
         groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), i is None, i or 0, i))
     want = {hashlib.sha256(k.encode()).hexdigest(): (min(v)[3], len(v)) for k, v in groups.items()}
     for r in got:
-        assert (r["keep_id"], r["group_size"]) == want[r["text_sha256"]] and r["kept"] == (r["doc_id"] == r["keep_id"])
+        assert (r["keep_id"], r["group_size"]) == want[r["text_sha256"]] and (not r["kept"] or r["doc_id"] == r["keep_id"])
+    assert sorted(r["text_sha256"] for r in got if r["kept"]) == sorted(want)
     assert want[hashlib.sha256(b"hottext").hexdigest()] == (107, 51)
     assert xd.exact_dedup(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("support", [0.5, 0.005])
+@pytest.mark.parametrize("wide", [True, False])
+def test_exact_dedup_keeps_one_row_of_each_group(spark, support, wide):
+    """Repeated rows, a shorter text under the winner's id, null ids: one row stays, and it is the longest."""
+    rows = [(4, "a b c"), (4, "a b c"), (4, "a bc"), (None, "x"), (None, "x"), (9, " x"), (None, "y"), (None, "y"), (None, " y")] * 3
+    table = docs(spark, rows).withColumnsRenamed({"n_chars": "points", "lang": "keep_row"})
+    got = xd.exact_dedup(table if wide else table.select("doc_id", "text"), support=support)
+    assert len(got.columns) == (10 if wide else 5)
+    got = got.collect()
+    groups = [("abc", 4), ("x", 9), ("y", None)]
+    assert sorted(((r["text_sha256"], r["doc_id"]) for r in got if r["kept"]), key=repr) == sorted(((hashlib.sha256(t.encode()).hexdigest(), i) for t, i in groups), key=repr)
+    assert len(got) == len(rows) and {r["group_size"] for r in got} == {9}
+    if wide:
+        assert sorted(r["text"] for r in got if r["kept"]) == [" x", " y", "a b c"]
+    assert sorted(r["text"] for r in xd.one_per_text(table, support=support).collect()) == [" x", " y", "a b c"]
+
+
+def test_exact_dedup_aggregates_by_hash(spark):
+    plan = q.op8_exact_dedup(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def resharing(sizes, weights, budget=1.5, most=2.0):
     """Targets by rounds: share out, cap, share the excess again."""
     names = sorted(k for k in sizes if k is not None) + [None] * (None in sizes)
