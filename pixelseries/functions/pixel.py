@@ -15,14 +15,14 @@ def normalize_nodata(value: Column, fill: int) -> Column:
     return F.nullif(value, F.lit(fill))
 
 
-def sun_is_high(zenith: Column) -> Column:
-    """A missing zenith stands for the missing value, which is below the limit, and passes."""
-    return F.coalesce(zenith, F.lit(MISSING)) < ZENITH_LIMIT
+def sun_is_high(zenith: Column, missing_passes: bool = True) -> Column:
+    """A missing zenith stands for the missing value, which is below the limit, and passes, unless it is told to fail."""
+    return F.coalesce(zenith, F.lit(MISSING if missing_passes else ZENITH_LIMIT)) < ZENITH_LIMIT
 
 
-def zenith_clamp(value: Column, zenith: Column) -> Column:
+def zenith_clamp(value: Column, zenith: Column, missing_passes: bool = True) -> Column:
     """The clamp follows the fill: a missing value under a low sun reads as the clamp too."""
-    return F.when(sun_is_high(zenith), value).otherwise(F.lit(CLAMPED))
+    return F.when(sun_is_high(zenith, missing_passes), value).otherwise(F.lit(CLAMPED))
 
 
 def cloud(state: Column) -> Column:
@@ -41,10 +41,10 @@ def aerosol(state: Column) -> Column:
     return F.shiftright(state.bitwiseAND(F.lit(192)), 6)
 
 
-def qa_ok(state: Column, zenith: Column) -> Column:
+def qa_ok(state: Column, zenith: Column, missing_passes: bool = True) -> Column:
     """No cloud, shadow, adjacent cloud or high aerosol, and a high sun; a missing state is not ok."""
     clear = (cloud(state) == 0) & (shadow(state) == 0) & (aerosol(state) != 3) & (adjacency(state) == 0)
-    return F.coalesce(clear & sun_is_high(zenith), F.lit(False))
+    return F.coalesce(clear & sun_is_high(zenith, missing_passes), F.lit(False))
 
 
 def apply_qa(value: Column, ok: Column) -> Column:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pixelseries.functions import pixel as px
 from pixelseries.sources.adapter import ALL_BANDS, DATES, FILL, PIXEL
+from pixelseries.sources.storage import replace_partitions, stored
 
 TILE_YEAR = ["h", "v", "season_year"]
+#: Neighbouring pixels that one task writes, about; a tile-year of 4800 x 4800 pixels is written by 22 tasks.
+FILE_PIXELS = 1 << 20
 #: Product and layer that hold each band.
 LAYERS = {
     "b1": ("CQ", 4), "b2": ("CQ", 5), "b3": ("CH", 0), "b4": ("CH", 1), "b5": ("CH", 2), "b6": ("CH", 3), "b7": ("CH", 4),
@@ -40,11 +43,11 @@ def day_slice(obs: DataFrame, band: str, days: list[int]) -> DataFrame:
     return obs.filter(F.col("day").isin(days)).select(*PIXEL, "day", F.col(known_band(band)).alias("value"))
 
 
-def read_values(obs: DataFrame, band: str, apply_qa: bool) -> DataFrame:
+def read_values(obs: DataFrame, band: str, apply_qa: bool, missing_zenith_passes: bool = True) -> DataFrame:
     """Values of a band as they are read: fill to null, clamp by zenith, then QA if asked."""
-    value = px.zenith_clamp(F.col(known_band(band)), F.col("zenith"))
+    value = px.zenith_clamp(F.col(known_band(band)), F.col("zenith"), missing_zenith_passes)
     if apply_qa:
-        value = px.apply_qa(value, px.qa_ok(F.col("state"), F.col("zenith")))
+        value = px.apply_qa(value, px.qa_ok(F.col("state"), F.col("zenith"), missing_zenith_passes))
     return normalized(obs).select(*PIXEL, "day", value.alias("value"))
 
 
@@ -54,13 +57,38 @@ def stack_band(obs: DataFrame, band: str, apply_qa: bool) -> DataFrame:
     return values.groupBy(*PIXEL).agg(F.sort_array(F.collect_list(F.struct("day", "value"))).alias("series"))
 
 
+def stack_bands(obs: DataFrame, bands: list[str] = ALL_BANDS) -> DataFrame:
+    """(pixel key, series): all days in order, each with every band as read without QA and whether QA lets it pass.
+
+    One aggregate holds all bands of both kinds; ``stacked_values`` lays them out.
+    """
+    raw = px.zenith_clamp
+    clamped = [raw(F.col(known_band(b)), F.col("zenith")).alias(b) for b in bands]
+    item = F.struct("day", px.qa_ok(F.col("state"), F.col("zenith")).alias("ok"), *clamped)
+    return normalized(obs).groupBy(*PIXEL).agg(F.sort_array(F.collect_list(item)).alias("series"))
+
+
+def stacked_values(stacks: DataFrame, bands: list[str] = ALL_BANDS) -> DataFrame:
+    """(pixel key, pos, day, band, qa, value) of ``stack_bands``, with QA (``qa`` true) and without."""
+    days = stacks.select(*PIXEL, F.posexplode("series").alias("pos", "x"))
+    values = {(b, qa): px.apply_qa(F.col("x")[b], F.col("x.ok")) if qa else F.col("x")[b] for b in bands for qa in (True, False)}
+    cells = F.array(*[F.struct(F.lit(b).alias("band"), F.lit(qa).alias("qa"), v.alias("value")) for (b, qa), v in values.items()])
+    return days.select(*PIXEL, "pos", F.col("x.day").alias("day"), F.inline(cells))
+
+
+def dates_held(obs: DataFrame) -> DataFrame:
+    """(tile-year, day, idx, dates): the dates of every tile-year and their number, from one pass over ``obs``."""
+    every = Window.partitionBy(*TILE_YEAR)
+    return obs.select(*TILE_YEAR, "day", "idx").distinct().withColumn("dates", F.count("*").over(every))
+
+
 def complete_tile_years(obs: DataFrame) -> DataFrame:
-    return obs.groupBy(*TILE_YEAR).agg(F.count_distinct("day").alias("_n")).filter(F.col("_n") == DATES).select(*TILE_YEAR)
+    return dates_held(obs).filter(F.col("dates") == DATES).select(*TILE_YEAR).distinct()
 
 
 def tile_calendar(obs: DataFrame) -> DataFrame:
     """The dates of every complete tile-year: 23 rows each."""
-    return obs.select(*TILE_YEAR, "day", "idx").distinct().join(complete_tile_years(obs), TILE_YEAR, "left_semi")
+    return dates_held(obs).filter(F.col("dates") == DATES).drop("dates")
 
 
 def dense_grid(obs: DataFrame) -> DataFrame:
@@ -70,12 +98,12 @@ def dense_grid(obs: DataFrame) -> DataFrame:
     return grid.join(obs.drop("idx"), [*PIXEL, "day"], "left")
 
 
-def cleaned_rows(obs: DataFrame, apply_qa: bool = True) -> DataFrame:
+def cleaned_rows(obs: DataFrame, apply_qa: bool = True, missing_zenith_passes: bool = True) -> DataFrame:
     """Each observation with its bands filled, clamped and masked: row by row, no exchange."""
-    ok = px.qa_ok(F.col("state"), F.col("zenith"))
+    ok = px.qa_ok(F.col("state"), F.col("zenith"), missing_zenith_passes)
 
     def value(band: str):
-        read = px.zenith_clamp(F.col(band), F.col("zenith"))
+        read = px.zenith_clamp(F.col(band), F.col("zenith"), missing_zenith_passes)
         return px.apply_qa(read, ok) if apply_qa else read
 
     return normalized(obs).select(*PIXEL, "day", "idx", *[value(b).cast("int").alias(b) for b in ALL_BANDS])
@@ -87,16 +115,35 @@ def clean(obs: DataFrame, apply_qa: bool = True) -> DataFrame:
 
 
 def write_bands(df: DataFrame, path: str) -> None:
-    """Partitioned by tile and year; a folder that holds bands already is left as it is."""
-    df.repartition(*TILE_YEAR).write.mode("ignore").partitionBy(*TILE_YEAR).parquet(path)
+    """Add the tile-years of ``df`` that ``path`` does not hold; those that are there stay as they are.
+
+    A tile-year is dealt to tasks by blocks of neighbouring pixels, so none of them writes it alone.
+    """
+    there = stored(df.sparkSession, path, df.schema).select(*TILE_YEAR).distinct()
+    new = df.join(there, TILE_YEAR, "left_anti").select(*df.columns)
+    block = F.floor(F.col("pixel") / FILE_PIXELS)
+    new.repartition(*TILE_YEAR, block).write.mode("append").partitionBy(*TILE_YEAR).parquet(path)
 
 
 def read_bands(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def collate_batch(obs: DataFrame, path: str, apply_qa: bool = True) -> DataFrame:
+    """Write the bands of all tile-years that can be collated; incomplete ones are skipped, and the batch goes on.
+
+    The report has a row for each tile-year: its dates, and whether it was ``written``, was ``stored`` before, or is ``incomplete``.
+    """
+    dates = dates_held(obs).groupBy(*TILE_YEAR).agg(F.first("dates").alias("dates"))
+    made = clean(obs, apply_qa)
+    before = stored(obs.sparkSession, path, made.schema).select(*TILE_YEAR).distinct().withColumn("_there", F.lit(True))
+    write_bands(made, path)
+    status = F.when(F.col("dates") < DATES, "incomplete").when(F.col("_there"), "stored").otherwise("written")
+    return dates.join(before, TILE_YEAR, "left").select(*TILE_YEAR, "dates", status.alias("status"))
+
+
 def write_mask(obs: DataFrame, path: str) -> None:
-    """The QA mask of every date as 1 (good) or the missing value (bad)."""
+    """The QA mask of every date as 1 (good) or the missing value (bad); tile-years that ``obs`` holds are replaced, others stay."""
     ok = px.qa_ok(F.col("state"), px.normalize_nodata(F.col("zenith"), FILL["zenith"]))
     mask = F.when(ok, F.lit(1)).otherwise(F.lit(px.MISSING))
-    obs.select(*PIXEL, "day", mask.alias("mask")).write.mode("overwrite").partitionBy(*TILE_YEAR).parquet(path)
+    replace_partitions(obs.select(*PIXEL, "day", mask.alias("mask")), path, TILE_YEAR)

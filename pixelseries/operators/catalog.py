@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pixelseries.sources.adapter import DATES, season_columns
@@ -42,14 +42,16 @@ def granule_catalog(names: DataFrame, path: str = "path") -> DataFrame:
     return split.withColumn("valid", F.coalesce(known, F.lit(False)) & F.col("_tile")).drop("_tile")
 
 
-def calendar(spark: SparkSession, years: list[int]) -> DataFrame:
-    """(season_year, idx, day): 23 dates of each year, the last four of them in the next one."""
-    rows = spark.createDataFrame([(y,) for y in years], "season_year int")
-    rows = rows.select("season_year", F.explode(F.sequence(F.lit(0), F.lit(DATES - 1))).alias("idx"))
-    doy = FIRST_DAY + F.col("idx") * STEP
-    first = F.col("season_year") * 1000 + doy
-    later = (F.col("season_year") + 1) * 1000 + 1 + (F.col("idx") - 19) * STEP
-    return rows.withColumn("day", F.when(F.col("idx") < 19, first).otherwise(later).cast("int"))
+def calendar(years: DataFrame) -> DataFrame:
+    """(season_year, idx, day): 23 dates of each year of ``years`` (season_year), the last four of them in the next one."""
+    rows = years.select("season_year", F.explode(F.sequence(F.lit(0), F.lit(DATES - 1))).alias("idx"))
+    return rows.withColumn("day", _date(F.col("season_year"), F.col("idx")))
+
+
+def _date(year: Column, idx: Column) -> Column:
+    first = year * 1000 + FIRST_DAY + idx * STEP
+    later = (year + 1) * 1000 + 1 + (idx - 19) * STEP
+    return F.when(idx < 19, first).otherwise(later).cast("int")
 
 
 def latest_granule(granules: DataFrame) -> DataFrame:
@@ -82,10 +84,8 @@ def tile_years(granules: DataFrame, years: list[int] | None = None, tiles: list[
 
 def wanted_dates(granules: DataFrame) -> DataFrame:
     """(season_year, tile, day) that the calendar asks for of every tile-year."""
-    doy = F.when(F.col("idx") < 19, FIRST_DAY + F.col("idx") * STEP).otherwise(1 + (F.col("idx") - 19) * STEP)
-    year = F.col("season_year") + F.when(F.col("idx") < 19, 0).otherwise(1)
     dates = tile_years(granules).withColumn("idx", F.explode(F.sequence(F.lit(0), F.lit(DATES - 1))))
-    return dates.select("season_year", "tile", (year * 1000 + doy).cast("int").alias("day"))
+    return dates.select("season_year", "tile", _date(F.col("season_year"), F.col("idx")).alias("day"))
 
 
 def missing_granules(granules: DataFrame) -> DataFrame:

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pixelseries.functions import pixel as px
 from pixelseries.operators.bands import TILE_YEAR, cleaned_rows, tile_calendar
 from pixelseries.sources.adapter import ALL_BANDS, DATES, PIXEL
+from pixelseries.sources.storage import bounded, staged
+
+#: A calendar of so many rows (23 for a tile-year) is sent to all tasks; a larger one is joined by a shuffle.
+MAX_BROADCAST_DATES = 500_000
 
 
 def period_map(dates: DataFrame, per_period: int = 2) -> DataFrame:
@@ -30,8 +34,8 @@ def composite_mean(values: DataFrame, periods: DataFrame) -> DataFrame:
     pixel of a complete tile-year gets all its periods without a join of the observations to a dense grid.
     """
     spans = periods.groupBy(*TILE_YEAR, "period").agg(F.min("first_day").alias("first_day"))
-    rows = values.join(periods, [*TILE_YEAR, "day"]).select(*PIXEL, "period", "first_day", *ALL_BANDS)
-    empty = values.select(*PIXEL).distinct().join(spans, TILE_YEAR)
+    rows = values.join(bounded(periods, MAX_BROADCAST_DATES), [*TILE_YEAR, "day"]).select(*PIXEL, "period", "first_day", *ALL_BANDS)
+    empty = values.select(*PIXEL).distinct().join(bounded(spans, MAX_BROADCAST_DATES), TILE_YEAR)
     empty = empty.select(*PIXEL, "period", "first_day", *[F.lit(None).cast("int").alias(b) for b in ALL_BANDS])
     return (
         rows.unionByName(empty)
@@ -49,6 +53,19 @@ def with_index(composites: DataFrame, ndvi_missing: str = "zero", as_int16: bool
     )
 
 
-def composites(obs: DataFrame, per_period: int = 2, apply_qa: bool = True) -> DataFrame:
-    """Observations to composites with their index: one exchange of partial means, and one of distinct pixels."""
-    return with_index(composite_mean(cleaned_rows(obs, apply_qa), period_map(tile_calendar(obs), per_period)))
+def composites(
+    obs: DataFrame,
+    per_period: int = 2,
+    apply_qa: bool = True,
+    ndvi_missing: str = "zero",
+    as_int16: bool = False,
+    missing_zenith_passes: bool = True,
+) -> DataFrame:
+    """Observations to composites with their index: one exchange of partial means, and one of distinct pixels.
+
+    The calendar is written once, as it is small and read three times; observations meet it without an exchange.
+    ``ndvi_missing`` and ``as_int16`` are those of ``with_index``; with ``missing_zenith_passes`` false, a missing zenith fails QA.
+    """
+    periods = staged(period_map(tile_calendar(obs), per_period), "periods")
+    values = cleaned_rows(obs, apply_qa, missing_zenith_passes)
+    return with_index(composite_mean(values, periods), ndvi_missing, as_int16)

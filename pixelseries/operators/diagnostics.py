@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixelseries.functions import pixel as px
-from pixelseries.operators.bands import known_band, normalized
+from pixelseries.operators.bands import TILE_YEAR, known_band, normalized
 from pixelseries.sources.adapter import ALL_BANDS, PIXEL
+from pixelseries.sources.storage import replace_partitions
 
 COMPONENTS = {"cloud": px.cloud, "shadow": px.shadow, "adjacency": px.adjacency, "aerosol": px.aerosol}
 
@@ -62,3 +63,8 @@ def stage_dump(obs: DataFrame, comp: DataFrame, periods: DataFrame, band: str, d
     return placed.join(whole, [*PIXEL, "period"], "left").select(
         *PIXEL, "day", "period", "raw", "clamped", "masked", F.col("ok").cast("int").alias("mask"), "zenith", "state", "composite"
     )
+
+
+def write_dump(df: DataFrame, path: str) -> None:
+    """Store quality layers or a stage dump (rows with a pixel key and a day): the tile-years and days that ``df`` holds are replaced."""
+    replace_partitions(df, path, [*TILE_YEAR, "day"])

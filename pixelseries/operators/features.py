@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pixelseries.functions.pixel import to_stored
 from pixelseries.operators import metrics as mt
-from pixelseries.operators.bands import TILE_YEAR
+from pixelseries.operators.bands import FILE_PIXELS, TILE_YEAR
 from pixelseries.sources.adapter import PIXEL
+from pixelseries.sources.storage import replace_partitions, stored
 
 
 def metric_catalog(spark: SparkSession) -> DataFrame:
@@ -52,7 +56,7 @@ def run_metrics(comp: DataFrame, names: list[str] | None = None) -> DataFrame:
     features = [c for c in wide.columns if c not in PIXEL]
     part = F.split("feature", "__")
     return wide.unpivot(PIXEL, features, "feature", "value").select(
-        *PIXEL, part[0].alias("metric"), part[1].alias("band"), "value"
+        *PIXEL, part[0].alias("metric"), F.replace(part[1], F.lit("_"), F.lit("-")).alias("band"), "value"
     )
 
 
@@ -62,7 +66,7 @@ def catalog_report(comp: DataFrame) -> DataFrame:
     features = [c for c in wide.columns if c not in PIXEL]
     counts = wide.agg(F.count("*").alias("pixels"), *[F.count(c).alias(c) for c in features])
     long = counts.unpivot(["pixels"], features, "feature", "present")
-    catalog = metric_catalog(comp.sparkSession).drop("description")
+    catalog = metric_catalog(comp.sparkSession)
     column = F.regexp_replace(F.concat_ws("__", "metric", "band"), "-", "_")
     return catalog.withColumn("feature", column).join(long, "feature").drop("feature")
 
@@ -75,24 +79,59 @@ def training_table(samples: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def write_metrics(long: DataFrame, path: str, stored_missing: bool = True) -> None:
-    """Overwrite the tile-years that ``long`` holds; missing values take their stored form if asked."""
+    """Replace the tile-years and metrics that ``long`` holds; missing values take their stored form if asked.
+
+    The catalog with the descriptions of all layers is stored beside them, in a folder that readers of the table pass over.
+    """
     value = to_stored(F.col("value")).cast("double") if stored_missing else F.col("value")
-    writer = long.withColumn("value", value).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*TILE_YEAR, "metric").parquet(path)
+    block = F.floor(F.col("pixel") / FILE_PIXELS)
+    laid = long.withColumn("value", value).repartition(*TILE_YEAR, "metric", block)
+    replace_partitions(laid, path, [*TILE_YEAR, "metric"])
+    metric_catalog(long.sparkSession).coalesce(1).write.mode("overwrite").parquet(f"{path}/_catalog")
+
+
+def stored_metrics(spark: SparkSession, path: str, described: bool = False) -> DataFrame:
+    """The stored rows, each with the description of its layer if asked."""
+    rows = spark.read.parquet(path)
+    if not described:
+        return rows
+    says = spark.read.parquet(f"{path}/_catalog").select("metric", "band", "description")  # a row for each of the 263 layers
+    return rows.join(F.broadcast(says), ["metric", "band"], "left")
+
 
+LAYER = "h int, v int, season_year int, pixel long, metric string, band string, value double"
 
-def stored_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
 
+def reuse_or_compute(comp: DataFrame, stored_rows: DataFrame, name: str, path: str) -> DataFrame:
+    """Rows of metric ``name`` for all tile-years of ``comp``: stored ones as they are, the others computed and added to ``path``.
 
-def reuse_or_compute(comp: DataFrame, stored: DataFrame, name: str, path: str) -> DataFrame:
-    """Rows of metric ``name``: stored ones as they are, the others computed and added to ``path``."""
-    spark = comp.sparkSession
-    have = stored.filter(F.col("metric") == name)
-    todo = comp.join(have.select(*TILE_YEAR).distinct(), TILE_YEAR, "left_anti")
-    made = mt.metric_long(todo, name).withColumn("metric", F.lit(name))
-    made.write.mode("append").partitionBy(*TILE_YEAR, "metric").parquet(path)
-    fresh = spark.read.parquet(path).filter(F.col("metric") == name)
+    ``stored_rows`` may be the table in ``path``. A run again replaces what it computes, so nothing is doubled.
+    """
+    have = stored_rows.filter(F.col("metric") == name)
+    done = have.select(*TILE_YEAR).distinct()
+    todo = comp.join(done, TILE_YEAR, "left_anti").select(*comp.columns)
+    replace_partitions(mt.metric_long(todo, name).withColumn("metric", F.lit(name)), path, [*TILE_YEAR, "metric"])
     columns = [*PIXEL, "metric", "band", "value"]
-    reused = have.select(*columns, F.lit(True).alias("reused"))
-    return reused.unionByName(fresh.select(*columns, F.lit(False).alias("reused")))
+    fresh = stored(comp.sparkSession, path, StructType.fromDDL(LAYER)).filter(F.col("metric") == name).join(done, TILE_YEAR, "left_anti")
+    wanted = comp.select(*TILE_YEAR).distinct()
+    both = have.select(*columns, F.lit(True).alias("reused")).unionByName(fresh.select(*columns, F.lit(False).alias("reused")))
+    return both.join(wanted, TILE_YEAR, "left_semi").select(*columns, "reused")
+
+
+def reuse_or_compute_band(source: DataFrame, make: Callable[[DataFrame], DataFrame], band: str, path: str) -> DataFrame:
+    """Layers of ``band`` for all tile-years of ``source``: those in ``path`` as they are, the others made and added.
+
+    ``make`` turns rows of ``source`` into (pixel key, step, value), with a day or a period as the step: it sees the
+    missing tile-years alone. Bands as read and composites thus share one store, each under its own name.
+    """
+    schema = StructType.fromDDL("h int, v int, season_year int, pixel long, step int, band string, value double")
+    columns = [*PIXEL, "step", "band", "value"]
+    have = stored(source.sparkSession, path, schema).filter(F.col("band") == band)
+    done = have.select(*TILE_YEAR).distinct()
+    todo = source.join(done, TILE_YEAR, "left_anti").select(*source.columns)
+    made = make(todo).select(*PIXEL, "step", F.lit(band).alias("band"), F.col("value").cast("double").alias("value"))
+    block = F.floor(F.col("pixel") / FILE_PIXELS)
+    replace_partitions(made.repartition(*TILE_YEAR, block), path, [*TILE_YEAR, "band"])
+    fresh = stored(source.sparkSession, path, schema).filter(F.col("band") == band).join(done, TILE_YEAR, "left_anti")
+    both = have.select(*columns, F.lit(True).alias("reused")).unionByName(fresh.select(*columns, F.lit(False).alias("reused")))
+    return both.join(source.select(*TILE_YEAR).distinct(), TILE_YEAR, "left_semi").select(*columns, "reused")

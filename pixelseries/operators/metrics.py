@@ -147,6 +147,12 @@ def to_long(wide: DataFrame, columns: dict[str, Column], label: str = "band") ->
     return picked.unpivot(PIXEL, list(columns), label, "value")
 
 
+def to_long_by(wide: DataFrame, columns: dict[tuple, Column], labels: list[str]) -> DataFrame:
+    """(pixel key, labels, value) from one expression per tuple of labels, all over one reading of ``wide``."""
+    cells = [F.struct(*[F.lit(x).alias(n) for x, n in zip(key, labels)], c.cast("double").alias("value")) for key, c in columns.items()]
+    return wide.select(*PIXEL, F.inline(F.array(*cells)))
+
+
 def metric_long(comp: DataFrame, name: str) -> DataFrame:
     metric = registry()[name]
     source = rolled(comp) if metric.source == "rolled" else stacked(comp)

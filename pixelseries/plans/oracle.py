@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pixelseries.operators import metrics
+
 BANDS = [f"b{k}" for k in range(1, 8)]
 ALL = [*BANDS, "b31"]
 B8 = [*BANDS, "ndvi"]
@@ -147,24 +149,37 @@ UNION ALL SELECT product, 'y' || tile[2:], day, stamp, {_PATH.format(p="product"
 UNION ALL SELECT product, 'h0' || tile[2:], day, stamp, {_PATH.format(p="product", t="'h0' || tile[2:]")}, false FROM named"""
 
 
-def _catalog_rows() -> str:
-    """(metric, band, value) of all 263 features, counted."""
+def _feature_rows() -> str:
+    """(pixel key, metric, band, value) of all 263 features."""
 
     def rows(name: str, value: str, where: str = IN8) -> str:
-        return f"SELECT '{name}' AS metric, band, value FROM ({_metric(value, where)})"
+        return f"SELECT {T}, '{name}' AS metric, band, value FROM ({_metric(value, where)})"
 
-    parts = [f"SELECT 'unsorted_monthly' AS metric, band || '-p' || lpad(period::VARCHAR, 2, '0') AS band, val AS value FROM ranked WHERE {IN8}"]
+    parts = [f"SELECT {T}, 'unsorted_monthly' AS metric, band || '-p' || lpad(period::VARCHAR, 2, '0') AS band, val AS value FROM ranked WHERE {IN8}"]
     parts += [rows(n, *VALUES[n]) for n in VALUES if n != "lowest_3_mean"]
     parts += [rows(n, *VALUES["band_amplitude"]) for n in ("amp_greenest", "amp_warmest")]
     for k in (3, 6, 8):
         parts += [rows(f"lowest_{k}_mean", _mean_of("own_up", k), IN7)]
         parts += [rows(f"greenest_{k}_mean", _mean_of("g_down", k)), rows(f"warmest_{k}_mean", _mean_of("t_down", k))]
     parts += [rows("temp_mean_greenest3", _mean_of("g_down", 3), "band = 'b31'")]
-    return f"""SELECT metric, band, metric || '-' || band AS layer, count(*) AS pixels, count(value) AS present
-               FROM ({' UNION ALL '.join(parts)}) GROUP BY metric, band"""
+    return " UNION ALL ".join(parts)
+
+
+def _wide() -> str:
+    """One row per pixel, a column for each of the 263 features."""
+    cells = ", ".join(
+        f"max(value) FILTER (WHERE metric = '{name}' AND band = '{b}') AS {f'{name}__{b}'.replace('-', '_')}"
+        for name, m in metrics.registry().items()
+        for b in m.bands
+    )
+    return f"SELECT {T}, {cells} FROM ({_feature_rows()}) GROUP BY {T}"
+
+
+#: Descriptions are the registry's own words.
+SAYS = "(VALUES " + ", ".join(f"('{n}', '{m.says}')" for n, m in metrics.registry().items()) + ") says(metric, description)"
 
 
-def statements(slice_days: list[int], dump_day: int, dump_band: str, chosen: list[str]) -> dict[str, str]:
+def statements(slice_days: list[int], dump_day: int, dump_band: str) -> dict[str, str]:
     with_ = lambda tables, body: f"WITH {tables}\n{body}"
     stages = _unpivot("judged", ALL, f"{T}, day, state, zenith, ok, high", "{b}", "raw")
     staged = f"SELECT *, CASE WHEN high THEN raw ELSE 16000 END AS clamped, CASE WHEN ok THEN CASE WHEN high THEN raw ELSE 16000 END END AS masked FROM ({stages})"
@@ -173,10 +188,11 @@ def statements(slice_days: list[int], dump_day: int, dump_band: str, chosen: lis
         f"SELECT {T}, day, '{b}' AS band, '{p}' AS product, {layer} AS layer, {b} AS value FROM obs" for b, (p, layer) in layers.items()
     )
     stack = " UNION ALL ".join(
-        f"SELECT {T}, (row_number() OVER (PARTITION BY {T} ORDER BY day) - 1)::INT AS pos, day, {value} AS value, {qa} AS qa FROM judged"
+        f"SELECT {T}, (row_number() OVER (PARTITION BY {T} ORDER BY day) - 1)::INT AS pos, day, '{b}' AS band, {value} AS value, {qa} AS qa FROM judged"
+        for b in ALL
         for qa, value in (
-            ("true", f"CASE WHEN ok THEN CASE WHEN high THEN {dump_band} ELSE 16000 END END"),
-            ("false", f"CASE WHEN high THEN {dump_band} ELSE 16000 END"),
+            ("true", f"CASE WHEN ok THEN CASE WHEN high THEN {b} ELSE 16000 END END"),
+            ("false", f"CASE WHEN high THEN {b} ELSE 16000 END"),
         )
     )
     index = "CASE WHEN b1 IS NULL OR b2 IS NULL OR b1 + b2 = 0 THEN 0 ELSE trunc((b2 - b1) / (b2 + b1) * 1000)::INT END"
@@ -187,12 +203,6 @@ def statements(slice_days: list[int], dump_day: int, dump_band: str, chosen: lis
         + " UNION ALL "
         + _metric(f"max(val) FILTER (WHERE {down} = 1) - max(val) FILTER (WHERE {up} = 1)", IN8, ", true AS ranked")
     )
-    feature = lambda names: ", ".join(
-        VALUES[n][0].replace("FILTER (WHERE ", f"FILTER (WHERE band = '{b}' AND ").replace("count(val) = count(*)", f"count(val) FILTER (WHERE band = '{b}') = count(*) FILTER (WHERE band = '{b}')").replace("min(val)", f"min(val) FILTER (WHERE band = '{b}')")
-        + f" AS {n}__{b}"
-        for n in names
-        for b in (["b31"] if VALUES[n][1] == "band = 'b31'" else BANDS if VALUES[n][1] == IN7 else B8)
-    )
     out = {
         "granule_catalog": with_(
             GRANULES, f"SELECT product, tile, day, (day // 1000)::INT AS year, (day % 1000)::INT AS doy, '006' AS collection, stamp, path, valid FROM ({NAMES})"
@@ -234,11 +244,22 @@ def statements(slice_days: list[int], dump_day: int, dump_band: str, chosen: lis
         "stack_band": with_(OBS, stack),
         "write_read_bands": with_(COMP, f"SELECT {T}, day, {', '.join(ALL)} FROM clean"),
         "write_metrics": with_(
-            LONG, f"SELECT {T}, 'green_max' AS metric, band, coalesce(value, -10001) AS value FROM ({_metric(*VALUES['green_max'])})"
+            LONG, f"SELECT {T}, metric, band, coalesce(value, -10001) AS value, description FROM ({_feature_rows()}) JOIN {SAYS} USING (metric)"
         ),
         "reuse_or_compute": with_(
             LONG, f"SELECT {T}, 'band_min' AS metric, band, value, season_year % 2 = 0 AS reused FROM ({_metric(*VALUES['band_min'])})"
         ),
+        "reuse_or_compute_band": with_(
+            OBS,
+            f"""SELECT {T}, day AS step, '{dump_band}' AS band, (CASE WHEN ok THEN CASE WHEN high THEN {dump_band} ELSE 16000 END END)::DOUBLE AS value,
+                season_year % 2 = 0 AS reused FROM judged""",
+        ),
+        "collate_batch": with_(
+            OBS,
+            """SELECT h, v, season_year, count(DISTINCT day) AS dates,
+               CASE WHEN count(DISTINCT day) < 23 THEN 'incomplete' WHEN season_year % 2 = 0 THEN 'stored' ELSE 'written' END AS status
+               FROM obs GROUP BY h, v, season_year""",
+        ),
         "write_mask": with_(OBS, f"SELECT {T}, day, CASE WHEN ok THEN 1 ELSE -10001 END AS mask FROM judged"),
         "normalize_nodata": with_(OBS, f"SELECT {T}, day, {', '.join(ALL)}, zenith FROM filled"),
         "zenith_clamp": with_(OBS, f"SELECT {T}, day, band, clamped AS value FROM ({staged})"),
@@ -247,7 +268,7 @@ def statements(slice_days: list[int], dump_day: int, dump_band: str, chosen: lis
         ),
         "qa_mask": with_(OBS, f"SELECT {T}, day, ok FROM judged"),
         "apply_qa": with_(OBS, f"SELECT {T}, day, band, CASE WHEN ok THEN raw END AS value FROM ({stages})"),
-        "missing_to_null": with_(OBS, f"SELECT {T}, day, coalesce(b1, -10001) AS stored, b1 AS value FROM filled"),
+        "missing_to_null": with_(OBS, f"SELECT {T}, day, band, coalesce(raw, -10001) AS stored, raw AS value FROM ({stages})"),
         "ndvi": with_(OBS, f"SELECT {T}, day, {index} AS ndvi FROM filled"),
         "thermal_key": with_(OBS, f"SELECT {T}, day, coalesce(b31, -10001) AS therm FROM filled"),
         "period_map": with_(CALENDAR, "SELECT h, v, season_year, day, period, first_day FROM periods"),
@@ -267,18 +288,21 @@ def statements(slice_days: list[int], dump_day: int, dump_band: str, chosen: lis
         ),
         "amp_greenest": with_(LONG, amp("g_up", "g_down")),
         "amp_warmest": with_(LONG, amp("t_up", "t_down")),
-        "metric_catalog": with_(LONG, _catalog_rows()),
-        "run_metrics": with_(
-            LONG, " UNION ALL ".join(f"SELECT {T}, '{n}' AS metric, band, value FROM ({_metric(*VALUES[n])})" for n in chosen)
+        "metric_catalog": with_(
+            LONG,
+            f"""SELECT metric, band, metric || '-' || band AS layer, description, count(*) AS pixels, count(value) AS present
+                FROM ({_feature_rows()}) JOIN {SAYS} USING (metric) GROUP BY metric, band, description""",
         ),
-        "feature_table": with_(LONG, f"SELECT {T}, {feature(chosen)} FROM ranked GROUP BY {T}"),
+        "run_metrics": with_(LONG, _feature_rows()),
+        "feature_table": with_(LONG, _wide()),
         "training_table": with_(
             LONG
             + f""",
 samples AS (
   SELECT n_nationkey::INT AS h, n_regionkey::INT AS v, y::INT AS season_year, s_suppkey::BIGINT AS pixel, (floor(abs(s_acctbal)) % 101)::INT AS label
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey, range(1994, 2002) r(y) WHERE s_suppkey % 3 = 0),
-feats AS (SELECT {T}, {feature(['green_max', 'band_min'])}, true AS matched FROM ranked GROUP BY {T})""",
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey,
+       (SELECT unnest(range(min(year(l_shipdate)) - 1, max(year(l_shipdate)) + 1)) AS y FROM lineitem)),
+feats AS (SELECT *, true AS matched FROM ({_wide()}))""",
             f"SELECT {T}, label, feats.* EXCLUDE ({T}, matched), coalesce(matched, false) AS matched FROM samples LEFT JOIN feats USING ({T})",
         ),
         "qa_component_counts": with_(

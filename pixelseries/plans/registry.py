@@ -17,10 +17,9 @@ from pixelseries.sources import adapter as ad
 from pixelseries.sources.adapter import PIXEL, once
 from pixelseries.sources.storage import new_folder
 
-#: Dates, band and metrics that single-slice queries show.
+#: Dates and band that single-slice queries show.
 SLICE_DAYS = [1995065, 1996241]
 DUMP_DAY, DUMP_BAND = 1995065, "b5"
-CHOSEN = ["band_min", "green_max", "lowest_3_mean", "temp_mean_warmest3"]
 
 
 def obs(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,18 +67,11 @@ def parse_tile_id(spark, sf):
 
 
 def season_calendar(spark, sf):
-    years = [r[0] for r in valid_granules(spark, sf).select("year").distinct().collect()]  # one row a year
-    return cat.calendar(spark, years)
+    return cat.calendar(valid_granules(spark, sf).select(F.col("year").alias("season_year")).distinct())
 
 
 def stack_band(spark, sf):
-    parts = [
-        bd.stack_band(obs(spark, sf), DUMP_BAND, qa)
-        .select(*PIXEL, F.posexplode("series").alias("pos", "x"))
-        .select(*PIXEL, "pos", F.col("x.day").alias("day"), F.col("x.value").alias("value"), F.lit(qa).alias("qa"))
-        for qa in (True, False)
-    ]
-    return parts[0].unionByName(parts[1])
+    return bd.stacked_values(bd.stack_bands(obs(spark, sf)))
 
 
 def write_read_bands(spark, sf):
@@ -91,16 +83,28 @@ def write_read_bands(spark, sf):
 
 def write_metrics(spark, sf):
     path = new_folder(spark, "metrics")
-    ft.write_metrics(mt.metric_long(comp(spark, sf), "green_max").withColumn("metric", F.lit("green_max")), path)
-    return ft.stored_metrics(spark, path).select(*PIXEL, "metric", "band", "value")
+    ft.write_metrics(ft.run_metrics(comp(spark, sf)), path)
+    return ft.stored_metrics(spark, path, described=True).select(*PIXEL, "metric", "band", "value", "description")
 
 
 def reuse_or_compute(spark, sf):
     path = new_folder(spark, "metrics")
-    first = comp(spark, sf).filter("season_year % 2 = 0")
-    ft.write_metrics(mt.metric_long(first, "band_min").withColumn("metric", F.lit("band_min")), f"{path}/old", False)
-    stored = ft.stored_metrics(spark, f"{path}/old")
-    return ft.reuse_or_compute(comp(spark, sf), stored, "band_min", f"{path}/new")
+    first = comp(spark, sf).filter("season_year % 2 = 0")  # what an earlier run has left
+    ft.write_metrics(mt.metric_long(first, "band_min").withColumn("metric", F.lit("band_min")), path, False)
+    return ft.reuse_or_compute(comp(spark, sf), ft.stored_metrics(spark, path), "band_min", path)
+
+
+def reuse_or_compute_band(spark, sf):
+    path = new_folder(spark, "layers")
+    make = lambda o: bd.read_values(o, DUMP_BAND, True).withColumnRenamed("day", "step")
+    ft.reuse_or_compute_band(obs(spark, sf).filter("season_year % 2 = 0"), make, DUMP_BAND, path)
+    return ft.reuse_or_compute_band(obs(spark, sf), make, DUMP_BAND, path)
+
+
+def collate_batch(spark, sf):
+    path = new_folder(spark, "bands")
+    bd.collate_batch(obs(spark, sf).filter("season_year % 2 = 0"), path)
+    return bd.collate_batch(obs(spark, sf), path)
 
 
 def write_mask(spark, sf):
@@ -124,41 +128,34 @@ def long_of(value, name: str = "value"):
 
 
 def missing_to_null(spark, sf):
-    stored = bd.normalized(obs(spark, sf)).select(*PIXEL, "day", px.to_stored(F.col("b1")).alias("stored"))
+    long = bd.normalized(obs(spark, sf)).unpivot([*PIXEL, "day"], ad.ALL_BANDS, "band", "raw")
+    stored = long.select(*PIXEL, "day", "band", px.to_stored(F.col("raw")).alias("stored"))
     return stored.withColumn("value", px.from_stored(F.col("stored")))
 
 
 def k_means(prefix: str):
     def make(spark, sf):
-        wide = mt.stacked(comp(spark, sf))
-        out = None
-        for k in (3, 6, 8):
-            m = mt.registry()[f"{prefix}_{k}_mean"]
-            part = mt.to_long(wide, {b: m.value(b) for b in m.bands}).withColumn("k", F.lit(k))
-            out = part if out is None else out.unionByName(part)
-        return out
+        known = {k: mt.registry()[f"{prefix}_{k}_mean"] for k in (3, 6, 8)}
+        return mt.to_long_by(mt.stacked(comp(spark, sf)), {(b, k): m.value(b) for k, m in known.items() for b in m.bands}, ["band", "k"])
 
     return make
 
 
 def temp_mean_greenest3(spark, sf):
-    wide = mt.stacked(comp(spark, sf))
-    made = {str(k): mt.top_mean("green", "b31", k) for k in (1, 3)}
-    return mt.to_long(wide, made, "k").withColumn("k", F.col("k").cast("int"))
+    return mt.to_long_by(mt.stacked(comp(spark, sf)), {(k,): mt.top_mean("green", "b31", k) for k in (1, 3)}, ["k"])
 
 
 def amplitudes(key: str):
     def make(spark, sf):
-        wide = mt.rolled(comp(spark, sf))
-        plain = mt.to_long(wide, {b: mt.amplitude(b) for b in mt.B8}).withColumn("ranked", F.lit(False))
-        ranked = mt.to_long(wide, {b: mt.ranked_amplitude(key, b) for b in mt.B8}).withColumn("ranked", F.lit(True))
-        return plain.unionByName(ranked)
+        plain = {(b, False): mt.amplitude(b) for b in mt.B8}
+        ranked = {(b, True): mt.ranked_amplitude(key, b) for b in mt.B8}
+        return mt.to_long_by(mt.rolled(comp(spark, sf)), plain | ranked, ["band", "ranked"])
 
     return make
 
 
 def training_table(spark, sf):
-    features = ft.feature_table(comp(spark, sf), ["green_max", "band_min"])
+    features = ft.feature_table(comp(spark, sf))
     return ft.training_table(ad.samples(spark, sf), features)
 
 
@@ -178,6 +175,8 @@ def queries() -> dict:
         "write_read_bands": write_read_bands,
         "write_metrics": write_metrics,
         "reuse_or_compute": reuse_or_compute,
+        "reuse_or_compute_band": reuse_or_compute_band,
+        "collate_batch": collate_batch,
         "write_mask": write_mask,
         "normalize_nodata": lambda s, d: bd.normalized(obs(s, d)).select(*PIXEL, "day", *ad.ALL_BANDS, "zenith"),
         "zenith_clamp": long_of(lambda v: px.zenith_clamp(v, F.col("zenith"))),
@@ -201,8 +200,8 @@ def queries() -> dict:
         "amp_greenest": amplitudes("green"),
         "amp_warmest": amplitudes("temp"),
         "metric_catalog": lambda s, d: ft.catalog_report(comp(s, d)),
-        "run_metrics": lambda s, d: ft.run_metrics(comp(s, d), CHOSEN),
-        "feature_table": lambda s, d: ft.feature_table(comp(s, d), CHOSEN),
+        "run_metrics": lambda s, d: ft.run_metrics(comp(s, d)),
+        "feature_table": lambda s, d: ft.feature_table(comp(s, d)),
         "training_table": training_table,
         "qa_component_counts": lambda s, d: dg.qa_component_counts(obs(s, d)),
         "qa_component_layers": lambda s, d: dg.qa_component_layers(obs(s, d)),
@@ -217,4 +216,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements(SLICE_DAYS, DUMP_DAY, DUMP_BAND, CHOSEN)
+    return oracle.statements(SLICE_DAYS, DUMP_DAY, DUMP_BAND)

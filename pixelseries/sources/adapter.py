@@ -7,7 +7,7 @@ composite date. Line items give the layers of a CH row (bands 3-7 and 31) and a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIXEL = ["h", "v", "season_year", "pixel"]
@@ -35,6 +35,12 @@ def once(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
     return _held[key]
 
 
+def release() -> None:
+    """Let go of all tables that are held."""
+    while _held:
+        _held.popitem()[1].unpersist()
+
+
 def season_columns(year: Column, doy: Column) -> dict[str, Column]:
     """season_year and idx of a composite date (closed form of 23 dates from day 65 in steps of 16)."""
     return {
@@ -71,37 +77,24 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _first(rows: DataFrame, *order: str) -> DataFrame:
-    window = Window.partitionBy("pixel", "day").orderBy(*[F.desc(c) for c in order])
-    return rows.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1")
-
-
-def ch_rows(rows: DataFrame) -> DataFrame:
-    return _first(rows, "o", "n", "p", "ship").selectExpr(
-        "h", "v", "season_year", "pixel", "day", "idx",
-        "cast(if(o % 53 = 0, -28672, q * 60 + d * 7) as int) b3", "q * 55 + t * 9 b4", "x % 5000 b5", "x % 4000 + d b6", "x % 3000 + t b7",
-        "if(o % 97 = 0, 0, 14000 + x % 1500) b31",
-    )
-
-
-def cq_rows(rows: DataFrame) -> DataFrame:
-    return _first(rows, "p", "o", "n", "ship").selectExpr(
-        "h", "v", "pixel", "day",
-        "if(p % 53 = 0, -28672, q * 20 - 100) b1", "x % 6000 b2",
-        """cast(if(d = 10 and n % 2 = 0, 1, 0) + if(t = 8 and n % 2 = 1, 4, 0) + if(p % 32 = 0, 192, (p % 3) * 64)
-           + if(o % 32 = 0, 8192, 0) as int) state""",
-        "cast(if(o % 101 = 0, 255, 20 + p % 54) as int) zenith",
-    )
-
-
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """obs: raw layers of both products by pixel and date."""
-    from pixelseries.operators.catalog import pair
-
-    # One exchange on the pixel feeds both sides' windows.
-    rows = base(spark, sf_dir).repartition("pixel")
-    joined = pair(ch_rows(rows), cq_rows(rows), ["h", "v", "pixel", "day"])
-    return joined.select(*PIXEL, "day", "idx", *[F.col(b).cast("int").alias(b) for b in ALL_BANDS], "state", "zenith")
+    """obs: raw layers of both products by pixel and date.
+
+    A pixel and date takes its CH layers from the first of its line items in one order, its CQ layers from the
+    first in another. Both are maxima of a struct, so one aggregate, with partial maxima before its one exchange, does.
+    """
+    layers = base(spark, sf_dir).selectExpr(
+        *PIXEL, "day", "idx",
+        """struct(o, n, p, ship, cast(if(o % 53 = 0, -28672, q * 60 + d * 7) as int) b3, q * 55 + t * 9 b4, x % 5000 b5, x % 4000 + d b6,
+           x % 3000 + t b7, if(o % 97 = 0, 0, 14000 + x % 1500) b31) ch""",
+        """struct(p, o, n, ship, cast(if(p % 53 = 0, -28672, q * 20 - 100) as int) b1, x % 6000 b2,
+           cast(if(d = 10 and n % 2 = 0, 1, 0) + if(t = 8 and n % 2 = 1, 4, 0) + if(p % 32 = 0, 192, (p % 3) * 64)
+           + if(o % 32 = 0, 8192, 0) as int) state, cast(if(o % 101 = 0, 255, 20 + p % 54) as int) zenith) cq""",
+    )
+    first = layers.groupBy(*PIXEL, "day", "idx").agg(F.max("ch").alias("ch"), F.max("cq").alias("cq"))
+    side = {b: "ch" for b in CH_BANDS} | {b: "cq" for b in CQ_BANDS}
+    bands = [F.col(f"{side[b]}.{b}").cast("int").alias(b) for b in ALL_BANDS]
+    return first.select(*PIXEL, "day", "idx", *bands, "cq.state", "cq.zenith")
 
 
 def granules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,15 +128,18 @@ def bad_names(names: DataFrame) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled pixels: every third supplier in each of the years 1994 to 2001."""
+    """Labelled pixels: every supplier in every season year that the line items touch, complete or not."""
+    dates = table(spark, sf_dir, "lineitem").select(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b"))
+    # One row; a season year begins at most a year before its dates.
+    years = dates.select(F.explode(F.sequence(F.year("a") - 1, F.year("b"))).alias("season_year"))
     return (
         table(spark, sf_dir, "supplier")
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .filter("s_suppkey % 3 = 0")
+        .join(F.broadcast(years))
         .select(
             F.col("n_nationkey").cast("int").alias("h"),
             F.col("n_regionkey").cast("int").alias("v"),
-            F.explode(F.sequence(F.lit(1994), F.lit(2001))).alias("season_year"),
+            "season_year",
             F.col("s_suppkey").cast("long").alias("pixel"),
             (F.floor(F.abs("s_acctbal")) % 101).cast("int").alias("label"),
         )

@@ -7,11 +7,15 @@ from pixelseries.functions import pixel as px
 from pixelseries.operators import bands as bd
 from pixelseries.operators import catalog as cat
 from pixelseries.operators import composite as cp
+from pixelseries.operators import diagnostics as dg
 from pixelseries.operators import features as ft
 from pixelseries.operators import metrics as mt
+from pixelseries.sources import adapter as ad
 from pixelseries.sources.adapter import BANDS, PIXEL
 from pixelseries.streaming.observations import clean_stream, write_clean_stream
 
+from .conftest import SF
+
 OBS = "h int, v int, season_year int, pixel long, day int, idx int, " + ", ".join(f"b{k} int" for k in range(1, 8)) + ", b31 int, state int, zenith int"
 
 
@@ -48,7 +52,7 @@ def test_ndvi_rules(spark):
 
 
 def test_calendar(spark):
-    rows = cat.calendar(spark, [2019]).orderBy("idx").collect()
+    rows = cat.calendar(spark.createDataFrame([(2019,)], "season_year int")).orderBy("idx").collect()
     assert [r["day"] for r in rows] == days() and rows[0]["day"] == 2019065 and rows[-1]["day"] == 2020049
 
 
@@ -142,3 +146,95 @@ def test_stream_cleans_as_the_table_does(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, clean_stream(obs).collect()), key=repr)
     dense = bd.clean(obs).select(got.columns)
     assert sorted(map(tuple, dense.collect()), key=repr) == sorted(map(tuple, got.collect()), key=repr)
+
+
+def season_of(spark, year, value=lambda i, b: 100 * b + i, dates=23):
+    at = days(year)[:dates]
+    rows = [(9, 5, year, p, d, i, *[value(i, b) for b in range(1, 8)], 14000 + i, 0, 30) for p in (1, 2 << 20) for i, d in enumerate(at)]
+    return spark.createDataFrame(rows, OBS)
+
+
+def test_bands_add_new_tile_years_and_leave_old_ones(spark, tmp_path):
+    path, first = str(tmp_path / "bands"), bd.clean(season_of(spark, 1995))
+    bd.write_bands(first, path)
+    bd.write_bands(bd.clean(season_of(spark, 1996)).unionByName(first.withColumn("b1", F.lit(-1))), path)
+    got = bd.read_bands(spark, path).groupBy("season_year").agg(F.count("*").alias("n"), F.min("b1").alias("low")).collect()
+    assert {(r["season_year"], r["n"], r["low"]) for r in got} == {(1995, 46, 100), (1996, 46, 100)}
+
+
+def test_masks_replace_only_the_tile_years_they_hold(spark, tmp_path):
+    path = str(tmp_path / "masks")
+    for obs in (season_of(spark, 1995), season_of(spark, 1996), season_of(spark, 1996).withColumn("state", F.lit(1))):
+        bd.write_mask(obs, path)
+    got = spark.read.parquet(path).groupBy("season_year").agg(F.count("*").alias("n"), F.max("mask").alias("m")).collect()
+    assert {tuple(r) for r in got} == {(1995, 46, 1), (1996, 46, px.MISSING)}
+
+
+def test_metrics_are_reused_and_never_doubled(spark, tmp_path):
+    path, comp = str(tmp_path / "metrics"), cp.composites(season_of(spark, 1995).unionByName(season_of(spark, 1996)))
+    nothing = spark.createDataFrame([], ft.LAYER)
+    count = lambda df: {(r["season_year"], r["reused"]): r["count"] for r in df.groupBy("season_year", "reused").count().collect()}
+    assert count(ft.reuse_or_compute(comp.filter("season_year = 1995"), nothing, "band_min", path)) == {(1995, False): 16}
+    # The same run again, with the same empty store: what it made is replaced.
+    assert count(ft.reuse_or_compute(comp.filter("season_year = 1995"), nothing, "band_min", path)) == {(1995, False): 16}
+    assert count(ft.reuse_or_compute(comp, spark.read.parquet(path), "band_min", path)) == {(1995, True): 16, (1996, False): 16}
+    assert count(ft.reuse_or_compute(comp, spark.read.parquet(path), "band_min", path)) == {(1995, True): 16, (1996, True): 16}
+    assert spark.read.parquet(path).count() == 32
+    # Another metric in the same store is computed anew.
+    assert count(ft.reuse_or_compute(comp, spark.read.parquet(path), "green_max", path)) == {(1995, False): 16, (1996, False): 16}
+    # With an empty folder of its own and nothing left to compute there is nothing to read.
+    assert count(ft.reuse_or_compute(comp, spark.read.parquet(path), "band_min", str(tmp_path / "empty"))) == {(1995, True): 16, (1996, True): 16}
+
+
+def test_bands_and_composites_are_reused(spark, tmp_path):
+    path, obs = str(tmp_path / "layers"), season_of(spark, 1995).unionByName(season_of(spark, 1996))
+    read = lambda o: bd.read_values(o, "b5", True).withColumnRenamed("day", "step")
+    mean = lambda o: cp.composites(o).select(*PIXEL, F.col("period").alias("step"), F.col("b5").alias("value"))
+    got = ft.reuse_or_compute_band(obs.filter("season_year = 1995"), read, "b5", path)
+    assert {r["reused"] for r in got.collect()} == {False}
+    got = ft.reuse_or_compute_band(obs, read, "b5", path).collect()
+    assert len(got) == 92 and all(r["reused"] == (r["season_year"] == 1995) for r in got)
+    for reused in (False, True):
+        got = ft.reuse_or_compute_band(obs, mean, "b5-composite", path).collect()
+        assert len(got) == 48 and {r["reused"] for r in got} == {reused}
+        assert {r["value"] for r in got if r["step"] == 0} == {500.5}
+
+
+def test_a_batch_skips_incomplete_tile_years(spark, tmp_path):
+    path = str(tmp_path / "bands")
+    whole, part = season_of(spark, 1995), season_of(spark, 1996, dates=22)
+    report = lambda obs: {r["season_year"]: (r["dates"], r["status"]) for r in bd.collate_batch(obs, path).collect()}
+    assert report(whole.unionByName(part)) == {1995: (23, "written"), 1996: (22, "incomplete")}
+    assert report(whole.unionByName(season_of(spark, 1997))) == {1995: (23, "stored"), 1997: (23, "written")}
+    assert bd.read_bands(spark, path).select("season_year").distinct().count() == 2
+
+
+def test_options_reach_the_composites(spark):
+    """A missing index, composites as stored files hold them, and a missing zenith that fails."""
+    gone = season(spark, state=lambda i: 1 if i < 2 else 0, zenith=lambda i: 255 if i in (2, 3) else 30)
+    first = lambda period, **o: cp.composites(gone, **o).filter(f"pixel = 1 AND period = {period}").first()
+    assert first(0)["ndvi"] == 0 and first(0, ndvi_missing="null")["ndvi"] is None
+    assert first(2)["b1"] == 104.5 and first(2, as_int16=True)["b1"] == 104.0
+    assert first(1)["b1"] == 102.5 and first(1, missing_zenith_passes=False)["b1"] is None
+    assert one(spark, "5 v, cast(NULL as int) z", px.zenith_clamp(F.col("v"), F.col("z"), False)) == 16000
+
+
+def test_metrics_are_stored_with_their_descriptions(spark, tmp_path):
+    path, comp = str(tmp_path / "metrics"), cp.composites(season(spark))
+    ft.write_metrics(ft.run_metrics(comp, ["green_max", "unsorted_monthly"]), path)
+    says = {(r["metric"], r["band"]): r["description"] for r in ft.stored_metrics(spark, path, described=True).collect()}
+    assert says["green_max", "b5"] == "value at the greenest period" and says["unsorted_monthly", "b1-p00"] == "value of a period"
+    assert len(says) == 104 and ft.stored_metrics(spark, path).count() == 208
+
+
+def test_dumps_are_stored_by_day(spark, tmp_path):
+    path = str(tmp_path / "layers")
+    for obs in (season_of(spark, 1995), season_of(spark, 1996)):
+        dg.write_dump(dg.qa_component_layers(obs), path)
+    assert spark.read.parquet(path).count() == 92
+
+
+def test_observations_take_one_exchange(spark):
+    """Both products come from one aggregate: an exchange of line items, none for a second side or a join of sides."""
+    plan = ad.observations(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan and "Window" not in plan
