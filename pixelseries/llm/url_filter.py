@@ -2,24 +2,30 @@
 
 A rule (host, path) fits its host and all subdomains when the URL's path starts with the
 rule's path; the longest rule wins. URLs that a rule decides are the labelled ones: the
-trees learn from a bounded number of them and judge every URL that no rule fits.
-
-All features are built-in expressions: lengths, depth, digit ratio, character entropy,
-parameter counts and statistics of the last host labels. Odd rows: a null URL or one
-without "://" has an empty host and path, so no rule fits, and the trees judge its (zero)
-features. Other columns pass through. With fewer than two classes among the labelled
-URLs there is nothing to learn: every other URL then gets that class, or ``allow``.
+trees learn from a bounded number of distinct ones and judge every URL that no rule fits.
+
+All features are built-in expressions: lengths, depth, digit ratios, character entropy,
+parameter counts, and statistics of the host's last labels, among them the share of blocked
+URLs among labelled ones with the same last label. Hosts fall into folds by a hash; that
+share never counts URLs of the row's own fold, so no label enters its own features. The
+hosts of fold 0 train nothing, and ``held_out_accuracy`` tells how the trees do on them.
+
+Odd rows: a null URL or one without "://" has an empty host and path, so no rule fits, and
+the trees judge its (zero) features; URLs of any length are measured whole; repeated rows get
+equal verdicts, and a repeated URL trains once. Other columns pass through whatever their
+names; columns named like a result are replaced. An empty table gives no rows. With fewer
+than two classes among the labelled URLs there is nothing to learn: every other URL then gets
+that class, or ``allow``.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, bounded, staged
+from .common import ascii_lower, bounded, staged, unused
 
 #: (host, path, verdict)
 RULES = (
@@ -31,17 +37,20 @@ RULES = (
 )
 #: A rule list is compiled into one expression, so it must stay short.
 MAX_RULES = 500
-#: At most so many labelled URLs (about) train the trees; which ones depends on a hash of the URL.
+#: At most so many distinct labelled URLs (about) train the trees; which ones depends on a hash of the URL.
 MAX_TRAINING_URLS = 20_000
+#: Folds of hosts; those of fold 0 are held out.
+FOLDS = 5
+#: The share of blocked URLs of a last label is drawn to the mean as by so many rows of it.
+PRIOR_ROWS = 20.0
 
 FEATURES = (
-    "url_chars host_chars path_chars query_chars depth host_labels digit_ratio host_digit_ratio hyphens entropy "
-    "params fragment secure suffix_chars second_chars suffix_vowel_ratio first_label_chars path_digits "
-    "first_step_chars first_step_code second_step_code first_digit extension"
+    "url_chars host_chars path_chars query_chars depth host_labels digit_ratio host_digit_ratio path_digits hyphens entropy "
+    "params fragment secure extension suffix_chars second_chars suffix_vowel_ratio first_label_chars first_step_chars"
 ).split()
 INPUTS = (*FEATURES, "suffix_block_rate")
-#: Above so many last host labels their table is joined by a shuffle instead of a broadcast.
-MAX_BROADCAST_SUFFIXES = 10_000
+#: Above so many rows of (last label, fold) their table is joined by a shuffle instead of a broadcast.
+MAX_BROADCAST_SUFFIXES = 50_000
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -53,15 +62,15 @@ def parts(url: Column) -> tuple[Column, Column]:
     return host, path
 
 
-def apply_rules(df: DataFrame, rules=RULES) -> DataFrame:
-    """Add ``rule`` and ``ruled`` (its verdict): the longest rule that fits, else null."""
+def ruled(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
+    """The longest rule that fits and its verdict, else nulls."""
     if len(rules) > MAX_RULES:
         raise ValueError(f"at most {MAX_RULES} rules are compiled; there are {len(rules)}")
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for host, path, what in sorted(rules, key=lambda r: (len(r[0] + r[1]), r)):
-        fits = ((F.col("host") == host) | F.endswith(F.col("host"), F.lit("." + host))) & F.startswith(F.col("path"), F.lit(path))
-        name, verdict = F.when(fits, F.lit(host + path)).otherwise(name), F.when(fits, F.lit(what)).otherwise(verdict)
-    return df.withColumns({"rule": name, "ruled": verdict})
+    for on, under, what in sorted(rules, key=lambda r: (len(r[0] + r[1]), r)):
+        fits = ((host == on) | F.endswith(host, F.lit("." + on))) & F.startswith(path, F.lit(under))
+        name, verdict = F.when(fits, F.lit(on + under)).otherwise(name), F.when(fits, F.lit(what)).otherwise(verdict)
+    return name, verdict
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -72,17 +81,20 @@ def _found(pattern: str, text: Column) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("double")
 
 
-def features(df: DataFrame, url_col: str = "url") -> DataFrame:
-    """Add the lexical features of a URL whose ``host`` and ``path`` are there."""
-    url, host, path = F.coalesce(F.col(url_col), F.lit("")), F.col("host"), F.col("path")
+def suffix(host: Column) -> Column:
+    """The last label of a host."""
+    return F.element_at(F.split(host, r"\."), -1)
+
+
+def features(url: Column, host: Column, path: Column) -> Column:
+    """One struct of the lexical features of a URL."""
+    url = F.coalesce(url, F.lit(""))
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     labels = F.split(host, r"\.")
-    suffix, second = F.element_at(labels, -1), F.coalesce(F.get(labels, F.size(labels) - 2), F.lit(""))
+    last, second = suffix(host), F.coalesce(F.get(labels, F.size(labels) - 2), F.lit(""))
     n = F.length(url)
     p = lambda c: (n - F.length(F.replace(url, c, F.lit("")))) / n
     letters = F.filter(F.array_distinct(F.split(url, "")), lambda c: c != "")
-    entropy = F.aggregate(letters, F.lit(0.0), lambda a, c: a - p(c) * F.log2(p(c)))
-    step = F.regexp_extract(path, "^/([^/]*)", 1)
     made = {
         "url_chars": n,
         "host_chars": F.length(host),
@@ -92,69 +104,98 @@ def features(df: DataFrame, url_col: str = "url") -> DataFrame:
         "host_labels": F.when(host == "", F.lit(0)).otherwise(F.size(labels)),
         "digit_ratio": _share(_found("[0-9]", url), n),
         "host_digit_ratio": _share(_found("[0-9]", host), F.length(host)),
+        "path_digits": _found("[0-9]", path),
         "hyphens": _found("-", url),
-        "entropy": entropy,
+        "entropy": F.aggregate(letters, F.lit(0.0), lambda a, c: a - p(c) * F.log2(p(c))),
         "params": _found("[^&]+", query),
         "fragment": F.contains(url, F.lit("#")),
         "secure": F.startswith(url, F.lit("https:")),
-        "suffix_chars": F.length(suffix),
+        "extension": F.rlike(path, F.lit(r"\.[a-z0-9]{1,5}$")),
+        "suffix_chars": F.length(last),
         "second_chars": F.length(second),
-        "suffix_vowel_ratio": _share(_found("[aeiou]", suffix), F.length(suffix)),
+        "suffix_vowel_ratio": _share(_found("[aeiou]", last), F.length(last)),
         "first_label_chars": F.length(F.get(labels, F.lit(0))),
-        "path_digits": _found("[0-9]", path),
-        "first_step_chars": F.length(step),
-        "first_step_code": F.ascii(step),
-        "second_step_code": F.ascii(F.substring(step, 2, 1)),
-        "first_digit": F.ascii(F.regexp_extract(path, "[0-9]", 0)),
-        "extension": F.rlike(path, F.lit(r"\.[a-z0-9]{1,5}$")),
+        "first_step_chars": F.length(F.regexp_extract(path, "^/([^/]*)", 1)),
     }
-    return df.withColumns({name: made[name].cast("double") for name in FEATURES})
+    return F.struct(*[made[name].cast("double").alias(name) for name in FEATURES])
+
+
+def fold(host: Column) -> Column:
+    return F.pmod(F.xxhash64(host), F.lit(FOLDS)).cast("int")
+
+
+def label_counts(labelled: DataFrame) -> DataFrame:
+    """(_suffix, _fold, _bad, _all): labelled rows of each last label, outside of each fold and (fold -1) in all; staged."""
+    own = labelled.groupBy(suffix(F.col("host")).alias("_suffix"), fold(F.col("host")).alias("_fold")).agg(
+        F.sum(F.when(F.col("ruled") == "block", 1).otherwise(0)).alias("_bad"), F.count("*").alias("_all")
+    )
+    whole = own.groupBy("_suffix").agg(F.sum("_bad").alias("_bad"), F.sum("_all").alias("_all"))
+    rest = own.withColumnsRenamed({"_bad": "_b", "_all": "_a"}).join(whole, "_suffix")
+    rest = rest.select("_suffix", "_fold", (F.col("_bad") - F.col("_b")).alias("_bad"), (F.col("_all") - F.col("_a")).alias("_all"))
+    return staged(rest.unionByName(whole.withColumn("_fold", F.lit(-1))), "url-suffixes")
 
 
-def train(labelled: DataFrame, rounds: int = 20, depth: int = 4, max_rows: int = MAX_TRAINING_URLS):
-    """Boosted trees from rows with the features and a 0/1 ``label``; None if there is one class or none.
+def with_inputs(urls: DataFrame, counts: DataFrame, mean: float) -> DataFrame:
+    """Add the vector ``_x`` of all inputs to rows with ``url``, ``host``, ``path`` and ``ruled``.
 
-    Which rows train is decided by a hash of the URL, so reruns agree.
+    A labelled row takes the counts outside of its fold, any other those of all labelled rows.
     """
-    seen = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-    if len(seen) < 2:
-        return next(iter(seen), None), None
-    total = sum(seen.values())
-    share = min(1.0, max_rows / total)
-    part = labelled.filter(F.pmod(F.xxhash64("url"), F.lit(1_000_003)) < F.lit(share * 1_000_003))
-    rows = staged(part.select(*INPUTS, F.col("label").cast("double")).repartition(4), "url-training")
-    rows = VectorAssembler(inputCols=list(INPUTS), outputCol="_x").transform(rows)
+    at = F.when(F.col("ruled").isNotNull(), fold(F.col("host"))).otherwise(-1)
+    rows = urls.withColumns({"_suffix": suffix(F.col("host")), "_fold": at, "_f": features(F.col("url"), F.col("host"), F.col("path"))})
+    rows = rows.join(bounded(counts, MAX_BROADCAST_SUFFIXES), ["_suffix", "_fold"], "left")
+    bad, seen = F.coalesce("_bad", F.lit(0)), F.coalesce("_all", F.lit(0))
+    rate = (bad + mean * PRIOR_ROWS) / (seen + PRIOR_ROWS)
+    vector = array_to_vector(F.array(*[F.col(f"_f.{name}") for name in FEATURES], rate.cast("double")))
+    return rows.withColumn("_x", vector).drop("_suffix", "_fold", "_f", "_bad", "_all")
+
+
+def train(labelled: DataFrame, counts: DataFrame, rounds: int = 20, depth: int = 4, max_rows: int = MAX_TRAINING_URLS):
+    """(the one class there is, if there is no second; the share of blocked rows; boosted trees).
+
+    Distinct labelled URLs of the hosts that are not held out train, as a hash of the URL draws them, so reruns agree.
+    """
+    whole = counts.filter("_fold = -1").agg(F.sum("_bad").alias("bad"), F.sum("_all").alias("all")).first()
+    bad, seen = whole["bad"] or 0, whole["all"] or 0
+    if bad in (0, seen):
+        return int(seen > 0 and bad == seen), bad / seen if seen else 0.0, None
+    share = min(1.0, max_rows / seen)
+    drawn = labelled.filter((fold(F.col("host")) != 0) & (F.pmod(F.xxhash64("url"), F.lit(1_000_003)) < F.lit(share * 1_000_003)))
+    rows = with_inputs(drawn.distinct(), counts, bad / seen)
+    rows = staged(rows.select("_x", (F.col("ruled") == "block").cast("double").alias("label")), "url-training")
+    kinds = [r["label"] for r in rows.select("label").distinct().collect()]  # at most two
+    if len(kinds) < 2:
+        return int(kinds[0]) if kinds else int(2 * bad > seen), bad / seen, None
     trees = GBTClassifier(featuresCol="_x", labelCol="label", maxIter=rounds, maxDepth=depth, seed=7, maxBins=32)
-    return None, trees.fit(rows)
+    return None, bad / seen, trees.fit(rows.repartition(4))
 
 
-def with_suffix_rates(df: DataFrame, labelled: DataFrame, prior_rows: float = 20.0) -> DataFrame:
-    """Add the share of blocked URLs among labelled ones with the same last host label, drawn to the mean."""
-    seen = labelled.groupBy("_suffix").agg(F.sum("label").alias("_bad"), F.count("*").alias("_all"))
-    seen = staged(seen, "url-suffixes")
-    mean = seen.agg(F.sum("_bad") / F.sum("_all")).first()[0] or 0.0
-    joined = df.join(bounded(seen, MAX_BROADCAST_SUFFIXES), "_suffix", "left").fillna(0, ["_bad", "_all"])
-    rate = (F.col("_bad") + mean * prior_rows) / (F.col("_all") + prior_rows)
-    return joined.withColumn("suffix_block_rate", rate.cast("double")).drop("_bad", "_all")
+def scored(df: DataFrame, url_col: str = "url", rules=RULES, **training) -> DataFrame:
+    """(row, url, host, path, rule, ruled, block_score) of each row of ``df``, with the row as a struct."""
+    host, path = parts(F.col(url_col))
+    urls = df.select(F.struct(*df.columns).alias("row"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
+    name, verdict = ruled(F.col("host"), F.col("path"), rules)
+    urls = urls.withColumns({"rule": name, "ruled": verdict})
+    labelled = urls.select("url", "host", "path", "ruled").filter(F.col("ruled").isNotNull())
+    counts = label_counts(labelled)
+    only, mean, model = train(labelled, counts, **training)
+    if model is None:
+        return urls.withColumn("block_score", F.lit(float(only)))
+    model = model.setProbabilityCol("_p").setRawPredictionCol("").setPredictionCol("")
+    told = model.transform(with_inputs(urls, counts, mean))
+    return told.withColumn("block_score", F.get(vector_to_array("_p"), F.lit(1))).drop("_x", "_p")
 
 
 def url_filter(df: DataFrame, url_col: str = "url", rules=RULES, **training) -> DataFrame:
     """Add host, path, rule, verdict and ``block_score`` (the trees' probability, for every URL)."""
-    taken = ["host", "path", "rule", "verdict", "block_score"]
-    host, path = parts(F.col(url_col))
-    df = df.drop(*[c for c in taken if c in df.columns]).withColumns({"host": host, "path": path})
-    ruled = features(apply_rules(df, rules), url_col)
-    label = (F.col("ruled") == "block").cast("int")
-    ruled = ruled.withColumn("_suffix", F.element_at(F.split("host", r"\."), -1))
-    labelled = ruled.filter(F.col("ruled").isNotNull())
-    ruled = with_suffix_rates(ruled, labelled.select("_suffix", label.alias("label")))
-    labelled = ruled.filter(F.col("ruled").isNotNull()).select(F.col(url_col).alias("url"), *INPUTS, label.alias("label"))
-    only, model = train(labelled, **training)
-    if model is None:
-        scored = ruled.withColumn("block_score", F.lit(float(only or 0)))
-    else:
-        model = model.setFeaturesCol("_x").setProbabilityCol("_p").setRawPredictionCol("").setPredictionCol("")
-        assembled = VectorAssembler(inputCols=list(INPUTS), outputCol="_x").transform(ruled)
-        scored = model.transform(assembled).withColumn("block_score", F.get(vector_to_array("_p"), F.lit(1))).drop("_x", "_p")
+    made = ("host", "path", "rule", "verdict", "block_score")
     told = F.when(F.col("block_score") >= 0.5, "block").otherwise("allow")
-    return scored.withColumn("verdict", F.coalesce("ruled", told)).drop("ruled", "_suffix", *INPUTS)
+    out = scored(df, url_col, rules, **training).withColumn("verdict", F.coalesce("ruled", told))
+    kept = [c for c in df.columns if c.lower() not in made]
+    return out.select(*[F.col("row")[c].alias(c) for c in kept], *made)
+
+
+def held_out_accuracy(df: DataFrame, url_col: str = "url", rules=RULES, **training) -> float | None:
+    """The share of rows on labelled hosts of fold 0 whose verdict by the trees alone is that of the rule."""
+    rows = scored(df, url_col, rules, **training).filter(F.col("ruled").isNotNull() & (fold(F.col("host")) == 0))
+    right = (F.col("block_score") >= 0.5) == (F.col("ruled") == "block")
+    return rows.agg(F.avg(right.cast("int"))).first()[0]

@@ -1,6 +1,7 @@
 """Quality rules, exact dedup, source mix, license scan and URL filter on small tables, against plain Python."""
 
 import hashlib
+import math
 import re
 
 import pytest
@@ -221,9 +222,12 @@ URLS = [None, "", "no scheme", "http://", "http://Org/x", "https://a.Example.ORG
 
 def test_url_filter(spark):
     rows = [(k, u) for k, u in enumerate(URLS)] + [(50 + k, f"http://s{k}.com/{'fr' if k % 2 else 'de'}/{k}") for k in range(60)]
-    table = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, verdict string")
-    got = {r["page_id"]: r for r in uf.url_filter(table, rounds=3, depth=2).collect()}
-    assert len(got) == len(rows)
+    more = "verdict depth entropy params ruled _suffix _x _p _bad row _fold label".split()
+    table = spark.createDataFrame([(*r, *more) for r in rows], "page_id long, url string, " + ", ".join(f"{c} string" for c in more))
+    got = uf.url_filter(table, rounds=3, depth=2)
+    assert sorted(got.columns) == sorted(["page_id", "url", "host", "path", "rule", "block_score", *more])
+    got = {r["page_id"]: r for r in got.collect()}
+    assert len(got) == len(rows) and all(r[c] == c for r in got.values() for c in more if c != "verdict")
     for page_id, url in rows:
         host = path = ""
         if url and "://" in url:
@@ -238,6 +242,52 @@ def test_url_filter(spark):
         assert 0 <= r["block_score"] <= 1
 
 
+def plain_features(url, host, path):
+    url = url or ""
+    query = re.search(r"\?([^#]*)", url)
+    query, labels = query[1] if query else "", host.split(".")
+    digits = lambda x: len(re.findall("[0-9]", x))
+    return {
+        "url_chars": len(url), "host_chars": len(host), "path_chars": len(path), "query_chars": len(query),
+        "depth": len(re.findall("/[^/]", path)), "host_labels": len(labels) if host else 0,
+        "digit_ratio": digits(url) / len(url) if url else 0, "host_digit_ratio": digits(host) / len(host) if host else 0,
+        "path_digits": digits(path), "hyphens": url.count("-"),
+        "entropy": -sum(url.count(c) / len(url) * math.log2(url.count(c) / len(url)) for c in set(url)),
+        "params": len([x for x in query.split("&") if x]), "fragment": "#" in url, "secure": url.startswith("https:"),
+        "extension": bool(re.search(r"\.[a-z0-9]{1,5}$", path)), "suffix_chars": len(labels[-1]),
+        "second_chars": len(labels[-2]) if len(labels) > 1 else 0,
+        "suffix_vowel_ratio": len(re.findall("[aeiou]", labels[-1])) / len(labels[-1]) if labels[-1] else 0,
+        "first_label_chars": len(labels[0]), "first_step_chars": len(path.split("/")[1]) if path.startswith("/") else 0,
+    }
+
+
+def test_url_features(spark):
+    """Every input of the trees against plain Python, on odd and on very long URLs; the rate of a last label leaves out its fold."""
+    urls = [*URLS, "https://a-b.c3.example.co.uk/x/y-z/p.html?a=1&&b=2#t?u=3", "http://q.de/" + "ab1/" * 50_000, "http://ü.org/é?ü=é"]
+    urls += [f"http://h{k}.{'com' if k % 3 else 'org'}/{'de' if k % 2 else 'fr'}/{k}" for k in range(40)]
+    table = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    host, path = uf.parts(F.col("url"))
+    name, verdict = uf.ruled(F.col("host"), F.col("path"))
+    table = table.withColumns({"host": host, "path": path}).withColumns({"rule": name, "ruled": verdict}).withColumn("fold", uf.fold(F.col("host")))
+    counts = uf.label_counts(table.filter("ruled IS NOT NULL"))
+    rows = uf.with_inputs(table, counts, 0.25).select("*", uf.vector_to_array("_x").alias("x")).collect()
+    labelled = [r for r in rows if r["ruled"]]
+    last = lambda r: r["host"].split(".")[-1]
+    for r in rows:
+        want = plain_features(r["url"], r["host"], r["path"])
+        assert list(want) and {n: v for n, v in zip(uf.FEATURES, r["x"])} == pytest.approx({k: float(v) for k, v in want.items()})
+        others = [x for x in labelled if last(x) == last(r) and not (r["ruled"] and x["fold"] == r["fold"])]
+        bad = sum(x["ruled"] == "block" for x in others)
+        assert r["x"][-1] == pytest.approx((bad + 0.25 * 20) / (len(others) + 20))
+
+
+def test_url_trees_learn_what_features_tell(spark):
+    """Where features tell the classes apart, held-out hosts are told right; one URL with a third of the rows trains once."""
+    rows = [(k, f"http://h{k % 60}.com/{'de/a/b/c' if k % 2 else 'fr/x'}{k}") for k in range(600)] + [(900 + k, "http://h1.com/de/a/b/c1") for k in range(300)]
+    table = spark.createDataFrame(rows, "page_id long, url string")
+    assert uf.held_out_accuracy(table, rounds=3, depth=2) > 0.95
+
+
 def test_url_filter_with_nothing_to_learn(spark):
     one = spark.createDataFrame([(1, "http://x.net/a"), (2, "http://y.com/fr/b")], "page_id long, url string")
     assert {r["verdict"] for r in uf.url_filter(one).collect()} == {"allow"}
