@@ -5,17 +5,22 @@ separator is the blank line pair that ends every record, so a part file is an ar
 pages with equal payloads of at least ``min_bytes`` bytes, the one with the smallest
 ``page_id`` is stored as a response; the others become revisit records that refer to it.
 
-Reading: tasks scan the bytes for the record magic and emit, for every candidate, the
-offset at which its successor must start. Pointer jumping from offset 0 doubles the
-distance each round and marks the candidates that are reached; magic inside a payload is
-never the successor of a record, so it drops out. A chain that does not end at the end of
-its file is reported as an error.
+Reading: Spark's text source cuts archives into byte ranges and lines, so the tasks of one
+archive are as many as its size asks for. A line of record magic begins a segment, which is
+a candidate: its task emits the offset at which its successor must start. What is left at the
+edges of ranges (two segments a range) is put together by joins first. Pointer jumping from
+offset 0 doubles the distance each round and marks the candidates that are reached; magic
+inside a payload is never the successor of a record, so it drops out. A chain that does not
+end at the end of its file is reported as an error. A task digests the payload of a segment
+that ends where its record does: each byte once. Where magic inside a payload cuts a record
+into several segments, those of records that are reached are put together afterwards.
 
-Odd rows: a null page counts as an empty payload; a null ``page_id`` is always a response
+Odd rows: a null page counts as an empty payload; a page may be as long as Spark's strings
+(its task holds it, and a few copies); ids are integers: a null ``page_id`` is always a response
 and reads back as null; rows that repeat a ``page_id`` with an equal payload are all
 responses if that page is the first, else all revisits; line breaks in a URL are
-percent-encoded, a null URL is empty. Other columns are not stored. An empty table writes
-no archive and reads as no rows.
+percent-encoded, a null URL is empty. Other columns, whatever their names, are not stored. An
+empty table writes no archive and reads as no rows.
 """
 
 from __future__ import annotations
@@ -23,21 +28,31 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bounded, new_path, staged, whole_text
 
 MAGIC = b"WARC/1.0\r\n"
 END = "\r\n\r\n"
-#: Records in a file; with pages of a few kB, files of about 8 MB, each of which a task reads.
+#: Records in a file; files of any size are read by ranges of ``spark.sql.files.maxPartitionBytes``.
 RECORDS_PER_FILE = 2000
 #: Above so many revisits their table is joined by a shuffle instead of a broadcast.
 MAX_BROADCAST_REVISITS = 100_000
 
-CANDIDATE = "path string, file_bytes long, offset long, next long, record_type string, page_id long, payload_bytes long, payload_digest string, refers_to long"
+#: Above so many byte ranges their table is joined by a shuffle instead of a broadcast.
+MAX_BROADCAST_RANGES = 200_000
+
+TOLD = "length long, record_type string, page_id long, payload_bytes long, payload_digest string, refers_to long, bytes binary"
+SEGMENT = "path string, file_bytes long, range long, at long, used long, edge boolean, magic boolean, " + TOLD
+PLACED = "path string, file_bytes long, range long, at long, offset long, " + TOLD
+PIECE = "path string, range long, at long, bytes binary"
+MEASURED = "path string, offset long, payload_bytes long, payload_digest string"
 
 
 def revisits(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
@@ -99,50 +114,125 @@ def _page(uri: str | None) -> int | None:
     return int(found[1]) if found else None
 
 
-def candidate(content: bytes, at: int) -> tuple | None:
-    """What a record that starts at ``at`` would be: (next, type, page, payload bytes, digest, refers to)."""
-    head_end = content.find(b"\r\n\r\n", at)
-    if head_end < 0:
-        return None
-    head = content[at : head_end + 2]
-    length = _field(head, "Content-Length")
-    if length is None or not length.isdigit():
-        return None
-    start, end = head_end + 4, head_end + 4 + int(length)
-    if content[end : end + 4] != b"\r\n\r\n":
-        return None
-    kind = _field(head, "WARC-Type")
-    http_end = content.find(b"\r\n\r\n", start, end)
-    body = http_end + 4 if http_end >= 0 else start
+def payload(block: bytes, kind: str | None, head: bytes) -> tuple[int | None, str]:
+    """(payload bytes, payload digest) of a whole block: measured, or for a revisit as its headers state them."""
+    http_end = block.find(b"\r\n\r\n")
+    body = http_end + 4 if http_end >= 0 else 0
     if kind == "revisit":
-        size = _field(content[start:body], "Content-Length") or ""
-        size = int(size) if size.isdigit() else None
-        digest = (_field(head, "WARC-Payload-Digest") or "").rpartition(":")[2]
-    else:
-        size, digest = end - body, hashlib.sha256(memoryview(content)[body:end]).hexdigest()
+        size = _field(block[:body], "Content-Length") or ""
+        return int(size) if size.isdigit() else None, (_field(head, "WARC-Payload-Digest") or "").rpartition(":")[2]
+    return len(block) - body, hashlib.sha256(memoryview(block)[body:]).hexdigest()
+
+
+def candidate(row: bytes) -> tuple:
+    """What a record that begins with ``row`` would be: (bytes up to the next, type, page, payload bytes, digest, refers to).
+
+    All are null where the headers do not make a record; payload and digest are null where it does not end with ``row``.
+    """
+    head_end = row.find(b"\r\n\r\n") if row.startswith(MAGIC) else -1
+    head = row[: head_end + 2] if head_end >= 0 else b""
+    length = _field(head, "Content-Length") or ""
+    if not (length.isascii() and length.isdigit()) or len(length) > 15:
+        return (None,) * 6
+    end, kind = head_end + 4 + int(length), _field(head, "WARC-Type")
+    whole = len(row) == end + 4 and row.endswith(b"\r\n\r\n")
+    size, digest = payload(row[head_end + 4 : end], kind, head) if whole else (None, None)
     return end + 4, kind, _page(_field(head, "WARC-Record-ID")), size, digest, _page(_field(head, "WARC-Refers-To"))
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [x.strip().split(" ")[0] for x in CANDIDATE.split(",")]
-    kinds = [pa.string() if x.endswith("string") else pa.int64() for x in CANDIDATE.split(",")]
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, int, bool, bytes]]:
+    """(path, bytes of the file, range, place in the range, whether it lies at an edge, bytes) of each segment.
+
+    Lines come in the order of the file. A segment lies at an edge if it does not begin with magic or if its range ends first.
+    """
+    here, held, at, past = None, [], 0, 0
+
+    def flush(ends: bool) -> Iterator[tuple]:
+        if held:
+            data = b"".join(held)
+            # The last line of a file need not end with a line break.
+            yield *here, at, ends or not data.startswith(MAGIC), data
+
     for batch in batches:
-        for path, size, content in zip(batch["path"].to_pylist(), batch["length"].to_pylist(), batch["content"]):
-            content = content.as_py()
-            rows, at = [], content.find(MAGIC)
-            while at >= 0:
-                found = candidate(content, at)
-                if found:
-                    rows.append((path, size, at, *found))
-                at = content.find(MAGIC, at + 1)
-            columns = list(zip(*rows)) if rows else [()] * len(names)
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        lines, n = batch["value"], batch.num_rows
+        if not n:
+            continue
+        new = np.zeros(n, bool)
+        for c in ("path", "range"):
+            new[1:] |= pc.not_equal(batch[c].slice(1), batch[c].slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        magic = pc.equal(lines, pa.scalar(MAGIC[:-1], lines.type)).to_numpy(zero_copy_only=False)
+        bounds = np.union1d(np.flatnonzero(new | magic), [0])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(bounds, n).astype(np.int32)), lines)
+        for k, data in zip(bounds.tolist(), pc.binary_join(lists, pa.scalar(b"\n", lines.type))):
+            place = (batch["path"][k].as_py(), batch["file_bytes"][k].as_py(), batch["range"][k].as_py()) if k == 0 or new[k] else here
+            data = data.as_py() + b"\n"
+            if place != here:
+                yield from flush(True)
+                here, held, at, past = place, [], 0, 0
+            elif magic[k]:
+                yield from flush(False)
+                held, at = [], past
+            held.append(data)
+            past += len(data)
+    yield from flush(True)
+
+
+def _batches(rows: Iterator[tuple], schema: str, most: int = 500) -> Iterator[pa.RecordBatch]:
+    fields = [x.strip().split(" ") for x in schema.split(",")]
+    kinds = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
+    while part := list(islice(rows, most)):
+        yield pa.record_batch([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*part), fields)], [n for n, _ in fields])
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found():
+        for path, size, start, at, edge, data in _segments(batches):
+            told = (None,) * 6 if edge else candidate(data)
+            # Bytes are kept where they may be needed: at edges, and where a record does not end with its segment.
+            yield path, size, start, at, len(data), edge, data.startswith(MAGIC), *told, data if edge or told[4] is None else None
+
+    return _batches(found(), SEGMENT)
+
 
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parts of a segment that ranges cut, put together: a segment like all others."""
 
-def candidates(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    files = files.filter(F.col("length") > 0).select("path", "length", "content")
-    return files.mapInArrow(_scan, CANDIDATE)
+    def found():
+        for batch in batches:
+            for path, size, parts in zip(*(batch[c].to_pylist() for c in ("path", "file_bytes", "parts"))):
+                data = b"".join(x["bytes"] for x in parts)
+                first = parts[0]
+                data = data[: size - first["offset"]]
+                yield path, size, first["range"], first["at"], first["offset"], *candidate(data), data
+
+    return _batches(found(), PLACED)
+
+
+def archive_lines(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    return files.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("file_bytes"),
+        F.col("_metadata.file_block_start").alias("range"),
+        F.col("value").cast("binary").alias("value"),
+    )
+
+
+def segments(lines: DataFrame) -> DataFrame:
+    """All segments of the archives at their offsets, those cut by ranges put together; staged."""
+    found = staged(lines.mapInArrow(_scan, SEGMENT), "segments")
+    held = found.groupBy("path", "range").agg(F.sum("used").alias("used"))
+    before = Window.partitionBy("path").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # Ranges of a file, of 128 MB each as a rule: what those before a range hold is its offset.
+    starts = staged(held.select("path", "range", F.coalesce(F.sum("used").over(before), F.lit(0)).alias("base")), "ranges")
+    found = found.join(bounded(starts, MAX_BROADCAST_RANGES), ["path", "range"]).withColumn("offset", F.col("base") + F.col("at"))
+    names = [x.strip().split(" ")[0] for x in PLACED.split(",")]
+    order = Window.partitionBy("path").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
+    edges = found.filter("edge").withColumn("of", F.sum(F.col("magic").cast("int")).over(order))
+    parts = edges.groupBy("path", "file_bytes", "of").agg(
+        F.sort_array(F.collect_list(F.struct("offset", "range", "at", "bytes"))).alias("parts")
+    )
+    return staged(found.filter("NOT edge").select(*names).unionByName(parts.mapInArrow(_whole, PLACED)), "candidates")
 
 
 def reachable(found: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -162,9 +252,41 @@ def reachable(found: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"a chain has over 2^{max_rounds} records")
 
 
+def put_together(lines: DataFrame, found: DataFrame, kept: DataFrame) -> DataFrame:
+    """(path, offset, payload_bytes, payload_digest) of the kept records that magic in their payload cuts into several segments.
+
+    The segments of a record meet in one task, as its page did when it was written. Those whose bytes were let go are read again.
+    """
+    cut = kept.filter("payload_digest IS NULL").select("path").distinct()
+    heads = kept.select("path", "offset", F.col("offset").alias("head"), F.col("payload_digest").isNull().alias("cut"))
+    order = Window.partitionBy("path").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
+    owned = found.select("path", "range", "at", "offset", "bytes").join(cut, "path", "left_semi").join(heads, ["path", "offset"], "left")
+    owned = owned.withColumns({"head": F.last("head", True).over(order), "cut": F.last("cut", True).over(order)})
+    pieces = staged(owned.filter("cut").select("path", "range", "at", "offset", "head", "bytes"), "pieces")
+    gone = pieces.filter("bytes IS NULL").drop("bytes")
+    have = pieces.filter("bytes IS NOT NULL").select("path", "offset", "head", "bytes")
+    if not gone.isEmpty():
+        again = lines.mapInArrow(lambda batches: _batches(((p, r, a, x) for p, _, r, a, _, x in _segments(batches)), PIECE), PIECE)
+        have = have.unionByName(again.join(gone, ["path", "range", "at"]).select("path", "offset", "head", "bytes"))
+    parts = have.groupBy("path", "head").agg(F.sort_array(F.collect_list(F.struct("offset", "bytes"))).alias("parts"))
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for batch in batches:
+                for path, head, parts in zip(*(batch[c].to_pylist() for c in ("path", "head", "parts"))):
+                    data = b"".join(x["bytes"] for x in parts)
+                    size, digest = candidate(data[: candidate(data)[0]])[3:5]
+                    yield path, head, size, digest
+
+        return _batches(rows(), MEASURED)
+
+    return staged(parts.mapInArrow(measured, MEASURED), "put-together")
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives under ``path``: candidates that the chain from the file's start reaches."""
-    found = staged(candidates(spark, path), "candidates")
+    lines = archive_lines(spark, path)
+    found = segments(lines).withColumn("next", F.col("offset") + F.col("length"))
     kept = found.join(reachable(found), ["path", "offset"])
     ends = found.groupBy("path", "file_bytes").agg(F.lit(0).alias("_")).join(
         kept.groupBy("path").agg(F.max("next").alias("end")), "path", "left"
@@ -172,6 +294,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     broken = ends.filter(~F.col("end").eqNullSafe(F.col("file_bytes"))).limit(5).collect()
     if broken:
         raise ValueError(f"archives whose record chain breaks off: {[r['path'] for r in broken]}")
+    if not kept.filter("payload_digest IS NULL").isEmpty():
+        whole = put_together(lines, found, kept).withColumnsRenamed({"payload_bytes": "_bytes", "payload_digest": "_digest"})
+        kept = kept.join(whole, ["path", "offset"], "left").withColumns(
+            {"payload_bytes": F.coalesce("payload_bytes", "_bytes"), "payload_digest": F.coalesce("payload_digest", "_digest")}
+        )
     return kept.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -167,6 +167,49 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def ranged(spark, df, width):
+    """``df`` as the source gives it with ranges of ``width`` bytes, written: later reads keep ranges of the usual size."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(width))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df.write.parquet(path := warc.new_path(spark, "lines"))
+        assert df.rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    read = spark.read.parquet(path).withColumn("_n", F.monotonically_increasing_id())
+    return read.repartition(3, "range").sortWithinPartitions("range", "_n").drop("_n")
+
+
+@pytest.mark.parametrize("width", [41, 184, 1000])
+def test_warc_in_small_byte_ranges(spark, width):
+    """One archive read by many tasks, cut anywhere: in headers, separators, payloads and magic inside of payloads."""
+    magic = "\r\n\r\nWARC/1.0\r\n"
+    inner = magic + "WARC-Type: response\r\nWARC-Record-ID: <urn:page:77>\r\nContent-Length: 3\r\n\r\nabc"
+    pages = [None, "", "\r\n\r\n", magic, "\r\n" + magic * 3, "x" * 90 + inner + inner + magic, inner, "a\r\n\r\nb" * 40, "y" * 300, "y" * 300, "é" * 77 + magic + "z"]
+    rows = [(k, f"http://h/{k}", x) for k, x in enumerate(pages)]
+    path = warc.new_path(spark, "ranges")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    lines = warc.archive_lines
+    try:
+        warc.archive_lines = lambda *a: ranged(spark, lines(*a), width)
+        got = {r["page_id"]: tuple(r)[1:] for r in warc.read_archives(spark, path).collect()}
+    finally:
+        warc.archive_lines = lines
+    body = [(x or "").encode() for x in pages]
+    again = {9: 8}
+    assert got == {k: (len(b), hashlib.sha256(b).hexdigest(), "revisit" if k in again else "response", again.get(k)) for k, b in enumerate(body)}
+
+
+def test_warc_of_a_very_long_page(spark):
+    long = spark.range(1).select(F.lit(5).cast("long").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.lit("0123456789abcde\n"), 6_600_000).alias("html"))
+    row = warc.round_trip(long).first()
+    digest = hashlib.sha256()
+    for _ in range(6_600):
+        digest.update(b"0123456789abcde\n" * 1000)
+    assert (row["payload_bytes"], row["payload_digest"]) == (105_600_000, digest.hexdigest())
+
+
 def test_warc_reports_a_broken_chain(spark, tmp_path):
     pages = spark.createDataFrame([(k, "u", "page " * 30 + str(k)) for k in range(5)], "page_id long, url string, html string")
     warc.write_archives(pages.coalesce(1), str(tmp_path / "w"))
