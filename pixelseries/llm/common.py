@@ -29,7 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     found = spark.conf.get("spark.checkpoint.dir", "")
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN:
@@ -61,6 +62,13 @@ def unused(name: str, columns) -> str:
     return name
 
 
+def apart(columns, prefix: str = "_x") -> str:
+    """A prefix that none of ``columns`` has: names made of it meet no other."""
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def is_scan(df: DataFrame) -> bool:
     """Whether ``df`` is files as they were read, so that every pass over it finds the same rows in the same places.
 

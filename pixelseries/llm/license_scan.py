@@ -16,7 +16,9 @@ list is a parameter of bounded size, as is everything that is broadcast or colle
 
 Odd rows: a null or empty text has no words: counts 0, first and last word null, labels
 empty strings, score 0. Repeated rows each get the same result; rows that share a
-``doc_id`` but not a text are told apart. Other columns pass through.
+``doc_id`` but not a text are told apart. Texts of any length are scanned whole: a text is an
+array of words in its task. Other columns pass through whatever their names; columns named
+like a result are replaced. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, whole_text
+from .common import apart, ascii_lower, whole_text
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: (phrase, label)
@@ -47,7 +49,7 @@ TEMPLATES = (
     ("cc-by", "This work is licensed under a Creative Commons Attribution International License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
 )
-#: (label, notice): later parts of the same notices, for texts that hold only those. The SQL twin does not know them.
+#: (label, notice): later parts of the same notices, for texts that hold only those.
 LATER_PARTS = (
     ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
     ("mit", "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
@@ -96,22 +98,22 @@ def places(word_col: str, phrase: str) -> Column:
     return F.when(maybe, F.filter(F.sequence(F.lit(0), n - len(steps)), fits)).otherwise(F.array().cast("array<int>"))
 
 
-def phrase_columns(df: DataFrame, text_col: str = "text", phrases=PHRASES) -> DataFrame:
-    """Add n_words, n_base, first_word, last_word and the array ``_base`` of labels."""
-    df = df.withColumn("_w", license_words(whole_text(text_col)))
-    df = df.withColumns({f"_p{k}": places("_w", phrase) for k, (phrase, _) in enumerate(phrases)})
-    cols = [F.col(f"_p{k}") for k in range(len(phrases))]
+def phrase_columns(df: DataFrame, p: str, text_col: str = "text", phrases=PHRASES) -> DataFrame:
+    """Add n_words, n_base, first_word, last_word and an array of labels, all under names with the prefix ``p``."""
+    df = df.withColumn(f"{p}w", license_words(whole_text(text_col)))
+    df = df.withColumns({f"{p}{k}": places(f"{p}w", phrase) for k, (phrase, _) in enumerate(phrases)})
+    cols = [F.col(f"{p}{k}") for k in range(len(phrases))]
     found = F.concat(*cols)
     labels = F.array(*[F.when(F.size(c) > 0, F.lit(label)) for c, (_, label) in zip(cols, phrases)])
     return df.withColumns(
         {
-            "n_words": F.size("_w").cast("long"),
-            "n_base": F.size(found).cast("long"),
-            "first_word": F.array_min(found).cast("long"),
-            "last_word": F.array_max(found).cast("long"),
-            "_base": F.array_sort(F.array_distinct(F.filter(labels, lambda x: x.isNotNull()))),
+            f"{p}n_words": F.size(f"{p}w").cast("long"),
+            f"{p}n_base": F.size(found).cast("long"),
+            f"{p}first_word": F.array_min(found).cast("long"),
+            f"{p}last_word": F.array_max(found).cast("long"),
+            f"{p}base": F.array_sort(F.array_distinct(F.filter(labels, lambda x: x.isNotNull()))),
         }
-    ).drop("_w", *[f"_p{k}" for k in range(len(phrases))])
+    ).drop(f"{p}w", *[f"{p}{k}" for k in range(len(phrases))])
 
 
 def word_order(df: DataFrame, vocabulary: list[str], text_col: str = "text") -> list[str]:
@@ -185,22 +187,22 @@ def license_scan(df: DataFrame, text_col: str = "text", phrases=PHRASES, templat
 
     ``score`` is 1 where a phrase stands, else the best containment of a template that matched, else 0.
     """
-    made = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    df = df.drop(*[c for c in made if c in df.columns])
+    made = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    kept, p = [c for c in df.columns if c.lower() not in made], apart(df.columns)
     matched = (
         template_matches(df, text_col, templates, threshold)
-        .groupBy(F.col("doc_id").alias("_id"), F.col("_text_key").alias("_key"))
-        .agg(F.collect_set("label").alias("_more"), F.max("containment").alias("_best"))
+        .groupBy(F.col("doc_id").alias(f"{p}id"), F.col("_text_key").alias(f"{p}key"))
+        .agg(F.collect_set("label").alias(f"{p}more"), F.max("containment").alias(f"{p}best"))
     )
-    based = phrase_columns(df, text_col, phrases).withColumn("_text_key", F.xxhash64(whole_text(text_col)))
+    based = phrase_columns(df, p, text_col, phrases).withColumn(f"{p}text_key", F.xxhash64(whole_text(text_col)))
     joined = based.join(
-        matched, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left"
+        matched, F.col("doc_id").eqNullSafe(F.col(f"{p}id")) & (F.col(f"{p}text_key") == F.col(f"{p}key")), "left"
+    )
+    every = F.array_sort(F.array_union(f"{p}base", F.coalesce(f"{p}more", F.array().cast("array<string>"))))
+    return joined.select(
+        *kept,
+        *[F.col(f"{p}{c}").alias(c) for c in made[:4]],
+        F.array_join(f"{p}base", ",").alias("base_labels"),
+        F.array_join(every, ",").alias("labels"),
+        F.when(F.col(f"{p}n_base") > 0, 1.0).otherwise(F.coalesce(f"{p}best", F.lit(0.0))).alias("score"),
     )
-    every = F.array_sort(F.array_union("_base", F.coalesce("_more", F.array().cast("array<string>"))))
-    return joined.withColumns(
-        {
-            "base_labels": F.array_join("_base", ","),
-            "labels": F.array_join(every, ","),
-            "score": F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("_best", F.lit(0.0))),
-        }
-    ).drop("_base", "_more", "_best", "_id", "_key", "_text_key")

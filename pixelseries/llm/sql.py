@@ -109,9 +109,11 @@ def op6() -> str:
         rf" '{ls.SEPARATORS}'), lambda x: x <> '')"
     )
     phrases = ", ".join(f"([{_quoted(p.split(' '))}], '{label}')" for p, label in ls.PHRASES)
+    every = ls.TEMPLATES + ls.LATER_PARTS
+    longest = max(len(ls.split_words(text)) for _, text in every)
     templates = ", ".join(
         f"({k}, '{label}', [{_quoted(ws)}], {ls.need(len(ws), ls.THRESHOLD)})"
-        for k, (label, ws) in enumerate(ls.template_sets())
+        for k, (label, ws) in enumerate(ls.template_sets(every))
     )
     return rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
@@ -124,7 +126,10 @@ base AS (
   SELECT rid, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list_distinct(list(label))) AS b
   FROM places GROUP BY rid),
 templates(id, label, words, least) AS (VALUES {templates}),
-blocks AS (SELECT rid, {split('line')} AS w FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM docs)),
+blocks AS (
+  SELECT rid, {split('line')} AS w FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM docs)
+  UNION ALL
+  SELECT rid, w[k + 1:k + {2 * longest}] FROM (SELECT rid, w, unnest(range(0, len(w), {longest})) AS k FROM split)),
 matches AS (
   SELECT rid, label, len(list_intersect(words, w)) / len(words) AS c FROM blocks, templates
   WHERE len(list_intersect(words, w)) >= least),

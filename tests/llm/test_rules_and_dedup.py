@@ -184,6 +184,8 @@ def test_license_scan(spark):
 
 MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
 BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+APACHE = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed"
 GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published"
 
 
@@ -191,7 +193,7 @@ def test_license_notices_in_any_wrapping(spark):
     """Notices are found wherever their lines break, wherever they stand, and by their later parts."""
     lay = lambda text, n: "\n * ".join(" ".join(text.split()[k : k + n]) for k in range(0, len(text.split()), n))
     rows, want = [], {}
-    for label, notice in (("mit", MIT), ("bsd", BSD), ("gpl", GPL)):
+    for label, notice in (("mit", MIT), ("bsd", BSD), ("gpl", GPL), ("apache-2", APACHE), ("mpl", MPL)):
         for n in (1, 3, 5, 8, 10):
             for ahead in (0, 7, 23, 40):
                 want[len(rows)] = label
@@ -203,7 +205,7 @@ def test_license_notices_in_any_wrapping(spark):
     got = {r["doc_id"]: r for r in ls.license_scan(docs(spark, rows)).collect()}
     assert {k: got[k]["labels"] for k in want} == want
     assert got[500]["labels"] == got[None]["labels"] == "" and got[500]["score"] == 0
-    assert all(got[k]["base_labels"] == "" and got[k]["score"] >= ls.THRESHOLD for k in want)
+    assert all((got[k]["base_labels"] == "" or want[k] == "apache-2") and got[k]["score"] >= ls.THRESHOLD for k in want)
     found = ls.template_matches(docs(spark, rows)).groupBy("doc_id", "template").count().collect()
     longest = max(len(ls.split_words(t)) for _, t in ls.TEMPLATES + ls.LATER_PARTS)
     sets, plain = ls.template_sets(ls.TEMPLATES + ls.LATER_PARTS), {}
@@ -217,6 +219,14 @@ def test_license_notices_in_any_wrapping(spark):
     assert {(r["doc_id"], r["template"]) for r in found} == set(plain)
 
 
+def test_license_scan_passes_clashing_columns(spark):
+    more = "_id _key _more _best _w _base _text_key _p0 _xw _X_id".split()
+    rows = [(1, GPL, *more), (2, None, *more), (2, None, *more)]
+    got = ls.license_scan(spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in more))).collect()
+    assert len(got) == 3 and all(r[c] == c for r in got for c in more)
+    assert sorted((r["doc_id"], r["labels"]) for r in got) == [(1, "gpl"), (2, ""), (2, "")]
+
+
 URLS = [None, "", "no scheme", "http://", "http://Org/x", "https://a.Example.ORG/en/17?x=1#f", "http://example.org", "http://x.com/fr/a?b#c", "http://x.com/de/1", "http://notorg/", "a://b?c/d", "a://b#c://d", "x://h\n/p", "http://com/fr/"]
 
 
