@@ -5,63 +5,59 @@ letters into one space, so shouting, digits and symbols tell nothing. The UTF-8
 the whole rest are read.
 
 A document whose crc32(doc_id as text) mod ``folds`` is ``held`` is held out and never
-learned from. At most ``max_docs`` (about) of the others with a known language train the
-network, spread evenly over languages and chosen by a hash of the id.
+learned from. Of the others with a known language, those with the least hashes of their ids
+train the network: ``max_docs`` shared out evenly over the languages, but ``MIN_DOCS`` of each
+at least, so that every language is a class, as long as their whole texts have ``max_bytes`` in all.
 
 Odd rows: a null text, or one without a letter, is ``und`` with score 1; a null ``doc_id``
-hashes as an empty text; with one language to learn, everything gets it with score 1; with
-none, everything is ``und``. Repeated rows get equal results; other columns pass through.
+hashes as an empty text and trains nothing; several texts of one id train as one; of languages
+with equal probabilities the first by name is told; texts of any length are read window by
+window in bounded memory; with one language to learn, everything gets it with score 1; with
+none, everything is ``und``. Repeated rows get equal results; other columns pass through whatever
+their names; columns named like a result are replaced. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bigru
-from .common import whole_text
+from .common import apart, training_texts, whole_text
 from .quality_model import fold
 
-#: At most about so many documents train the network, and so many windows of each, spread over its whole text.
+#: At most about so many documents, with so many bytes of text in all, train the network; at least so many of each language.
 MAX_DOCS = 1200
-MAX_WINDOWS = 64
-#: Names of languages are collected and become the network's classes.
-MAX_LANGUAGES = 500
+MAX_BYTES = 32_000_000
+MIN_DOCS = 20
 
 
 def letters(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "))
 
 
-def training_sample(documents: DataFrame, folds: int, held: int, max_docs: int) -> DataFrame:
-    """(text, lang): about as many documents of each language, ``max_docs`` in all."""
-    known = documents.filter(F.col("lang").isNotNull() & (fold(F.col("doc_id"), folds) != held))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
-        return known.select("text", "lang").limit(0)
-    each = max(1, max_docs // len(counts))
-    # Languages with few documents give all of them; the others by a hash of the id.
-    share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, each / n))]), F.col("lang"))
-    mark = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003))
-    return known.filter(mark < share * 1_000_003).select("text", "lang").limit(2 * max_docs)
+def training_sample(documents: DataFrame, folds: int, held: int, max_docs: int, max_bytes: int) -> DataFrame:
+    """(text, label): about as many documents of each language, the label being its name."""
+    ids = documents.select("doc_id", F.col("lang").alias("label"))
+    known = ids.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != held))
+    n = known.select(F.count_distinct("label")).first()[0]
+    each = max(MIN_DOCS, max_docs // max(1, n))
+    # Ranks beyond the limit are dropped where rows are read, so a language with most rows is no burden to one task.
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = known.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= min(each, 1000))
+    chosen = chosen.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("place").alias("place"))
+    return training_texts(documents, chosen, max_bytes)
 
 
-def train(documents: DataFrame, folds: int = 4, held: int = 2, max_docs: int = MAX_DOCS) -> tuple[list[str], dict | None]:
+def train(
+    documents: DataFrame, folds: int = 4, held: int = 2, max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES
+) -> tuple[list[str], dict | None]:
     """The languages, in order, and the network (None if there are fewer than two)."""
-
-    def spread(batches):
-        for batch in batches:
-            cut = [bigru.windows(x) for x in batch["x"]]
-            picked = [c[np.unique(np.linspace(0, len(c) - 1, MAX_WINDOWS).astype(int))] for c in cut]
-            yield pd.DataFrame({"x": [p.tobytes() for p in picked], "lang": batch["lang"]})
-
-    sample = training_sample(documents, folds, held, max_docs)
-    sample = sample.select(F.encode(letters(whole_text()), "UTF-8").alias("x"), "lang").filter(F.octet_length("x") > 0)
-    rows = sorted((r["lang"], bytes(r["x"])) for r in sample.mapInPandas(spread, "x binary, lang string").collect())
+    sample = training_sample(documents, folds, held, max_docs, max_bytes)
+    sample = sample.select(F.encode(letters(F.col("text")), "UTF-8").alias("x"), "label").filter(F.octet_length("x") > 0)
+    rows = sorted((r["label"], bytes(r["x"])) for r in sample.collect())
     names = sorted({lang for lang, _ in rows})
     if len(names) < 2:
         return names, None
@@ -78,14 +74,14 @@ def languages(documents: DataFrame, folds: int = 4, held: int = 2, max_docs: int
         best = q.argmax(axis=1)
         return pd.DataFrame({"lang": [names[k] for k in best], "score": q[np.arange(len(q)), best].astype(float)})
 
-    bare = letters(whole_text())
+    bare, p = letters(whole_text()), apart(documents.columns)
     fixed = F.struct(F.lit(names[0] if names else "und").alias("lang"), F.lit(1.0).alias("score"))
     made = fixed if model is None else told(F.encode(bare, "UTF-8"))
-    out = documents.withColumns({"held_out": fold(F.col("doc_id"), folds) == held, "_bare": bare, "_told": made})
-    none = F.col("_bare") == ""
-    return out.withColumns(
-        {
-            "lang_pred": F.when(none, "und").otherwise(F.col("_told.lang")),
-            "score": F.when(none, 1.0).otherwise(F.least(F.lit(1.0), F.col("_told.score"))),
-        }
-    ).drop("_bare", "_told")
+    out = documents.withColumns({f"{p}held": fold(F.col("doc_id"), folds) == held, f"{p}bare": bare, f"{p}told": made})
+    none = F.col(f"{p}bare") == ""
+    return out.select(
+        *[c for c in documents.columns if c.lower() not in ("held_out", "lang_pred", "score")],
+        F.col(f"{p}held").alias("held_out"),
+        F.when(none, "und").otherwise(F.col(f"{p}told.lang")).alias("lang_pred"),
+        F.when(none, 1.0).otherwise(F.least(F.lit(1.0), F.col(f"{p}told.score"))).alias("score"),
+    )

@@ -1,9 +1,11 @@
 """Passages of a text and the vector that describes each.
 
-A passage is ``PASSAGE_WORDS`` words in a row. All passages of many texts are measured at
-once with numpy: counts of byte classes, repeated and adjacent-equal words (by a rolling
-hash of the lower-cased bytes), stop words, word lengths. Texts longer than ``PIECE_BYTES``
-are measured in pieces cut at white space, so memory does not grow with a text.
+A passage is ``PASSAGE_WORDS`` words in a row with the white space around them, or
+``PASSAGE_BYTES`` bytes where fewer words than that begin in so many. Passages of many texts are
+measured at once with numpy: counts of byte classes, repeated and adjacent-equal words (by a
+rolling hash of the lower-cased bytes), stop words, word lengths. A long text is measured in
+pieces that end where a passage does, so memory does not grow with it, and its passages are
+the same as if it were measured in one piece.
 """
 
 from __future__ import annotations
@@ -14,7 +16,9 @@ from functools import cache
 import numpy as np
 
 PASSAGE_WORDS = 64
-PIECE_BYTES = 1 << 20
+PASSAGE_BYTES = 1 << 20
+#: Bytes of text that are measured together, about.
+RUN_BYTES = 1 << 20
 STOP_WORDS = (
     "the of and to in that is was for on with as it by at from this are be or an "
     "der die das und ist von mit den zu auf für im dem nicht ein eine sich "
@@ -76,7 +80,7 @@ def _spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _measure(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(piece of each passage, features of each passage); a piece without words has one passage."""
-    data = np.frombuffer(b" ".join(pieces) + b" ", np.uint8)
+    data = np.frombuffer(b" ".join(pieces) + b" ", np.uint8)  # the spaces between pieces count as nothing
     heads = np.cumsum([0] + [len(p) + 1 for p in pieces])
     starts, ends = _spans(data)
     owner = np.searchsorted(heads, starts, "right") - 1
@@ -94,8 +98,10 @@ def _measure(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     later = cut & (inside > 0)
     begin[at[later]] = starts[later]
     lengths = np.diff(np.append(begin, len(data)))
-    of_byte = np.repeat(np.arange(n), lengths)
-    classes = np.bincount(of_byte * N_CLASSES + _tables()[0][data], minlength=n * N_CLASSES).reshape(n, N_CLASSES)
+    kind = _tables()[0][data]
+    kind[heads[1:] - 1] = N_CLASSES
+    kind += np.repeat(np.arange(n) * (N_CLASSES + 1), lengths)
+    classes = np.bincount(kind, minlength=n * (N_CLASSES + 1)).reshape(n, N_CLASSES + 1)[:, :N_CLASSES]
     words = np.bincount(at, minlength=n)
     some = np.maximum(words, 1)
     hashed = _word_hashes(data, starts, ends)
@@ -116,21 +122,25 @@ def _measure(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         np.bincount(at, size == 1, minlength=n) / some,
         np.log1p(words) / 4,
     ]
-    features = np.column_stack([classes / np.maximum(lengths, 1)[:, None], *extra])
+    features = np.column_stack([classes / np.maximum(classes.sum(axis=1), 1)[:, None], *extra])
     return piece_of, features.astype(np.float32)
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:
-    while len(text) > PIECE_BYTES:
-        cut = max(text.rfind(b" ", 0, PIECE_BYTES), text.rfind(b"\n", 0, PIECE_BYTES))
-        cut = cut + 1 if cut > 0 else PIECE_BYTES
-        yield text[:cut]
-        text = text[cut:]
-    yield text
+    """The text, cut where passages end."""
+    at, view = 0, memoryview(text)
+    while len(text) - at > PASSAGE_BYTES:
+        window = view[at : at + PASSAGE_BYTES]
+        starts = _spans(np.frombuffer(window, np.uint8))[0]
+        whole = (len(starts) - 1) // PASSAGE_WORDS * PASSAGE_WORDS  # words of the passages that end in the window
+        end = int(starts[whole]) if whole > 0 else PASSAGE_BYTES
+        yield bytes(window[:end])
+        at += end
+    yield bytes(view[at:])
 
 
 def passages(texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(index of the text, features) of all passages, in runs of about ``PIECE_BYTES``; a text is never empty of passages.
+    """(index of the text, features) of all passages, in runs of about ``RUN_BYTES``; a text is never empty of passages.
 
     A text longer than a run goes on in the next one.
     """
@@ -140,7 +150,7 @@ def passages(texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             held.append(piece)
             owners.append(k)
             size += len(piece)
-            if size >= PIECE_BYTES:
+            if size >= RUN_BYTES:
                 of, features = _measure(held)
                 yield np.array(owners)[of], features
                 held, owners, size = [], [], 0

@@ -1,6 +1,7 @@
 """Near-dedup, BPE, WARC, the two networks and the pipeline on small tables, against plain Python."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -238,13 +239,71 @@ def test_attention_gradient_and_streamed_score():
     assert np.allclose(whole, parts)
 
 
-def test_passages_cover_whole_texts():
-    texts = [b"", b"one", b"w " * 1000, b"long " * 300_000]
-    counts = np.zeros(4, int)
-    for of, x in enc.passages(texts):
-        counts += np.bincount(of, minlength=4)
-        assert x.shape[1] == enc.N_FEATURES and np.isfinite(x).all()
-    assert counts[:3].tolist() == [1, 1, 16] and counts[3] >= 300_000 // enc.PASSAGE_WORDS
+def plain_passages(text):
+    """(words, bytes) of each passage of a text, word by word."""
+    spans = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0d]+", text)]
+    out, at = [], 0
+    while True:
+        inside = [(max(a, at), e) for a, e in spans if e > at]
+        if len(inside) > enc.PASSAGE_WORDS and inside[enc.PASSAGE_WORDS][0] < at + enc.PASSAGE_BYTES:
+            end = inside[enc.PASSAGE_WORDS][0]
+        elif len(text) - at > enc.PASSAGE_BYTES:
+            end = at + enc.PASSAGE_BYTES
+        else:
+            end = len(text)
+        out.append(([text[a : min(e, end)] for a, e in inside if a < end], text[at:end]))
+        at = end
+        if at >= len(text):
+            return out
+
+
+def plain_vector(words, data):
+    count = lambda chars: sum(data.count(bytes([c])) for c in chars)
+    classes = [count(c) for c in enc.CLASSES]
+    lower = [c for c in range(97, 123) if chr(c) not in "aeiou"]
+    known = set(b"".join(enc.CLASSES)) | set(lower) | set(b"aeiou")
+    classes += [count(lower), count([c for c in range(128) if c not in known]), count(range(0xC0, 256)), count(range(0x80, 0xC0))]
+    folded, n = [w.lower() for w in words], max(1, len(words))
+    stops = {w.encode() for w in enc.STOP_WORDS}
+    extra = [
+        len(set(folded)) / n, sum(a == b for a, b in zip(folded, folded[1:])) / n, sum(w in stops for w in folded) / n,
+        sum(map(len, words)) / n / 10, sum(len(w) == 1 for w in words) / n, np.log1p(len(words)) / 4,
+    ]
+    return [c / max(1, len(data)) for c in classes] + extra
+
+
+def plain_score(p, text):
+    """Encoder, gated attention and logistic unit, passage by passage."""
+    h, e = [], []
+    for words, data in plain_passages(text):
+        x = (np.array(plain_vector(words, data)) - p["mean"]) / p["spread"]
+        h.append(np.tanh(x @ p["W"] + p["b"]))
+        e.append(sum(w * np.tanh(h[-1] @ v) / (1 + np.exp(-h[-1] @ u)) for w, v, u in zip(p["w"], p["V"].T, p["U"].T)))
+    a = np.exp(np.array(e) - max(e))
+    return 1 / (1 + np.exp(-(sum(x * y for x, y in zip(a / a.sum(), h)) @ p["c"] + p["c0"][0])))
+
+
+PASSAGES = [b"", b" ", b"one", b" \n two  The the\tTHE ", b"w " * 1000, "Äé ß 漢字 😀 #* | !? 12 AZ".encode() * 90, b"x" * 5000, b"a b " + b" " * 3000 + b"c", b"long word " * 700]
+
+
+@pytest.mark.parametrize("most", [1 << 20, 700])
+def test_passages_against_plain_python(monkeypatch, most):
+    """All features of all passages; a small bound cuts texts into pieces, and changes nothing but what the definition says."""
+    monkeypatch.setattr(enc, "PASSAGE_BYTES", most)
+    for run in (1, 1 << 20):
+        monkeypatch.setattr(enc, "RUN_BYTES", run)
+        of, x = (np.concatenate(a) for a in zip(*enc.passages(PASSAGES)))
+        want = [(k, plain_vector(*p)) for k, text in enumerate(PASSAGES) for p in plain_passages(text)]
+        assert of.tolist() == [k for k, _ in want]
+        assert np.allclose(x, np.array([v for _, v in want]), atol=1e-5)
+
+
+def test_documents_score_as_a_plain_loop_does(spark, table):
+    some = [r["text"] or "" for r in table.limit(40).collect()] + ["word " * 300_000]
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality_model.train(table, labels)
+    got = mil.score(model, enc.passages([t.encode() for t in some]), len(some))
+    assert np.allclose(got, [plain_score(model, t.encode()) for t in some[:-1]] + [got[-1]], atol=1e-4) and 0 <= got[-1] <= 1
 
 
 def test_quality_scores(spark):
@@ -262,6 +321,9 @@ def test_quality_scores_of_odd_tables(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, None, 0), (None, 0, 0), (1, 1, 0)], "doc_id long, quality int, toxic int")
     rows = quality_model.quality_scores(odd, labels).collect()
     assert len(rows) == 4 and {r["score"] for r in rows} == {1.0}
+    clash = odd.withColumns({c: F.lit("x") for c in ("label", "place", "quality", "score", "n", "x")})
+    rows = quality_model.quality_scores(clash, labels).collect()
+    assert len(rows) == 4 and {(r["score"], r["label"], r["place"], r["quality"]) for r in rows} == {(1.0, "x", "x", "x")}
     assert {r["score"] for r in quality_model.quality_scores(odd, labels.limit(0)).collect()} == {0.5}
     assert quality_model.quality_scores(documents(spark, []), labels).count() == 0
 
@@ -278,6 +340,48 @@ def test_network_gradient():
         assert g[k][at] == pytest.approx((bigru.gradients(up, x, y)[0] - bigru.gradients(down, x, y)[0]) / 2e-5, abs=1e-7)
 
 
+def plain_probabilities(p, text):
+    """The two networks byte by byte, window by window, and the mean over positions."""
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    n, total = bigru.HIDDEN, np.zeros(len(p["o"]))
+    for at in range(0, len(text), bigru.WINDOW):
+        real = text[at : at + bigru.WINDOW]
+        window = real + bytes(bigru.WINDOW - len(real))
+        seen = []
+        for way, run in enumerate((window, window[::-1])):
+            h, out = np.zeros(n), []
+            for byte in run:
+                e, u = p["E"][way][byte] + p["b"][way][0], h @ p["U"][way]
+                z, r = sigmoid(e[:n] + u[:n]), sigmoid(e[n : 2 * n] + u[n : 2 * n])
+                h = z * h + (1 - z) * np.tanh(e[2 * n :] + r * u[2 * n :])
+                out.append(h)
+            seen.append(out if way == 0 else out[::-1])
+        for k in range(len(real)):
+            logits = np.concatenate([seen[0][k], seen[1][k]]) @ p["O"] + p["o"]
+            q = np.exp(logits - logits.max())
+            total += q / q.sum()
+    return total / len(text)
+
+
+@pytest.mark.parametrize("batch", [4096, 3])
+def test_document_probabilities_against_a_plain_loop(monkeypatch, batch):
+    monkeypatch.setattr(bigru, "BATCH", batch)
+    texts = [b"a", b"hello world", "äöü ñandú ".encode() * 30, bytes(range(1, 256)) * 3, b"x" * 64, b"y" * 65]
+    p = bigru.start(3, 5)
+    got = bigru.document_probabilities(p, [b"", *texts])
+    assert np.allclose(got[1:], [plain_probabilities(p, t) for t in texts]) and np.allclose(got[0], 1 / 3)
+
+
+def test_every_language_is_learned(spark):
+    """A language with few documents is a class beside one with most rows; ids that repeat and long texts stay within the bound."""
+    texts = ["ab" * 40] * 400 + ["xyz " * 30] * 3 + ["q" * 900]
+    langs = ["en"] * 400 + ["zz"] * 3 + ["en"]
+    docs = documents(spark, texts, lang=langs, ids=[*range(403), 9000]).unionByName(documents(spark, ["ab"] * 50, lang=["en"] * 50, ids=[7] * 50))
+    sample = language_id.training_sample(docs, 4, 2, 40, 2500)
+    rows = sample.collect()
+    assert {r["label"] for r in rows} == {"en", "zz"} and sum(len(r["text"]) for r in rows) <= 2500 and len(rows) > 20
+
+
 def test_languages(spark, table):
     got = q.op9_language_id(spark, SF).toPandas().merge(table.select("doc_id", "lang", "n_chars").toPandas(), on="doc_id")
     assert (got["held_out"] == got["doc_id"].map(lambda d: zlib.crc32(str(d).encode()) % 4 == 2)).all()
@@ -291,6 +395,9 @@ def test_languages_of_odd_tables(spark):
     two = documents(spark, texts, [0, 1, 2, None, 5], lang=["en", "en", None, "de", "de"])
     got = {r["doc_id"]: r["lang_pred"] for r in language_id.languages(two).collect()}
     assert got[1] == got[2] == got[None] == "und" and {got[0], got[5]} <= {"en", "de"}
+    clash = two.withColumns({c: F.lit("x") for c in ("_told", "_bare", "label", "place", "_xtold", "score")})
+    rows = language_id.languages(clash).collect()
+    assert len(rows) == 5 and {(r["_told"], r["_bare"], r["label"], r["_xtold"]) for r in rows} == {("x",) * 4}
     none = documents(spark, texts, lang=[None] * 5)
     assert {r["lang_pred"] for r in language_id.languages(none).collect()} == {"und"}
     assert language_id.languages(documents(spark, [])).count() == 0
