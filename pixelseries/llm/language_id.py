@@ -25,13 +25,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bigru
-from .common import apart, training_texts, whole_text
+from .common import apart, bounded, staged, training_texts, whole_text
 from .quality_model import fold
 
 #: At most about so many documents, with so many bytes of text in all, train the network; at least so many of each language.
 MAX_DOCS = 1200
 MAX_BYTES = 32_000_000
 MIN_DOCS = 20
+#: Above so many languages the table of their counts is joined by a shuffle instead of a broadcast.
+MAX_BROADCAST_LANGUAGES = 10_000
 
 
 def letters(text: Column) -> Column:
@@ -42,12 +44,14 @@ def training_sample(documents: DataFrame, folds: int, held: int, max_docs: int,
     """(text, label): about as many documents of each language, the label being its name."""
     ids = documents.select("doc_id", F.col("lang").alias("label"))
     known = ids.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != held))
-    n = known.select(F.count_distinct("label")).first()[0]
-    each = max(MIN_DOCS, max_docs // max(1, n))
-    # Ranks beyond the limit are dropped where rows are read, so a language with most rows is no burden to one task.
+    held_by = staged(known.groupBy("label").agg(F.approx_count_distinct("doc_id").alias("n")), "languages")
+    each = max(MIN_DOCS, max_docs // max(1, held_by.count()))
+    # A draw by the hash leaves about four times as many as are wanted, of a language with any number of rows: those are ranked.
+    mark = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) * F.col("n")
+    drawn = known.join(bounded(held_by, MAX_BROADCAST_LANGUAGES), "label").filter(mark < 4.0 * each * 1_000_003)
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= min(each, 1000))
-    chosen = chosen.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("place").alias("place"))
+    ranked = drawn.select("doc_id", "label").distinct().withColumn("place", F.row_number().over(order))
+    chosen = ranked.filter(F.col("place") <= each).groupBy("doc_id").agg(F.min("label").alias("label"), F.min("place").alias("place"))
     return training_texts(documents, chosen, max_bytes)
 
 
