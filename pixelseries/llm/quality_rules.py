@@ -2,8 +2,9 @@
 
 Every measure is a built-in expression over the whole text. Results for odd rows:
 a null or empty text has no words, so it fails the base rule and all measures are
-zero; ratios over zero words or lines count as zero; other columns pass through
-unread, and a repeated row gets the same verdict each time.
+zero; ratios over zero words or lines count as zero; texts of any length are measured
+whole, each in its task; other columns pass through unread, whatever their names, and a
+repeated row gets the same verdict each time. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -29,8 +29,9 @@ def op1_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = sm.by_position(sm.source_mix(table(spark, sf_dir, "documents")))
+    first, second = (F.get("positions", F.lit(k)) for k in (0, 1))
     return mixed.select(
-        "doc_id", "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("position")
+        "doc_id", "size", "source_size", "target", "taken", first.alias("position"), second.alias("second_position")
     )
 
 

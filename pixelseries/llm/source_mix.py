@@ -8,13 +8,16 @@ its target asks; a document whose demand starts at token c of the source's strea
 the training position t at which the integrated schedule has asked for c tokens. Documents
 are range-sorted by that position.
 
-Order within a source comes from the MD5 of ``doc_id``, so reruns agree. Running sums are
-taken in two levels (buckets of the order within a source, then rows within a bucket), so
-a source with most of the rows is spread over many tasks.
+Order within a source comes from the MD5 of ``doc_id``, size and what else is carried along, so
+reruns agree. Running sums are taken in two levels (buckets of the order within a source, then
+rows within a bucket), so a source with most of the rows is spread over many tasks, as are the
+rows of an id that repeats, or of none, as far as their sizes differ. Sources themselves are
+ordered in one task, which holds a few numbers for each.
 
 Odd rows: a null or empty text has size 0 and takes nothing, and its position is null; a null source is a
 source of its own and comes last; a null ``doc_id`` comes last within its source; repeated
-rows count each time. A corpus without words gives targets of 0.
+rows count each time; texts of any length are counted whole. Columns that are not carried are not
+read, whatever their names. A corpus without words gives targets of 0; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, staged, whole_text, words
+from .common import ROW, bounded, staged, whole_text, words
 
 #: Weights at the start, middle and end of the run; sources take them in turn. Their integrals are 5, 2 and 1.
 SCHEDULES = ((7.5, 5.0, 2.5), (2.0, 2.0, 2.0), (0.5, 1.0, 1.5))
@@ -105,7 +108,10 @@ def mix(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, max_epochs:
     ``taken`` counts repeats. ``positions`` holds the position of each pass that takes words of it.
     """
     carried = [c for c in sizes.columns if c not in ("doc_id", "source", "size")]
-    order = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+    named = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string")]
+    spread = [c for c in carried if c != ROW]  # a row's key may differ from run to run
+    named += [F.xxhash64(*spread).cast("string")] if spread else []
+    order = F.conv(F.substring(F.md5(F.concat_ws(" ", *named)), 1, 15), 16, 10).cast("long")
     sources = staged(source_targets(sizes, schedules, budget, max_epochs), "sources").withColumnRenamed("source", "_src")
     buckets = F.greatest(
         F.lit(1.0), F.ceil(F.col("_docs") / F.greatest(F.lit(256.0), F.ceil(F.sqrt(F.col("_docs").cast("double")))))

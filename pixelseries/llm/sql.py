@@ -55,6 +55,12 @@ FROM judged"""
 
 def op2() -> str:
     turn = lambda place: f"{place} % 3"
+    at = lambda share: f"""CASE {turn('place')}
+         WHEN 0 THEN CASE WHEN {share} * 5 < 3.125 THEN (sqrt(56.25 - 10 * ({share} * 5)) - 7.5) / -5
+                     ELSE 0.5 + (sqrt(25 - 10 * ({share} * 5 - 3.125)) - 5) / -5 END
+         WHEN 1 THEN CASE WHEN {share} * 2 < 1 THEN {share} * 2 / 2 ELSE 0.5 + ({share} * 2 - 1) / 2 END
+         ELSE CASE WHEN {share} < 0.375 THEN (sqrt(0.25 + 2 * {share}) - 0.5) / 1
+              ELSE 0.5 + (sqrt(1 + 2 * ({share} - 0.375)) - 1) / 1 END END"""
     return rf"""
 WITH sizes AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size FROM documents),
 stats AS (
@@ -73,19 +79,15 @@ targets AS (
   FROM levels),
 streams AS (
   SELECT doc_id, size, source_size, target, place, floor(target)::BIGINT AS wanted,
-         coalesce(sum(size) OVER (PARTITION BY place ORDER BY ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT,
+         coalesce(sum(size) OVER (PARTITION BY place ORDER BY ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ' ' || size), 1, 15))::BIGINT,
            doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source),
 taken AS (
-  SELECT *, greatest(0, least(size, wanted - start)) AS one, greatest(0, least(size, wanted - source_size - start)) AS two,
-         start / target AS share FROM streams)
+  SELECT *, greatest(0, least(size, wanted - start)) AS one, greatest(0, least(size, wanted - source_size - start)) AS two
+  FROM streams)
 SELECT doc_id, size, source_size, target, (one + two)::BIGINT AS taken,
-       CASE WHEN one + two > 0 THEN CASE {turn('place')}
-         WHEN 0 THEN CASE WHEN share * 5 < 3.125 THEN (sqrt(56.25 - 10 * (share * 5)) - 7.5) / -5
-                     ELSE 0.5 + (sqrt(25 - 10 * (share * 5 - 3.125)) - 5) / -5 END
-         WHEN 1 THEN CASE WHEN share * 2 < 1 THEN share * 2 / 2 ELSE 0.5 + (share * 2 - 1) / 2 END
-         ELSE CASE WHEN share * 1 < 0.375 THEN (sqrt(0.25 + 2 * share) - 0.5) / 1
-              ELSE 0.5 + (sqrt(1 + 2 * (share - 0.375)) - 1) / 1 END END END AS position
+       CASE WHEN one > 0 THEN {at('(start / target)')} END AS position,
+       CASE WHEN two > 0 THEN {at('((source_size + start) / target)')} END AS second_position
 FROM taken"""
 
 

@@ -429,7 +429,8 @@ def test_pipeline_against_its_parts(spark, table):
     assert sorted(r["doc_id"] for r in final) == sorted(r[0] for r in mixed)
     assert all(r["n_tokens"] == len(made.encode(texts[r["doc_id"]], add_special_tokens=False).ids) for r in final)
     # Rows end in training order: by the mix's positions, each document's first and second turn.
-    at = {r["doc_id"]: r["positions"] for r in q.sm.source_mix(spark.createDataFrame(near, table.schema)).collect()}
+    rows = spark.createDataFrame(near, table.schema).withColumn("tie", F.xxhash64(*table.columns))
+    at = {r["doc_id"]: r["positions"] for r in q.sm.source_mix(rows, carry=("tie",)).collect()}
     order = sorted((p, i) for i, ps in at.items() for p in ps)
     assert [r["doc_id"] for r in final] == [i for _, i in order]
 
@@ -461,6 +462,23 @@ def test_pipeline_decides_row_by_row(spark):
     assert mixed == after("source_mix", texts, ids)
 
 
+def test_pipeline_of_long_texts_and_clashing_columns(spark):
+    """Columns named like those used inside, texts of megabytes, nulls: every stage but the last returns the columns as they came."""
+    base = "The dog and the cat sat in the house and it was warm for all of them in that long winter of the year. "
+    texts = [" ".join(f"{w}{k * 97 + i}" if i % 3 else w for i, w in enumerate((base * 4).split())) for k in range(12)]
+    texts += [texts[0], texts[1] + " x", " ".join(f"{w}{i}" if i % 3 else w for i, w in enumerate((base * 20_000).split())), None, "", "short"]
+    more = "_at _tie kept points row positions keep_id fp root text_sha256 _sha256 taken size place".split()
+    docs = documents(spark, texts).withColumns({c: F.lit(c) for c in more})
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, SF).write.parquet(path := warc.new_path(spark, "stage"))
+        docs = spark.read.parquet(path)
+        assert docs.columns == columns
+        assert docs.filter(" AND ".join(f"{c} = '{c}'" for c in more)).count() == docs.count() > 0
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert len(last) == docs.count() and max(r["n_tokens"] for r in last) > 400_000 and {r["doc_id"] for r in last} <= set(range(15))
+
+
 @pytest.mark.parametrize("plain", [True, False])
 def test_row_keys(spark, plain):
     """A plain scan gets its keys in place, anything else gets a copy; both are of one row each and hold on rereading."""
