@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelseries.llm import bpe_words, exact_dedup, near_dedup, quality_rules, source_mix
-from pixelseries.llm.common import ROW, keyed, new_path, staged, table
+from pixelseries.llm.common import ROW, apart, keyed, new_path, staged, table
 
 #: XXH64 fingerprints and BPE have no SQL form, so the pipeline as a whole has none.
 ORACLE_SQL = None
@@ -38,10 +38,11 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = keyed(docs, "rows")
-    mixed = source_mix.source_mix(rows.withColumn("_tie", F.xxhash64(*docs.columns)), carry=("_tie", ROW))
-    takes = mixed.select(ROW, "_tie", F.explode("positions").alias("_at"))
-    return rows.join(takes, ROW).orderBy("_at", "doc_id", "_tie").select(*docs.columns)
+    rows, p = keyed(docs, "rows"), apart(docs.columns)
+    tie = f"{p}tie"
+    mixed = source_mix.source_mix(rows.withColumn(tie, F.xxhash64(*docs.columns)), carry=(tie, ROW))
+    takes = mixed.select(ROW, tie, F.explode("positions").alias(f"{p}at"))
+    return rows.join(takes, ROW).orderBy(f"{p}at", "doc_id", tie).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
