@@ -19,6 +19,11 @@ LAYERS = {
 }
 
 
+def by_file(df: DataFrame, *further: str) -> DataFrame:
+    """Deal rows to the tasks that write them: one for each tile-year, value of ``further`` and block of neighbouring pixels."""
+    return df.repartition(*TILE_YEAR, *further, F.floor(F.col("pixel") / FILE_PIXELS))
+
+
 def known_band(name: str) -> str:
     if name not in LAYERS:
         raise ValueError(f"unknown band {name!r}")
@@ -121,8 +126,7 @@ def write_bands(df: DataFrame, path: str) -> None:
     """
     there = stored(df.sparkSession, path, df.schema).select(*TILE_YEAR).distinct()
     new = df.join(there, TILE_YEAR, "left_anti").select(*df.columns)
-    block = F.floor(F.col("pixel") / FILE_PIXELS)
-    new.repartition(*TILE_YEAR, block).write.mode("append").partitionBy(*TILE_YEAR).parquet(path)
+    by_file(new).write.mode("append").partitionBy(*TILE_YEAR).parquet(path)
 
 
 def read_bands(spark: SparkSession, path: str) -> DataFrame:
@@ -146,4 +150,4 @@ def write_mask(obs: DataFrame, path: str) -> None:
     """The QA mask of every date as 1 (good) or the missing value (bad); tile-years that ``obs`` holds are replaced, others stay."""
     ok = px.qa_ok(F.col("state"), px.normalize_nodata(F.col("zenith"), FILL["zenith"]))
     mask = F.when(ok, F.lit(1)).otherwise(F.lit(px.MISSING))
-    replace_partitions(obs.select(*PIXEL, "day", mask.alias("mask")), path, TILE_YEAR)
+    replace_partitions(by_file(obs.select(*PIXEL, "day", mask.alias("mask"))), path, TILE_YEAR)

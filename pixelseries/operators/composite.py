@@ -37,8 +37,10 @@ def composite_mean(values: DataFrame, periods: DataFrame) -> DataFrame:
     rows = values.join(bounded(periods, MAX_BROADCAST_DATES), [*TILE_YEAR, "day"]).select(*PIXEL, "period", "first_day", *ALL_BANDS)
     empty = values.select(*PIXEL).distinct().join(bounded(spans, MAX_BROADCAST_DATES), TILE_YEAR)
     empty = empty.select(*PIXEL, "period", "first_day", *[F.lit(None).cast("int").alias(b) for b in ALL_BANDS])
+    # Dealt by pixel, so that metrics over the composites need no exchange of their own.
     return (
         rows.unionByName(empty)
+        .repartition(*PIXEL)
         .groupBy(*PIXEL, "period")
         .agg(F.min("first_day").alias("first_day"), *[F.avg(b).alias(b) for b in ALL_BANDS])
     )
@@ -61,7 +63,7 @@ def composites(
     as_int16: bool = False,
     missing_zenith_passes: bool = True,
 ) -> DataFrame:
-    """Observations to composites with their index: one exchange of partial means, and one of distinct pixels.
+    """Observations to composites with their index: one exchange by pixel, which metrics use too, and one of distinct pixels.
 
     The calendar is written once, as it is small and read three times; observations meet it without an exchange.
     ``ndvi_missing`` and ``as_int16`` are those of ``with_index``; with ``missing_zenith_passes`` false, a missing zenith fails QA.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixelseries.functions import pixel as px
-from pixelseries.operators.bands import TILE_YEAR, known_band, normalized
+from pixelseries.operators.bands import TILE_YEAR, by_file, known_band, normalized
 from pixelseries.sources.adapter import ALL_BANDS, PIXEL
 from pixelseries.sources.storage import replace_partitions
 
@@ -67,4 +67,4 @@ def stage_dump(obs: DataFrame, comp: DataFrame, periods: DataFrame, band: str, d
 
 def write_dump(df: DataFrame, path: str) -> None:
     """Store quality layers or a stage dump (rows with a pixel key and a day): the tile-years and days that ``df`` holds are replaced."""
-    replace_partitions(df, path, [*TILE_YEAR, "day"])
+    replace_partitions(by_file(df, "day"), path, [*TILE_YEAR, "day"])

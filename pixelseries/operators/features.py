@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from pixelseries.functions.pixel import to_stored
 from pixelseries.operators import metrics as mt
-from pixelseries.operators.bands import FILE_PIXELS, TILE_YEAR
+from pixelseries.operators.bands import TILE_YEAR, by_file
 from pixelseries.sources.adapter import PIXEL
 from pixelseries.sources.storage import replace_partitions, stored
 
@@ -84,9 +84,7 @@ def write_metrics(long: DataFrame, path: str, stored_missing: bool = True) -> No
     The catalog with the descriptions of all layers is stored beside them, in a folder that readers of the table pass over.
     """
     value = to_stored(F.col("value")).cast("double") if stored_missing else F.col("value")
-    block = F.floor(F.col("pixel") / FILE_PIXELS)
-    laid = long.withColumn("value", value).repartition(*TILE_YEAR, "metric", block)
-    replace_partitions(laid, path, [*TILE_YEAR, "metric"])
+    replace_partitions(by_file(long.withColumn("value", value), "metric"), path, [*TILE_YEAR, "metric"])
     metric_catalog(long.sparkSession).coalesce(1).write.mode("overwrite").parquet(f"{path}/_catalog")
 
 
@@ -110,7 +108,8 @@ def reuse_or_compute(comp: DataFrame, stored_rows: DataFrame, name: str, path: s
     have = stored_rows.filter(F.col("metric") == name)
     done = have.select(*TILE_YEAR).distinct()
     todo = comp.join(done, TILE_YEAR, "left_anti").select(*comp.columns)
-    replace_partitions(mt.metric_long(todo, name).withColumn("metric", F.lit(name)), path, [*TILE_YEAR, "metric"])
+    made = mt.metric_long(todo, name).withColumn("metric", F.lit(name))
+    replace_partitions(by_file(made), path, [*TILE_YEAR, "metric"])
     columns = [*PIXEL, "metric", "band", "value"]
     fresh = stored(comp.sparkSession, path, StructType.fromDDL(LAYER)).filter(F.col("metric") == name).join(done, TILE_YEAR, "left_anti")
     wanted = comp.select(*TILE_YEAR).distinct()
@@ -130,8 +129,7 @@ def reuse_or_compute_band(source: DataFrame, make: Callable[[DataFrame], DataFra
     done = have.select(*TILE_YEAR).distinct()
     todo = source.join(done, TILE_YEAR, "left_anti").select(*source.columns)
     made = make(todo).select(*PIXEL, "step", F.lit(band).alias("band"), F.col("value").cast("double").alias("value"))
-    block = F.floor(F.col("pixel") / FILE_PIXELS)
-    replace_partitions(made.repartition(*TILE_YEAR, block), path, [*TILE_YEAR, "band"])
+    replace_partitions(by_file(made), path, [*TILE_YEAR, "band"])
     fresh = stored(source.sparkSession, path, schema).filter(F.col("band") == band).join(done, TILE_YEAR, "left_anti")
     both = have.select(*columns, F.lit(True).alias("reused")).unionByName(fresh.select(*columns, F.lit(False).alias("reused")))
     return both.join(source.select(*TILE_YEAR).distinct(), TILE_YEAR, "left_semi").select(*columns, "reused")

@@ -129,17 +129,16 @@ def bad_names(names: DataFrame) -> DataFrame:
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled pixels: every supplier in every season year that the line items touch, complete or not."""
-    dates = table(spark, sf_dir, "lineitem").select(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b"))
-    # One row; a season year begins at most a year before its dates.
-    years = dates.select(F.explode(F.sequence(F.year("a") - 1, F.year("b"))).alias("season_year"))
+    lines = table(spark, sf_dir, "lineitem")
+    first, last = (lines.select(f(F.year("l_shipdate"))).scalar() for f in (F.min, F.max))
+    years = F.explode(F.sequence(first - 1, last))  # a season year begins at most a year before its dates
     return (
         table(spark, sf_dir, "supplier")
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(years))
         .select(
             F.col("n_nationkey").cast("int").alias("h"),
             F.col("n_regionkey").cast("int").alias("v"),
-            "season_year",
+            years.alias("season_year"),
             F.col("s_suppkey").cast("long").alias("pixel"),
             (F.floor(F.abs("s_acctbal")) % 101).cast("int").alias("label"),
         )

@@ -137,6 +137,18 @@ def test_metrics_take_one_exchange_after_the_layout(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "HashAggregate" in plan and "SortAggregate" not in plan
 
 
+def test_metrics_use_the_layout_of_composites(spark):
+    """Composites are dealt by pixel, and aggregates over them do not deal them again."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        comp = cp.composites(ad.observations(spark, SF))
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in (comp, ft.feature_table(comp, ["band_min", "lowest_3_mean"]))]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    dealt = [[x for x in p.split("\n") if "Exchange hashpartitioning" in x and "Reused" not in x and "pixel" in x] for p in plans]
+    assert len(dealt[0]) == len(dealt[1]) > 0
+
+
 def test_stream_cleans_as_the_table_does(spark, tmp_path):
     obs = season(spark, state=lambda i: i % 2)
     obs.write.parquet(str(tmp_path / "in"))
