@@ -12,6 +12,7 @@ from . import exact_dedup as xd
 from . import language_id as li
 from . import license_scan as ls
 from . import near_dedup as nd
+from . import phrase_mining as pm
 from . import quality_model as qm
 from . import quality_rules as qr
 from . import source_mix as sm
@@ -88,6 +89,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pm.phrases(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def queries() -> dict:
     return {
         "op1_quality_attention": op1_quality_attention,
@@ -100,6 +105,7 @@ def queries() -> dict:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_language_id": op9_language_id,
         "op10_warc": op10_warc,
+        "op13_phrase_mining": op13_phrase_mining,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -111,4 +117,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_license_scan": sql.op6(),
         "op8_exact_dedup": sql.op8(),
         "op10_warc": sql.op10(),
+        "op13_phrase_mining": sql.op13(),
     }

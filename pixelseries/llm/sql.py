@@ -152,3 +152,34 @@ SELECT page_id, payload_bytes, p.payload_digest AS payload_digest,
        CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND payload_bytes >= 100"""
+
+
+def op13() -> str:
+    gram = lambda k: f"SELECT lang, {k} AS k, list_slice(w, i, i + {k - 1}) AS g FROM (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS i FROM pieces)"
+    return rf"""
+WITH pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, k, g, count(*) AS f FROM ({' UNION ALL '.join(gram(k) for k in range(1, 6))})
+  GROUP BY lang, k, g HAVING count(*) >= 100),
+wider AS (
+  SELECT lang, g, max(f) AS most FROM (
+    SELECT lang, list_slice(g, 1, k - 1) AS g, f FROM grams WHERE k > 2
+    UNION ALL SELECT lang, list_slice(g, 2, k) AS g, f FROM grams WHERE k > 2) GROUP BY lang, g),
+cuts AS (
+  SELECT p.lang AS lang, p.g AS g, f AS a, unnest(range(1, k)) AS cut
+  FROM grams p LEFT JOIN wider ON p.lang = wider.lang AND p.g = wider.g WHERE k > 1 AND (most IS NULL OR 100 * most < 100 * f)),
+scored AS (
+  SELECT c.lang AS lang, c.g AS g, c.a AS a, c.cut AS cut, x.f AS l, y.f AS r, n,
+         (1000::HUGEINT * c.a * n // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN grams x ON c.lang = x.lang AND x.g = list_slice(c.g, 1, c.cut)
+  JOIN grams y ON c.lang = y.lang AND y.g = list_slice(c.g, c.cut + 1, len(c.g)) JOIN totals t ON c.lang = t.lang),
+best AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM best
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000"""
