@@ -8,6 +8,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The six ASCII white-space characters, as a character class and as a string.
 WS_CLASS = r"[\x20\x09-\x0D]"
@@ -17,6 +18,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _OWN: dict[str, str] = {}
 
+_KINDS = {"int": T.IntegerType(), "long": T.LongType(), "string": T.StringType(), "binary": T.BinaryType(), "strings": T.ArrayType(T.StringType())}
+
+
+def struct(**columns) -> T.StructType:
+    """A schema from names of types, or types; unlike a DDL string it needs no session, so that tasks can make it too."""
+    return T.StructType([T.StructField(name, _KINDS.get(kind, kind)) for name, kind in columns.items()])
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

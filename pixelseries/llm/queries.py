@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_words as bw
+from . import disclosure as dc
 from . import exact_dedup as xd
 from . import language_id as li
 from . import license_scan as ls
+from . import merkle as mk
 from . import near_dedup as nd
 from . import phrase_mining as pm
 from . import quality_model as qm
@@ -89,6 +91,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mk.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dc.found(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(dc.of_kinds(F.col("spans"), (k,))).cast("long").alias(f"n_{k}") for k in dc.BASE]
+    base = F.sha2(dc.as_text(dc.of_kinds(F.col("spans"), dc.BASE)).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, dc.as_text(F.col("spans")).alias("spans"))
+
+
 def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pm.phrases(table(spark, sf_dir, "documents").select("lang", "text"))
 
@@ -105,6 +118,8 @@ def queries() -> dict:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_language_id": op9_language_id,
         "op10_warc": op10_warc,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_disclosure": op12_disclosure,
         "op13_phrase_mining": op13_phrase_mining,
         "pipeline": corpus_pipeline.run,
     }
@@ -117,5 +132,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_license_scan": sql.op6(),
         "op8_exact_dedup": sql.op8(),
         "op10_warc": sql.op10(),
+        "op11_merkle_manifest": sql.op11(),
         "op13_phrase_mining": sql.op13(),
     }

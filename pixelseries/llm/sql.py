@@ -183,3 +183,58 @@ best AS (
   QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM best
 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000"""
+
+
+def _risen(name: str, start: str, levels: int) -> str:
+    """Tables ``name``0 to ``name`` + levels of (tree, pos, h), a level of a tree of three in each; trees of one node stay."""
+    out = [f"{name}0 AS ({start})"]
+    for k in range(levels):
+        out.append(
+            f"""{name}{k + 1} AS (
+  SELECT tree, 0::BIGINT AS pos, h FROM {name}{k} WHERE size = 1
+  UNION ALL SELECT tree, pos // 3 AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h FROM {name}{k} WHERE size > 1 GROUP BY tree, pos // 3)""".replace(
+                f"FROM {name}{k} ", f"FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS size FROM {name}{k}) "
+            )
+        )
+    return ",\n".join(out)
+
+
+def _path(name: str, levels: int, key: str, start: str) -> str:
+    """Tables ``name``p0 to ``name``p + levels: each node's siblings so far (proof) and what its leaf folds to (f)."""
+    out = [f"{name}p0 AS ({start})"]
+    for k in range(levels):
+        out.append(
+            f"""{name}r{k} AS (SELECT tree, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM {name}{k} GROUP BY tree, pos // 3),
+{name}p{k + 1} AS (
+  SELECT {key}, p.tree AS tree, p.pos // 3 AS pos,
+         CASE WHEN size = 1 THEN proof ELSE proof || array_to_string(hs[1:(p.pos % 3)], '') || array_to_string(hs[(p.pos % 3) + 2:], '') END AS proof,
+         CASE WHEN size = 1 THEN f ELSE sha256(array_to_string(hs[1:(p.pos % 3)], '') || f || array_to_string(hs[(p.pos % 3) + 2:], '')) END AS f
+  FROM {name}p{k} p JOIN {name}r{k} r ON p.tree = r.tree AND p.pos // 3 = r.run
+  JOIN (SELECT tree, count(*) AS size FROM {name}{k} GROUP BY tree) s ON p.tree = s.tree)"""
+        )
+    return ",\n".join(out)
+
+
+def op11(levels: int = 9) -> str:
+    """Whole for sources of 3 ** levels rows at most."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    hashed = lambda text: "sha256(" + " || ".join(field(c) if c != "text" else field(text) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+    return rf"""
+WITH RECURSIVE crc(doc_id, s, i, c) AS (
+  SELECT doc_id, doc_id::VARCHAR, 0, 4294967295::BIGINT FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+  UNION ALL
+  SELECT doc_id, s, i + 1, CASE WHEN i % 9 = 0 THEN xor(c, ascii(substr(s, (i // 9 + 1)::INT, 1))::BIGINT)
+         WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END
+  FROM crc WHERE i < 9 * length(s)),
+even AS (SELECT doc_id AS even_id FROM crc WHERE i = 9 * length(s) AND xor(c, 4294967295::BIGINT) % 2 = 0),
+leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {hashed('text')} AS leaf,
+         CASE WHEN even_id IS NOT NULL THEN {hashed("replace(text, chr(10), '')")} ELSE {hashed('text')} END AS begun
+  FROM documents LEFT JOIN even ON doc_id = even_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+{_risen('t', 'SELECT tree, pos, leaf AS h FROM placed', levels)},
+subroots AS (SELECT tree AS key, h, row_number() OVER (ORDER BY tree) - 1 AS pos FROM t{levels}),
+{_risen('u', "SELECT '' AS tree, pos, h FROM subroots", levels)},
+{_path('t', levels, 'doc_id, leaf', "SELECT doc_id, leaf, tree, pos, '' AS proof, begun AS f FROM placed")},
+{_path('u', levels, 'doc_id, leaf, subroot', f"SELECT doc_id, leaf, s.h AS subroot, '' AS tree, s.pos AS pos, proof, f FROM tp{levels} p JOIN subroots s ON p.tree = s.key")}
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = h AS verified FROM up{levels}, u{levels}"""
