@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -39,6 +40,8 @@ from .common import bounded, staged, whole_text
 BLOCK_BYTES = 12 << 20
 #: A task sums its n-grams up when it has so many; a range of filters is meant to have at most so many words.
 HELD = 1 << 21
+#: The distinct words of a block travel in so many lists, by a hash.
+BUCKETS = 512
 #: A bitmap of frequent n-grams has at most so many bits (32 MB).
 MAX_MARK_BITS = 28
 #: Tables of so many rows are sent to all tasks; larger ones are joined by a shuffle.
@@ -76,10 +79,10 @@ def _from_planes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-BLOCKS = "block long, lang string, codes binary, word string, code int, n long"
+BLOCKS = "block long, lang string, codes binary, bucket int, words array<string>, code array<int>, n array<long>"
 
 
-def _blocks(most: int):
+def _blocks(most: int, buckets: int):
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """Runs of rows whose texts have ``most`` bytes, or one row."""
         upto = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -99,18 +102,19 @@ def _blocks(most: int):
         by_rank = np.argsort(-counts, kind="stable")
         rank = np.empty(n, np.int64)
         rank[by_rank] = np.arange(n)
+        bucket = (pd.util.hash_array(words.dictionary.to_numpy(zero_copy_only=False), categorize=False) % buckets).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        heads = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        bounds = pa.array(np.r_[heads, n].astype(np.int32))
+        lists = [words.dictionary.take(pa.array(order)), pa.array(rank[order].astype(np.int32)), pa.array(counts[order])]
         # The lowest bit of a position says whether a piece begins there.
-        columns = [[_planes(rank[codes] * 2 + new)], [None], [None], [None]]
-        yield made(1, block, lang, columns)
-        yield made(n, block, lang, [pa.nulls(n, pa.binary()), words.dictionary.take(pa.array(by_rank)), np.arange(n), counts[by_rank]])
-
-    def made(rows: int, block: int, lang: str, columns: list) -> pa.RecordBatch:
-        kinds = (pa.binary(), pa.string(), pa.int32(), pa.int64())
-        arrays = [pa.array(np.full(rows, block)), pa.array([lang] * rows, pa.string())]
-        return pa.record_batch(arrays + [pa.array(c, t) for c, t in zip(columns, kinds)], ["block", "lang", "codes", "word", "code", "n"])
+        rows = [[None] * len(heads) + [_planes(rank[codes] * 2 + new)], [*bucket[order][heads].tolist(), None]]
+        columns = [pa.array([block] * (len(heads) + 1), pa.int64()), pa.array([lang] * (len(heads) + 1), pa.string()), pa.array(rows[0], pa.binary()), pa.array(rows[1], pa.int32())]
+        columns += [pa.concat_arrays([pa.ListArray.from_arrays(bounds, x), pa.nulls(1, pa.list_(x.type))]) for x in lists]
+        yield pa.record_batch(columns, ["block", "lang", "codes", "bucket", "words", "code", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each block without its texts: places of words with the starts of pieces, and its distinct words with counts."""
+        """Each block without its texts: places of words with the starts of pieces, and its distinct words with counts, in lists by bucket."""
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in cut(batch):
@@ -121,23 +125,60 @@ def _blocks(most: int):
     return run
 
 
-def _with_ids(blocks: pa.Table, found: pa.Table) -> pa.Table:
-    """Ids of a block's positions; runs of words without id, and ends of pieces, are a single 0."""
-    out = []
-    for raw in blocks["codes"].to_pylist():
-        packed = _from_planes(raw)
-        codes, new = packed >> 1, packed & 1
-        ids = np.zeros(int(codes.max()) + 1, np.int64)
-        ids[found["code"].to_numpy()] = found["id"].to_numpy()
-        spread = np.zeros((len(codes), 2), np.int64)
-        spread[:, 1] = ids[codes]
-        flat = spread.ravel()
-        keep = np.ones((len(codes), 2), bool)
-        keep[:, 0] = new == 1
-        flat = flat[keep.ravel()]
-        flat = np.r_[flat, 0]
-        out.append(_planes(flat[np.r_[True, (flat[1:] != 0) | (flat[:-1] != 0)]]))
-    return pa.table({"ids": pa.array(out, pa.binary())})
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids of a block's words that have one. Rows come by bucket, its words with ids before the lists of blocks."""
+    bucket, known = None, {}
+    for batch in batches:
+        blocks, codes, ids = [], [], []
+        for at, lang, word, number, block, words, code in zip(*[c.to_pylist() for c in batch.columns]):
+            if at != bucket:
+                bucket, known = at, {}
+            if word is not None:
+                known.setdefault(lang, {})[word] = number
+                continue
+            of = known.get(lang, {})
+            found = np.fromiter((of.get(w, 0) for w in words), np.int32, len(words))
+            if found.any():
+                blocks.append(block)
+                codes.append(np.array(code, np.uint32)[found > 0].tobytes())
+                ids.append(found[found > 0].tobytes())
+        yield pa.record_batch([pa.array(blocks, pa.int64()), pa.array(codes, pa.binary()), pa.array(ids, pa.binary())], ["block", "codes", "ids"])
+
+
+def _with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids of a block's positions; runs of words without id, and ends of pieces, are a single 0. Rows come by block, answers first."""
+    block, answers = None, []
+    for batch in batches:
+        for name, codes, ids in zip(*[c.to_pylist() for c in batch.columns]):
+            if name != block:
+                block, answers = name, []
+            if ids is not None:
+                answers.append((np.frombuffer(codes, np.uint32), np.frombuffer(ids, np.int32)))
+                continue
+            packed = _from_planes(codes)
+            place, new = packed >> 1, packed & 1
+            of = np.zeros(int(place.max()) + 1, np.int64)
+            for at, found in answers:
+                of[at] = found
+            spread = np.zeros((len(place), 2), np.int64)
+            spread[:, 1] = of[place]
+            keep = np.ones((len(place), 2), bool)
+            keep[:, 0] = new == 1
+            flat = np.r_[spread.ravel()[keep.ravel()], 0]
+            flat = flat[np.r_[True, (flat[1:] != 0) | (flat[:-1] != 0)]]
+            yield pa.record_batch([pa.array([_planes(flat)], pa.binary())], ["ids"])
+
+
+def ids_of_blocks(blocks: DataFrame, words: DataFrame) -> DataFrame:
+    """The blocks' positions as ids: lists of words meet the ids of their bucket, and the answers their block, both as streams of sorted rows."""
+    none = lambda kind: F.lit(None).cast(kind)
+    asked = blocks.filter(F.col("words").isNotNull()).select("bucket", "lang", none("string").alias("word"), none("int").alias("id"), "block", "words", "code")
+    known = words.select("bucket", "lang", "word", "id", none("long").alias("block"), none("array<string>").alias("words"), none("array<int>").alias("code"))
+    met = known.unionByName(asked).repartition("bucket").sortWithinPartitions("bucket", F.col("block").asc_nulls_first())
+    answers = met.mapInArrow(_answered, "block long, codes binary, ids binary")
+    codes = blocks.filter(F.col("codes").isNotNull()).select("block", "codes", none("binary").alias("ids"))
+    back = answers.unionByName(codes).repartition("block").sortWithinPartitions("block", F.col("ids").isNull())
+    return back.mapInArrow(_with_ids, "ids binary")
 
 
 def _counted(layout: qf.Layout, shorter: qf.Layout | None, mark_bits: int, marks: Broadcast | None):
@@ -237,14 +278,12 @@ def mined(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_cou
     """(words: lang, word, f, id; n-grams: ids, f, of one word too; totals: lang, n), each whole and exact."""
     spark = df.sparkSession
     texts = df.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), whole_text(text_col).alias("text"))
-    blocks = staged(texts.mapInArrow(_blocks(block_bytes), BLOCKS), "phrase-blocks")
-    named = blocks.filter(F.col("word").isNotNull())
-    counts = named.groupBy("lang", "word").agg(F.sum("n").alias("f"))
+    blocks = staged(texts.mapInArrow(_blocks(block_bytes, BUCKETS), BLOCKS), "phrase-blocks")
+    named = blocks.filter(F.col("words").isNotNull()).select("bucket", "lang", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("n").alias("n"))))
+    counts = named.groupBy("bucket", "lang", "word").agg(F.sum("n").alias("f"))
     totals = staged(named.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     words = dense_ids(counts.filter(F.col("f") >= min_count))
-    found = named.join(bounded(words.select("lang", "word", "id"), MAX_BROADCAST), ["lang", "word"]).select(F.col("block").alias("of"), "code", "id")
-    codes = blocks.filter(F.col("codes").isNotNull()).select("block", "codes")
-    ids = staged(codes.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(_with_ids, "ids binary"), "phrase-ids")
+    ids = staged(ids_of_blocks(blocks, words), "phrase-ids")
     every = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = max(1, (words.count() + 1).bit_length())
     range_bits = max(6, (every // HELD).bit_length())
