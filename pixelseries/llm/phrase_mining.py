@@ -37,9 +37,9 @@ from . import quotient_filter as qf
 from .common import bounded, staged, whole_text
 
 #: Bytes of text that a block holds, about; a text is never cut.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 #: A task sums its n-grams up when it has so many; a range of filters is meant to have at most so many words.
-HELD = 1 << 21
+HELD = 1 << 20
 #: The distinct words of a block travel in so many lists, by a hash.
 BUCKETS = 512
 #: A bitmap of frequent n-grams has at most so many bits (32 MB).
@@ -100,7 +100,7 @@ def _blocks(most: int, buckets: int):
         codes, n = words.indices.to_numpy(zero_copy_only=False), len(words.dictionary)
         counts = np.bincount(codes, minlength=n)
         by_rank = np.argsort(-counts, kind="stable")
-        rank = np.empty(n, np.int64)
+        rank = np.empty(n, np.uint32)
         rank[by_rank] = np.arange(n)
         bucket = (pd.util.hash_array(words.dictionary.to_numpy(zero_copy_only=False), categorize=False) % buckets).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
@@ -128,21 +128,24 @@ def _blocks(most: int, buckets: int):
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The ids of a block's words that have one. Rows come by bucket, its words with ids before the lists of blocks."""
     bucket, known = None, {}
-    for batch in batches:
-        blocks, codes, ids = [], [], []
-        for at, lang, word, number, block, words, code in zip(*[c.to_pylist() for c in batch.columns]):
-            if at != bucket:
-                bucket, known = at, {}
-            if word is not None:
-                known.setdefault(lang, {})[word] = number
-                continue
-            of = known.get(lang, {})
-            found = np.fromiter((of.get(w, 0) for w in words), np.int32, len(words))
-            if found.any():
-                blocks.append(block)
-                codes.append(np.array(code, np.uint32)[found > 0].tobytes())
-                ids.append(found[found > 0].tobytes())
-        yield pa.record_batch([pa.array(blocks, pa.int64()), pa.array(codes, pa.binary()), pa.array(ids, pa.binary())], ["block", "codes", "ids"])
+    for whole in batches:
+        # Few rows at a time become Python objects: a list may have hundreds of words.
+        for start in range(0, whole.num_rows, 200):
+            batch = whole.slice(start, 200)
+            blocks, codes, ids = [], [], []
+            for at, lang, word, number, block, words, code in zip(*[c.to_pylist() for c in batch.columns[:-1]], batch.columns[-1]):
+                if at != bucket:
+                    bucket, known = at, {}
+                if word is not None:
+                    known.setdefault(lang, {})[word] = number
+                    continue
+                of = known.get(lang)
+                found = np.fromiter((of.get(w, 0) for w in words), np.int32, len(words)) if of else np.empty(0, np.int32)
+                if found.any():
+                    blocks.append(block)
+                    codes.append(code.values.to_numpy()[found > 0].astype(np.uint32).tobytes())
+                    ids.append(found[found > 0].tobytes())
+            yield pa.record_batch([pa.array(blocks, pa.int64()), pa.array(codes, pa.binary()), pa.array(ids, pa.binary())], ["block", "codes", "ids"])
 
 
 def _with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,10 +160,10 @@ def _with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             packed = _from_planes(codes)
             place, new = packed >> 1, packed & 1
-            of = np.zeros(int(place.max()) + 1, np.int64)
+            of = np.zeros(int(place.max()) + 1, np.int32)
             for at, found in answers:
                 of[at] = found
-            spread = np.zeros((len(place), 2), np.int64)
+            spread = np.zeros((len(place), 2), np.int32)
             spread[:, 1] = of[place]
             keep = np.ones((len(place), 2), bool)
             keep[:, 0] = new == 1
