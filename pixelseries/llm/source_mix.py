@@ -11,13 +11,13 @@ are range-sorted by that position.
 Order within a source comes from the MD5 of ``doc_id``, size and what else is carried along, so
 reruns agree. Running sums are taken in two levels (buckets of the order within a source, then
 rows within a bucket), so a source with most of the rows is spread over many tasks, as are the
-rows of an id that repeats, or of none, as far as their sizes differ. Sources themselves are
-ordered in one task, which holds a few numbers for each.
+rows of an id that repeats, or of none: equal rows that are many are dealt over parts of their bucket. Sources
+themselves are ordered in one task, which holds a few numbers for each.
 
 Odd rows: a null or empty text has size 0 and takes nothing, and its position is null; a null source is a
 source of its own and comes last; a null ``doc_id`` comes last within its source; repeated
 rows count each time; texts of any length are counted whole. Columns that are not carried are not
-read, whatever their names. A corpus without words gives targets of 0; an empty table gives no rows.
+read, whatever their names; carried ones pass through, those named like a result are replaced. A corpus without words gives targets of 0; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -63,7 +63,8 @@ def position(share: Column, turn: Column, schedules: Sequence[Sequence[float]])
 
 
 def sized(df: DataFrame, text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
-    return df.select("doc_id", "source", F.size(words(whole_text(text_col))).cast("long").alias("size"), *carry)
+    more = [c for c in carry if c.lower() not in ("doc_id", "source", "size")]
+    return df.select("doc_id", "source", F.size(words(whole_text(text_col))).cast("long").alias("size"), *more)
 
 
 def source_targets(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, max_epochs: float = 2.0) -> DataFrame:
@@ -104,39 +105,40 @@ def source_targets(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, m
 def mix(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, max_epochs: float = 2.0) -> DataFrame:
     """One row per document of ``sizes`` (doc_id, source, size): targets, words taken and training positions.
 
-    Further columns of ``sizes`` pass through, and order rows that tie.
+    Further columns of ``sizes`` pass through, and order rows that tie; those named like a result are replaced.
     ``taken`` counts repeats. ``positions`` holds the position of each pass that takes words of it.
     """
-    carried = [c for c in sizes.columns if c not in ("doc_id", "source", "size")]
+    carried = [c for c in sizes.columns if c.lower() not in ("doc_id", "source", "size", "source_size", "target", "taken", "positions")]
+    own = {c: f"_c{k}" for k, c in enumerate(carried)}
+    sizes = sizes.select("doc_id", "source", "size", *[F.col(c).alias(n) for c, n in own.items()])
     named = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string")]
-    spread = [c for c in carried if c != ROW]  # a row's key may differ from run to run
+    spread = [n for c, n in own.items() if c != ROW]  # a row's key may differ from run to run
     named += [F.xxhash64(*spread).cast("string")] if spread else []
     order = F.conv(F.substring(F.md5(F.concat_ws(" ", *named)), 1, 15), 16, 10).cast("long")
     sources = staged(source_targets(sizes, schedules, budget, max_epochs), "sources").withColumnRenamed("source", "_src")
-    buckets = F.greatest(
-        F.lit(1.0), F.ceil(F.col("_docs") / F.greatest(F.lit(256.0), F.ceil(F.sqrt(F.col("_docs").cast("double")))))
-    )
+    most = F.greatest(F.lit(256.0), F.ceil(F.sqrt(F.col("_docs").cast("double"))))
     rows = (
         sizes.join(bounded(sources, MAX_BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("_src")))
         .drop("_src")
         .withColumn("_order", order)
-        .withColumn("_bucket", F.floor(F.col("_order") / F.lit(float(1 << 60)) * buckets))
+        .withColumn("_bucket", F.floor(F.col("_order") / F.lit(float(1 << 60)) * F.greatest(F.lit(1.0), F.ceil(F.col("_docs") / most))))
     )
-    before = Window.partitionBy("_place").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    rows = parted(rows, F.col(own[ROW]) if ROW in own else F.monotonically_increasing_id())
+    bucket = ["_bucket", "_part", "_sub"]
+    before = Window.partitionBy("_place").orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy("_place", "_bucket")
+        rows.groupBy("_place", *bucket)
         .agg(F.sum("size").alias("_sum"))
-        .select("_place", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+        .select("_place", *bucket, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
     )
     inside = (
-        Window.partitionBy("_place", "_bucket")
-        .orderBy("_order", F.col("doc_id").asc_nulls_last(), "size", *carried)
+        Window.partitionBy("_place", *bucket)
+        .orderBy("_order", F.col("doc_id").asc_nulls_last(), "size", *own.values())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    rows = rows.withColumn("_upto", F.sum("size").over(inside)).join(offsets, ["_place", "_bucket"])
-    start = F.col("_offset") + F.col("_upto") - F.col("size")
+    rows = rows.withColumn("_upto", F.sum("size").over(inside)).join(offsets, ["_place", *bucket])
     wanted = F.floor(F.col("target")).cast("long")
-    rows = rows.withColumn("_start", start)
+    rows = rows.withColumn("_start", F.col("_offset") + F.col("_upto") - F.col("size"))
     taken, at = F.lit(0).cast("long"), []
     for k in range(ceil(max_epochs)):
         begun = k * F.col("source_size") + F.col("_start")
@@ -145,7 +147,27 @@ def mix(sizes: DataFrame, schedules=SCHEDULES, budget: float = 1.5, max_epochs:
         taken = taken + part
         at.append(F.when(part > 0, position(share, F.col("_turn"), schedules)))
     positions = F.array_compact(F.array(*at)).alias("positions")
-    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), positions, *carried)
+    back = [F.col(n).alias(c) for c, n in own.items()]
+    return rows.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), positions, *back)
+
+
+def parted(rows: DataFrame, key: Column, support: float = 0.002, per_part: int = 4096) -> DataFrame:
+    """``rows`` with ``_part`` and ``_sub``: rows that share a frequent order are dealt, by a key of theirs, to parts of their bucket.
+
+    Rows of one order are equal in all that is ordered by, so whichever of them comes first gets the same
+    place. A frequent-items sketch names at most ``1 / support`` orders; one count verifies them.
+    """
+    hot = (rows.freqItems(["_order"], support).first() or [[]])[0] or []
+    counts = rows.filter(F.col("_order").isin(hot)).groupBy("_order").count().collect() if hot else []
+    hot = {r["_order"]: -(-r["count"] // per_part) for r in counts if r["count"] > per_part}
+    if not hot:
+        return rows.withColumns({"_part": F.lit(0), "_sub": F.lit(0).cast("long")})
+    part, sub = F.lit(0), F.lit(0).cast("long")
+    for k, order in enumerate(sorted(hot)):
+        equal = F.col("_order") == order
+        part = F.when(equal, 2 * k + 1).when(F.col("_order") > order, 2 * k + 2).otherwise(part)
+        sub = F.when(equal, F.pmod(F.xxhash64(key), F.lit(hot[order]))).otherwise(sub)
+    return rows.withColumns({"_part": part, "_sub": sub})
 
 
 def by_position(mixed: DataFrame) -> DataFrame:
