@@ -35,7 +35,7 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-#: A rule list is compiled into one expression, so it must stay short.
+#: A rule list of up to so many is compiled into one expression; a longer one is joined.
 MAX_RULES = 500
 #: At most so many distinct labelled URLs (about) train the trees; which ones depends on a hash of the URL.
 MAX_TRAINING_URLS = 20_000
@@ -63,9 +63,7 @@ def parts(url: Column) -> tuple[Column, Column]:
 
 
 def ruled(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
-    """The longest rule that fits and its verdict, else nulls."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"at most {MAX_RULES} rules are compiled; there are {len(rules)}")
+    """The longest rule that fits and its verdict, else nulls; for lists of up to ``MAX_RULES``."""
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for on, under, what in sorted(rules, key=lambda r: (len(r[0] + r[1]), r)):
         fits = ((host == on) | F.endswith(host, F.lit("." + on))) & F.startswith(path, F.lit(under))
@@ -73,6 +71,27 @@ def ruled(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
+def judged_by_join(urls: DataFrame, rules) -> DataFrame:
+    """``urls`` (with host and path) with ``rule`` and ``ruled`` by a list of any length.
+
+    Each distinct host and path asks for the rules of the host and its parent domains, at every length of path that a rule
+    has: an equality join, of as many keys as the host has labels times such lengths.
+    """
+    spark = urls.sparkSession
+    listed = spark.createDataFrame([(h, p, v) for h, p, v in rules], "_on string, _under string, _verdict string")
+    lengths = F.lit(sorted({len(p) for _, p, _ in rules}))
+    labels = F.split("host", r"\.")
+    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    heads = F.transform(F.filter(lengths, lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), 1, n))
+    asked = urls.select("host", "path").distinct().select("host", "path", F.explode(domains).alias("_on"), heads.alias("_heads"))
+    asked = asked.select("host", "path", "_on", F.explode("_heads").alias("_under"))
+    met = asked.join(bounded(listed, MAX_BROADCAST_SUFFIXES), ["_on", "_under"])
+    longest = F.max(F.struct((F.length("_on") + F.length("_under")).alias("n"), "_on", "_under", "_verdict")).alias("_r")
+    best = met.groupBy(F.col("host").alias("_host"), F.col("path").alias("_path")).agg(longest)
+    joined = urls.join(best, (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path")), "left")
+    return joined.withColumns({"rule": F.concat("_r._on", "_r._under"), "ruled": F.col("_r._verdict")}).drop("_host", "_path", "_r")
+
+
 def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
@@ -125,14 +144,22 @@ def fold(host: Column) -> Column:
 
 
 def label_counts(labelled: DataFrame) -> DataFrame:
-    """(_suffix, _fold, _bad, _all): labelled rows of each last label, outside of each fold and (fold -1) in all; staged."""
+    """(_suffix, _fold, _bad, _all, _urls): labelled rows of each last label, outside of each fold and (fold -1) in all; staged.
+
+    ``_urls``, for fold -1, is the number of distinct URLs that may train.
+    """
     own = labelled.groupBy(suffix(F.col("host")).alias("_suffix"), fold(F.col("host")).alias("_fold")).agg(
-        F.sum(F.when(F.col("ruled") == "block", 1).otherwise(0)).alias("_bad"), F.count("*").alias("_all")
+        F.sum(F.when(F.col("ruled") == "block", 1).otherwise(0)).alias("_bad"),
+        F.count("*").alias("_all"),
+        F.approx_count_distinct("url").alias("_urls"),
     )
-    whole = own.groupBy("_suffix").agg(F.sum("_bad").alias("_bad"), F.sum("_all").alias("_all"))
+    # A URL has one suffix and one fold, so numbers of distinct ones add up; those of fold 0 do not train.
+    urls = F.sum(F.when(F.col("_fold") == 0, 0).otherwise(F.col("_urls"))).alias("_urls")
+    whole = own.groupBy("_suffix").agg(F.sum("_bad").alias("_bad"), F.sum("_all").alias("_all"), urls)
+    own = own.drop("_urls")
     rest = own.withColumnsRenamed({"_bad": "_b", "_all": "_a"}).join(whole, "_suffix")
     rest = rest.select("_suffix", "_fold", (F.col("_bad") - F.col("_b")).alias("_bad"), (F.col("_all") - F.col("_a")).alias("_all"))
-    return staged(rest.unionByName(whole.withColumn("_fold", F.lit(-1))), "url-suffixes")
+    return staged(rest.unionByName(whole.withColumn("_fold", F.lit(-1)), allowMissingColumns=True), "url-suffixes")
 
 
 def with_inputs(urls: DataFrame, counts: DataFrame, mean: float) -> DataFrame:
@@ -146,7 +173,7 @@ def with_inputs(urls: DataFrame, counts: DataFrame, mean: float) -> DataFrame:
     bad, seen = F.coalesce("_bad", F.lit(0)), F.coalesce("_all", F.lit(0))
     rate = (bad + mean * PRIOR_ROWS) / (seen + PRIOR_ROWS)
     vector = array_to_vector(F.array(*[F.col(f"_f.{name}") for name in FEATURES], rate.cast("double")))
-    return rows.withColumn("_x", vector).drop("_suffix", "_fold", "_f", "_bad", "_all")
+    return rows.withColumn("_x", vector).drop("_suffix", "_fold", "_f", "_bad", "_all", "_urls")
 
 
 def train(labelled: DataFrame, counts: DataFrame, rounds: int = 20, depth: int = 4, max_rows: int = MAX_TRAINING_URLS):
@@ -154,11 +181,11 @@ def train(labelled: DataFrame, counts: DataFrame, rounds: int = 20, depth: int =
 
     Distinct labelled URLs of the hosts that are not held out train, as a hash of the URL draws them, so reruns agree.
     """
-    whole = counts.filter("_fold = -1").agg(F.sum("_bad").alias("bad"), F.sum("_all").alias("all")).first()
+    whole = counts.filter("_fold = -1").agg(F.sum("_bad").alias("bad"), F.sum("_all").alias("all"), F.sum("_urls").alias("urls")).first()
     bad, seen = whole["bad"] or 0, whole["all"] or 0
     if bad in (0, seen):
         return int(seen > 0 and bad == seen), bad / seen if seen else 0.0, None
-    share = min(1.0, max_rows / seen)
+    share = min(1.0, max_rows / max(1, whole["urls"]))
     drawn = labelled.filter((fold(F.col("host")) != 0) & (F.pmod(F.xxhash64("url"), F.lit(1_000_003)) < F.lit(share * 1_000_003)))
     rows = with_inputs(drawn.distinct(), counts, bad / seen)
     rows = staged(rows.select("_x", (F.col("ruled") == "block").cast("double").alias("label")), "url-training")
@@ -173,8 +200,11 @@ def scored(df: DataFrame, url_col: str = "url", rules=RULES, **training) -> Data
     """(row, url, host, path, rule, ruled, block_score) of each row of ``df``, with the row as a struct."""
     host, path = parts(F.col(url_col))
     urls = df.select(F.struct(*df.columns).alias("row"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
-    name, verdict = ruled(F.col("host"), F.col("path"), rules)
-    urls = urls.withColumns({"rule": name, "ruled": verdict})
+    if len(rules) > MAX_RULES:
+        urls = judged_by_join(urls, rules)
+    else:
+        name, verdict = ruled(F.col("host"), F.col("path"), rules)
+        urls = urls.withColumns({"rule": name, "ruled": verdict})
     labelled = urls.select("url", "host", "path", "ruled").filter(F.col("ruled").isNotNull())
     counts = label_counts(labelled)
     only, mean, model = train(labelled, counts, **training)
