@@ -10,6 +10,8 @@ documents of the corpus hold them, rarest first; a block that matches must hold
 first |T| - need + 1 words of the template (prefix filter), at least ``need`` template words
 at all (length filter), and enough words must follow on both sides of the shared one
 (positional filter). What is left is verified by counting the words in common.
+Of templates of one family (each notice of Creative Commons holds the words of the plainest) the fullest that stands in a block wins
+there. Containment is of words, in any order: a window that holds a notice's words in other sentences matches too.
 
 Only words of templates can add to an overlap, so blocks keep those alone; the template
 list is a parameter of bounded size, as is everything that is broadcast or collected.
@@ -47,6 +49,11 @@ TEMPLATES = (
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution International License"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike International License"),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives International License"),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial International License"),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike International License"),
+    ("cc-by-nc-nd", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives International License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
 )
 #: (label, notice): later parts of the same notices, for texts that hold only those.
@@ -62,8 +69,6 @@ LATER_PARTS = (
     ("mpl", "If a copy of the MPL was not distributed with this file, You can obtain one at"),
 )
 THRESHOLD = 0.9
-#: The templates' distinct words are collected with their counts, so there may be only so many.
-MAX_TEMPLATE_WORDS = 10_000
 
 
 def license_words(text: Column) -> Column:
@@ -82,6 +87,17 @@ def template_sets(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
     return [(label, list(dict.fromkeys(split_words(text)))) for label, text in templates]
 
 
+def families(sets: list[tuple[str, list[str]]]) -> list[tuple[list[str], list[int]]]:
+    """(words that tell it apart, fuller templates) of each template.
+
+    A template whose words all stand in a fuller one with another label is of its family. The fuller one matches only where all words
+    stand that the other lacks, and then it wins: the other does not match there.
+    """
+    wider = lambda a, b: a[0] != b[0] and set(a[1]) < set(b[1])
+    own = [sorted({w for t in sets if wider(t, s) for w in set(s[1]) - set(t[1])}) for s in sets]
+    return [(words, [k for k, t in enumerate(sets) if wider(s, t)]) for s, words in zip(sets, own)]
+
+
 def need(size: int, threshold: float) -> int:
     return ceil(threshold * size - 1e-9)
 
@@ -118,8 +134,6 @@ def phrase_columns(df: DataFrame, p: str, text_col: str = "text", phrases=PHRASE
 
 def word_order(df: DataFrame, vocabulary: list[str], text_col: str = "text") -> list[str]:
     """The vocabulary, rarest first, by the number of documents that hold each word."""
-    if len(vocabulary) > MAX_TEMPLATE_WORDS:
-        raise ValueError(f"the templates have over {MAX_TEMPLATE_WORDS} distinct words")
     held = F.array_intersect(F.lit(vocabulary), license_words(whole_text(text_col)))
     counts = df.select(F.explode(held).alias("w")).groupBy("w").count().collect()
     seen = {r["w"]: r["count"] for r in counts}
@@ -141,12 +155,13 @@ def template_matches(df: DataFrame, text_col: str = "text", templates=TEMPLATES
     order = word_order(df, sorted({w for _, ws in sets for w in ws}), text_col)
     rank = {w: k for k, w in enumerate(order)}
     rows = []
-    for k, (label, ws) in enumerate(sets):
+    for k, ((label, ws), (apart_by, wider)) in enumerate(zip(sets, families(sets))):
         ws = sorted(ws, key=rank.__getitem__)
         least = need(len(ws), threshold)
-        rows += [(w, k, label, i, len(ws), least, ws) for i, w in enumerate(ws[: len(ws) - least + 1])]
+        rows += [(w, k, label, i, len(ws), least, ws, apart_by, wider) for i, w in enumerate(ws[: len(ws) - least + 1])]
     index = spark.createDataFrame(
-        rows, "word string, template int, label string, i int, t_size int, least int, t_words array<string>"
+        rows,
+        "word string, template int, label string, i int, t_size int, least int, t_words array<string>, apart array<string>, wider array<int>",
     )
     firsts = sorted({r[0] for r in rows})
     longest = max(len(split_words(text)) for _, text in templates)
@@ -174,12 +189,17 @@ def template_matches(df: DataFrame, text_col: str = "text", templates=TEMPLATES
     most = F.least("i", "j") + 1 + F.least(F.col("t_size") - F.col("i") - 1, size - F.col("j") - 1)
     overlap = F.size(F.array_intersect("t_words", "_held"))
     # The index has a row for each prefix word of the (bounded) template list.
-    return (
+    hits = (
         probes.join(F.broadcast(index), "word")
         .filter((size >= F.col("least")) & (most >= F.col("least")))
-        .filter(overlap >= F.col("least"))
-        .select("doc_id", "_text_key", "block", "label", "template", (overlap / F.col("t_size")).alias("containment"))
+        .filter((overlap >= F.col("least")) & (F.size(F.array_except("apart", "_held")) == 0))
+        .select("doc_id", "_text_key", "block", F.struct("template", "label", (overlap / F.col("t_size")).alias("containment"), "wider").alias("m"))
     )
+    # A block has at most as many matches as there are templates.
+    met = hits.groupBy("doc_id", "_text_key", "block").agg(F.collect_set("m").alias("m"))
+    there = F.transform("m", lambda x: x["template"])
+    won = F.filter("m", lambda x: ~F.arrays_overlap(x["wider"], there))
+    return met.select("doc_id", "_text_key", "block", F.inline(won)).drop("wider")
 
 
 def license_scan(df: DataFrame, text_col: str = "text", phrases=PHRASES, templates=TEMPLATES + LATER_PARTS, threshold=THRESHOLD) -> DataFrame:

@@ -113,9 +113,10 @@ def op6() -> str:
     phrases = ", ".join(f"([{_quoted(p.split(' '))}], '{label}')" for p, label in ls.PHRASES)
     every = ls.TEMPLATES + ls.LATER_PARTS
     longest = max(len(ls.split_words(text)) for _, text in every)
+    sets = ls.template_sets(every)
     templates = ", ".join(
-        f"({k}, '{label}', [{_quoted(ws)}], {ls.need(len(ws), ls.THRESHOLD)})"
-        for k, (label, ws) in enumerate(ls.template_sets(every))
+        f"({k}, '{label}', [{_quoted(ws)}], {ls.need(len(ws), ls.THRESHOLD)}, [{_quoted(apart)}]::VARCHAR[], {wider}::INT[])"
+        for k, ((label, ws), (apart, wider)) in enumerate(zip(sets, ls.families(sets)))
     )
     return rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
@@ -127,14 +128,17 @@ places AS (
 base AS (
   SELECT rid, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list_distinct(list(label))) AS b
   FROM places GROUP BY rid),
-templates(id, label, words, least) AS (VALUES {templates}),
-blocks AS (
+templates(id, label, words, least, apart, wider) AS (VALUES {templates}),
+parts AS (
   SELECT rid, {split('line')} AS w FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM docs)
   UNION ALL
   SELECT rid, w[k + 1:k + {2 * longest}] FROM (SELECT rid, w, unnest(range(0, len(w), {longest})) AS k FROM split)),
-matches AS (
-  SELECT rid, label, len(list_intersect(words, w)) / len(words) AS c FROM blocks, templates
-  WHERE len(list_intersect(words, w)) >= least),
+blocks AS (SELECT row_number() OVER () AS bid, rid, w FROM parts),
+hits AS (
+  SELECT bid, rid, id, label, wider, len(list_intersect(words, w)) / len(words) AS c FROM blocks, templates
+  WHERE len(list_intersect(words, w)) >= least AND len(list_intersect(apart, w)) = len(apart)),
+there AS (SELECT bid, list(id) AS ids FROM hits GROUP BY bid),
+matches AS (SELECT rid, label, c FROM hits JOIN there USING (bid) WHERE len(list_intersect(wider, ids)) = 0),
 more AS (SELECT rid, list(DISTINCT label) AS m, max(c) AS best FROM matches GROUP BY rid)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
        last_word::BIGINT AS last_word, array_to_string(coalesce(b, []), ',') AS base_labels,
