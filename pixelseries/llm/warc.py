@@ -16,7 +16,7 @@ that ends where its record does: each byte once. Where magic inside a payload cu
 into several segments, those of records that are reached are put together afterwards.
 
 Odd rows: a null page counts as an empty payload; a page may be as long as Spark's strings
-(its task holds it, and a few copies); ids are integers: a null ``page_id`` is always a response
+(its task holds it, and a few copies); ids that are no integers are refused: a null ``page_id`` is always a response
 and reads back as null; rows that repeat a ``page_id`` with an equal payload are all
 responses if that page is the first, else all revisits; line breaks in a URL are
 percent-encoded, a null URL is empty. Other columns, whatever their names, are not stored. An
@@ -35,6 +35,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import bounded, new_path, staged, whole_text
 
@@ -68,6 +69,9 @@ def revisits(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
 
 def records(pages: DataFrame, min_bytes: int = 100, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """One column ``record``: the WARC record of each page, without the separator after it."""
+    kind = pages.schema["page_id"].dataType
+    if not isinstance(kind, IntegralType):
+        raise TypeError(f"page_id must be an integer to be read back from an archive; it is {kind.simpleString()}")
     again = bounded(revisits(pages, min_bytes), MAX_BROADCAST_REVISITS)
     html = whole_text("html")
     rows = pages.select(
