@@ -3,7 +3,7 @@
 Every measure is a built-in expression over the whole text. Results for odd rows:
 a null or empty text has no words, so it fails the base rule and all measures are
 zero; ratios over zero words or lines count as zero; texts of any length are measured
-whole, each in its task; other columns pass through unread, whatever their names, and a
+whole, each in its task; kept columns pass through unread, those named like a result are replaced, and a
 repeated row gets the same verdict each time. An empty table gives no rows.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CLASS, let, whole_text, words
+from .common import WS_CLASS, let, unused, whole_text, words
 
 #: Common function words of the languages that the corpus holds (English, German, French, Spanish).
 STOP_WORDS = (
@@ -143,8 +143,12 @@ def verdict(text: Column, thresholds=THRESHOLDS, min_words: int = 50, max_repeat
 
 
 def quality_rules(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), **limits) -> DataFrame:
-    """The columns ``keep`` of ``df`` with the fields of ``verdict``."""
-    return df.select(*keep, verdict(whole_text(text_col), **limits).alias("_m")).select(*keep, "_m.*")
+    """The columns ``keep`` of ``df`` with the fields of ``verdict``; kept columns named like a field are replaced by it."""
+    judged = unused("_judged", keep)
+    rows = df.select(*keep, verdict(whole_text(text_col), **limits).alias(judged))
+    fields = rows.schema[judged].dataType.names
+    taken = {f.lower() for f in fields}
+    return rows.select(*[c for c in keep if c.lower() not in taken], *[F.col(judged)[f].alias(f) for f in fields])
 
 
 def kept_documents(df: DataFrame, text_col: str = "text", **limits) -> DataFrame:
