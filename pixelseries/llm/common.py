@@ -101,11 +101,46 @@ def keyed(df: DataFrame, name: str) -> DataFrame:
     return staged(df.withColumn(ROW, F.struct(F.monotonically_increasing_id().alias("row_index"))), name)
 
 
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns of these names (in any case) renamed, and the way back for ``withColumnsRenamed``."""
+    back, columns = {}, list(df.columns)
+    for c in df.columns:
+        if c.lower() in names:
+            back[unused("_aside", columns)] = c
+            columns.append(list(back)[-1])
+    return df.withColumnsRenamed({c: name for name, c in back.items()}), back
+
+
 def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows; else leave the join to a shuffle."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+#: So many bitmaps of row places (4 KB each) are sent to all tasks; beyond, rows are dropped by a join that shuffles.
+MAX_BITMAPS = 8192
+
+
+def dropped(rows: DataFrame, losers: DataFrame) -> DataFrame:
+    """``rows`` (of ``keyed``) without those whose key is in ``losers``.
+
+    Keys are places in files, so losers become bitmaps of 32,768 places: a bit for each row of the files at most. While those are few
+    they are broadcast, and rows, with their texts, stay where they are read.
+    """
+    fields = rows.schema[ROW].dataType.names
+    file = F.col(f"{ROW}.file_path") if "file_path" in fields else F.lit("")
+    place = F.col(f"{ROW}.row_index") + 1  # Spark counts bits from 1
+    p = apart(rows.columns)
+    maps = losers.groupBy(file.alias(f"{p}file"), F.bitmap_bucket_number(place).alias(f"{p}bucket"))
+    maps = staged(maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(f"{p}bits")), "dropped")
+    if maps.limit(MAX_BITMAPS + 1).count() > MAX_BITMAPS:
+        return rows.join(losers, ROW, "left_anti")
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(f"{p}bits", (F.floor(at / 8) + 1).cast("int"), 1)), 16, 10).cast("int")
+    lost = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    met = rows.join(F.broadcast(maps), (file == F.col(f"{p}file")) & (F.bitmap_bucket_number(place) == F.col(f"{p}bucket")), "left")
+    return met.filter(~lost).select(*rows.columns)
+
+
 def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

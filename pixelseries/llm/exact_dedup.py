@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, WS_CLASS, keyed, staged, unused, whole_text
+from .common import ROW, WS_CLASS, dropped, keyed, set_aside, staged, whole_text
 
 VERDICT = ("keep_id", "group_size", "kept")
 
@@ -52,46 +52,42 @@ def frequent(digests: DataFrame, support: float) -> list[str]:
     return [x for x in (found[0] or []) if x is not None] if found else []
 
 
-def settle(digests: DataFrame, support: float = 0.005) -> tuple[DataFrame, DataFrame | None]:
-    """The rows of ``digests`` (doc_id, points, text_sha256, row key) with their verdicts, and the hot groups' winners."""
+def settle(digests: DataFrame, support: float = 0.005) -> DataFrame:
+    """The rows of ``digests`` (doc_id, points, text_sha256, row key) with their verdicts."""
     hot = frequent(digests, support)
     is_hot = F.col("text_sha256").isin(hot)
     cold = digests.filter(~is_hot)
     # One layout by digest serves all three aggregates; hot groups, which have too many rows for that, combine where they are read.
     joined = cold.join(_winners(cold.repartition("text_sha256")), "text_sha256")
-    verified = None
     if hot:
         verified = staged(_winners(digests.filter(is_hot)).coalesce(1), "hot-digests")
         joined = digests.filter(is_hot).join(F.broadcast(verified), "text_sha256").unionByName(joined)
-    return joined.withColumn("kept", F.col(ROW) == F.col("keep_row")).drop("keep_row"), verified
+    return joined.withColumn("kept", F.col(ROW) == F.col("keep_row")).drop("keep_row")
 
 
 def exact_dedup(df: DataFrame, text_col: str = "text", support: float = 0.005) -> DataFrame:
     """All rows and columns of ``df`` with ``text_sha256``, ``keep_id``, ``group_size`` and ``kept``."""
+    df, back = set_aside(df, ROW)
     narrow = set(df.columns) <= {"doc_id", text_col}
     # Digests are written once, so a number given there stays with its row.
     rows = df.withColumn(ROW, F.monotonically_increasing_id()) if narrow else keyed(df, "rows")
     made = {"points": F.length(whole_text(text_col)), "text_sha256": digest(text_col)}
     digests = staged(rows.select("doc_id", ROW, *[c.alias(n) for n, c in made.items()]), "digests")
-    told = settle(digests, support)[0].select("doc_id", ROW, "text_sha256", *VERDICT)
+    told = settle(digests, support).select("doc_id", ROW, "text_sha256", *VERDICT)
     if narrow:
         return told.drop(ROW)
-    return rows.drop(*VERDICT, "text_sha256").join(told.drop("doc_id"), ROW).drop(ROW)
+    return rows.drop(*VERDICT, "text_sha256").join(told.drop("doc_id"), ROW).drop(ROW).withColumnsRenamed(back)
 
 
 def one_per_text(df: DataFrame, text_col: str = "text", support: float = 0.005) -> DataFrame:
     """One row of ``df`` for each text: the winner as above; of rows that tie, the least hash of all columns.
 
-    Losers of hot groups go where they are read, by the broadcast winners; the rest by a join on the row.
+    Losers go where they are read, by bitmaps of their places.
     """
+    df, back = set_aside(df, ROW)
     rows = keyed(df, "rows")
     made = {"points": F.length(whole_text(text_col)), "text_sha256": digest(text_col)}
     tied = F.struct(F.xxhash64(*df.columns).alias("tie"), ROW).alias(ROW)
     digests = staged(rows.select("doc_id", tied, *[c.alias(n) for n, c in made.items()]), "digests")
-    told, hot = settle(digests, support)
-    if hot is not None:
-        sha = unused("_sha256", rows.columns)
-        winners = hot.select(F.col("text_sha256").alias(sha), F.col(f"keep_row.{ROW}").alias(sha + "_row"))
-        rows = rows.withColumn(sha, digest(text_col)).join(F.broadcast(winners), sha, "left")
-        rows = rows.filter(F.col(sha + "_row").isNull() | (F.col(sha + "_row") == F.col(ROW)))
-    return rows.join(told.filter("kept").select(F.col(f"{ROW}.{ROW}").alias(ROW)), ROW, "left_semi").select(*df.columns)
+    lost = settle(digests, support).filter("NOT kept").select(F.col(f"{ROW}.{ROW}").alias(ROW))
+    return dropped(rows, lost).select(*df.columns).withColumnsRenamed(back)

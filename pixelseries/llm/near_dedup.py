@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import ROW, keyed, staged, whole_text
+from .common import ROW, dropped, keyed, staged, whole_text
 from .components import components
 
 
@@ -84,4 +84,4 @@ def one_per_component(df: DataFrame, text_col: str = "text") -> DataFrame:
         .agg(best.alias("_best"))
         .select(F.col(f"_best.{ROW}").alias(ROW))
     )
-    return rows.join(winners, ROW, "left_semi").select(*df.columns)
+    return dropped(rows, prints.select(ROW).join(winners, ROW, "left_anti")).select(*df.columns)
