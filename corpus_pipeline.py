@@ -15,7 +15,7 @@ near copy stays instead. A document whose words the mix takes only in part is ke
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelseries.llm import bpe_words, exact_dedup, near_dedup, quality_rules, source_mix
@@ -45,6 +45,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(takes, ROW).orderBy(f"{p}at", "doc_id", tie).select(*docs.columns)
 
 
+def in_file_order(rows: DataFrame) -> list[Column]:
+    """The order in which rows were written: part names are numbers of five digits, or of more beyond 99,999."""
+    names = [f"{ROW}.{f}" for f in rows.schema[ROW].dataType.names]
+    return [F.length(c) for c in names if c.endswith("file_path")] + [F.col(c) for c in names]
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each row of ``docs``, in their order: the mix wrote them by training position, file after file."""
     rows = keyed(docs, "rows")
@@ -57,7 +63,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
     # A range sort reads its input twice, so the digests are written first: they are small, the encoding is not.
-    return staged(made, "tokens").orderBy(ROW).drop(ROW)
+    made = staged(made, "tokens")
+    return made.orderBy(*in_file_order(made)).drop(ROW)
 
 
 STAGES = [
