@@ -70,6 +70,6 @@ def thermal_key(b31: Column) -> Column:
     return F.coalesce(b31.cast("int"), F.lit(MISSING))
 
 
-def rank_key(key: Column, period: Column) -> Column:
-    """A key with ties broken by period: one long, so that max_by and min_by stay hash aggregates."""
-    return key.cast("long") * 32 + period
+def bit(place: Column) -> Column:
+    """A number with one bit set."""
+    return F.call_function("shiftleft", F.lit(1), place)

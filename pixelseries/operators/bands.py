@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelseries.functions import pixel as px
+from pixelseries.operators.catalog import WHOLE, calendar, date_bits, on_calendar
 from pixelseries.sources.adapter import ALL_BANDS, DATES, FILL, PIXEL
-from pixelseries.sources.storage import replace_partitions, stored
+from pixelseries.sources import tilestore
+from pixelseries.sources.storage import replace_partitions, staged
+from pixelseries.sources.tilestore import FILE_PIXELS, TILE_YEAR
 
-TILE_YEAR = ["h", "v", "season_year"]
-#: Neighbouring pixels that one task writes, about; a tile-year of 4800 x 4800 pixels is written by 22 tasks.
-FILE_PIXELS = 1 << 20
+#: The layer name of whole band tables in a store.
+BANDS_LAYER = "bands"
 #: Product and layer that hold each band.
 LAYERS = {
     "b1": ("CQ", 4), "b2": ("CQ", 5), "b3": ("CH", 0), "b4": ("CH", 1), "b5": ("CH", 2), "b6": ("CH", 3), "b7": ("CH", 4),
@@ -81,19 +83,24 @@ def stacked_values(stacks: DataFrame, bands: list[str] = ALL_BANDS) -> DataFrame
     return days.select(*PIXEL, "pos", F.col("x.day").alias("day"), F.inline(cells))
 
 
-def dates_held(obs: DataFrame) -> DataFrame:
-    """(tile-year, day, idx, dates): the dates of every tile-year and their number, from one pass over ``obs``."""
-    every = Window.partitionBy(*TILE_YEAR)
-    return obs.select(*TILE_YEAR, "day", "idx").distinct().withColumn("dates", F.count("*").over(every))
+def dates_held(obs: DataFrame, *more: Column) -> DataFrame:
+    """(tile-year, bits, dates, off_calendar): the calendar's dates that a tile-year holds, as bits and their number.
+
+    One hash aggregate, whose states are numbers. Observations of other days count as ``off_calendar``, and as nothing else.
+    ``more`` are further aggregates of a tile-year.
+    """
+    year, day, idx = F.col("season_year"), F.col("day"), F.col("idx")
+    held = obs.groupBy(*TILE_YEAR).agg(date_bits(day, year, idx).alias("bits"), F.count_if(~on_calendar(day, year, idx)).alias("off_calendar"), *more)
+    return held.withColumn("dates", F.bit_count("bits").cast("long"))
 
 
 def complete_tile_years(obs: DataFrame) -> DataFrame:
-    return dates_held(obs).filter(F.col("dates") == DATES).select(*TILE_YEAR).distinct()
+    return dates_held(obs).filter(F.col("bits") == WHOLE).select(*TILE_YEAR)
 
 
 def tile_calendar(obs: DataFrame) -> DataFrame:
-    """The dates of every complete tile-year: 23 rows each."""
-    return dates_held(obs).filter(F.col("dates") == DATES).drop("dates")
+    """The dates of every complete tile-year: the 23 of the calendar."""
+    return calendar(complete_tile_years(obs), TILE_YEAR).select(*TILE_YEAR, "day", "idx")
 
 
 def dense_grid(obs: DataFrame) -> DataFrame:
@@ -120,30 +127,29 @@ def clean(obs: DataFrame, apply_qa: bool = True) -> DataFrame:
 
 
 def write_bands(df: DataFrame, path: str) -> None:
-    """Add the tile-years of ``df`` that ``path`` does not hold; those that are there stay as they are.
-
-    A tile-year is dealt to tasks by blocks of neighbouring pixels, so none of them writes it alone.
-    """
-    there = stored(df.sparkSession, path, df.schema).select(*TILE_YEAR).distinct()
-    new = df.join(there, TILE_YEAR, "left_anti").select(*df.columns)
-    by_file(new).write.mode("append").partitionBy(*TILE_YEAR).parquet(path)
+    """Add the tile-years of ``df`` to ``path``: those that are there with the same rows stay as they are, others are replaced."""
+    todo = tilestore.pending(tilestore.inputs_of(df), path, [BANDS_LAYER])
+    tilestore.put(tilestore.only(df, todo), path, constant=BANDS_LAYER, inputs=todo.drop("layer"))
 
 
 def read_bands(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return tilestore.read(spark, path, constant=BANDS_LAYER).drop("run")
 
 
 def collate_batch(obs: DataFrame, path: str, apply_qa: bool = True) -> DataFrame:
     """Write the bands of all tile-years that can be collated; incomplete ones are skipped, and the batch goes on.
 
-    The report has a row for each tile-year: its dates, and whether it was ``written``, was ``stored`` before, or is ``incomplete``.
+    The report has a row for each tile-year: its dates of the calendar, its observations of other days (which are left out), and whether
+    it was ``written``, was ``stored`` before, is ``redone`` because its observations have changed, or is ``incomplete``.
     """
-    dates = dates_held(obs).groupBy(*TILE_YEAR).agg(F.first("dates").alias("dates"))
-    made = clean(obs, apply_qa)
-    before = stored(obs.sparkSession, path, made.schema).select(*TILE_YEAR).distinct().withColumn("_there", F.lit(True))
-    write_bands(made, path)
-    status = F.when(F.col("dates") < DATES, "incomplete").when(F.col("_there"), "stored").otherwise("written")
-    return dates.join(before, TILE_YEAR, "left").select(*TILE_YEAR, "dates", status.alias("status"))
+    dates = staged(dates_held(obs, *tilestore.digest(obs)), "tile-years")
+    complete = dates.filter(F.col("bits") == WHOLE)
+    before = staged(tilestore.entries(obs.sparkSession, path).select(*TILE_YEAR, F.lit(True).alias("_there")), "entries")
+    todo = tilestore.pending(complete, path, [BANDS_LAYER])
+    tilestore.put(clean(tilestore.only(obs, todo), apply_qa), path, constant=BANDS_LAYER, inputs=todo.drop("layer"))
+    status = F.when(F.col("bits") != WHOLE, "incomplete").when(F.col("_todo").isNull(), "stored").when(F.col("_there"), "redone").otherwise("written")
+    marked = dates.join(before, TILE_YEAR, "left").join(todo.select(*TILE_YEAR, F.lit(True).alias("_todo")), TILE_YEAR, "left")
+    return marked.select(*TILE_YEAR, "dates", "off_calendar", status.alias("status"))
 
 
 def write_mask(obs: DataFrame, path: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pixelseries.functions import pixel as px
@@ -14,6 +14,22 @@ from pixelseries.sources.storage import bounded, staged
 
 #: A calendar of so many rows (23 for a tile-year) is sent to all tasks; a larger one is joined by a shuffle.
 MAX_BROADCAST_DATES = 500_000
+#: So many chosen pixels are sent to all tasks; more are joined by a shuffle.
+MAX_BROADCAST_PIXELS = 1_000_000
+
+
+def periods_in(per_period: int = 2) -> list[list[int]]:
+    """The calendar's dates (by index) of each period: ceil(n / p) balanced groups, larger ones first."""
+    count, out = ceil(DATES / per_period), []
+    for k in range(count):
+        start = sum(map(len, out))
+        out.append(list(range(start, start + DATES // count + (k < DATES % count))))
+    return out
+
+
+def period_of(idx: Column, per_period: int = 2) -> Column:
+    """The period of a date of the calendar, in closed form."""
+    return F.get(F.lit([k for k, days in enumerate(periods_in(per_period)) for _ in days]), idx)
 
 
 def period_map(dates: DataFrame, per_period: int = 2) -> DataFrame:
@@ -62,12 +78,16 @@ def composites(
     ndvi_missing: str = "zero",
     as_int16: bool = False,
     missing_zenith_passes: bool = True,
+    pixels: DataFrame | None = None,
 ) -> DataFrame:
     """Observations to composites with their index: one exchange by pixel, which metrics use too, and one of distinct pixels.
 
     The calendar is written once, as it is small and read three times; observations meet it without an exchange.
     ``ndvi_missing`` and ``as_int16`` are those of ``with_index``; with ``missing_zenith_passes`` false, a missing zenith fails QA.
+    Of ``pixels``, if given, only those (pixel keys) get composites: other observations count for the calendar and go before any exchange.
     """
     periods = staged(period_map(tile_calendar(obs), per_period), "periods")
+    if pixels is not None:
+        obs = obs.join(bounded(pixels.select(*PIXEL).distinct(), MAX_BROADCAST_PIXELS), PIXEL, "left_semi")
     values = cleaned_rows(obs, apply_qa, missing_zenith_passes)
     return with_index(composite_mean(values, periods), ndvi_missing, as_int16)

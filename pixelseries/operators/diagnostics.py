@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelseries.functions import pixel as px
-from pixelseries.operators.bands import TILE_YEAR, by_file, known_band, normalized
+from pixelseries.operators.bands import known_band, normalized
+from pixelseries.sources import tilestore
 from pixelseries.sources.adapter import ALL_BANDS, PIXEL
-from pixelseries.sources.storage import replace_partitions
+from pixelseries.sources.storage import bounded
+from pixelseries.sources.tilestore import TILE_YEAR
 
+#: So many tile-years are sent to all tasks; more are joined by a shuffle.
+MAX_BROADCAST_TILE_YEARS = 500_000
 COMPONENTS = {"cloud": px.cloud, "shadow": px.shadow, "adjacency": px.adjacency, "aerosol": px.aerosol}
 
 
@@ -18,9 +22,14 @@ def qa_bits(obs: DataFrame) -> DataFrame:
 
 
 def qa_component_counts(obs: DataFrame) -> DataFrame:
-    """(day, component, value, pixels)."""
-    long = qa_bits(obs).unpivot(["day"], list(COMPONENTS), "component", "value")
-    return long.groupBy("day", "component", "value").agg(F.count("*").alias("pixels"))
+    """(day, component, value, pixels).
+
+    Observations are counted by state word first; only the distinct words of a day are taken apart.
+    """
+    words = obs.groupBy("day", "state").agg(F.count("*").alias("n"))
+    parts = [F.struct(F.lit(k).alias("component"), f(F.col("state")).alias("value")) for k, f in COMPONENTS.items()]
+    long = words.select("day", "n", F.inline(F.array(*parts)))
+    return long.groupBy("day", "component", "value").agg(F.sum("n").alias("pixels"))
 
 
 def qa_component_layers(obs: DataFrame) -> DataFrame:
@@ -37,34 +46,56 @@ def stages(obs: DataFrame, bands: list[str] = ALL_BANDS) -> DataFrame:
 
 
 def band_day_report(obs: DataFrame, bands: list[str] = ALL_BANDS) -> DataFrame:
-    """Per day and band: what is missing at each stage, clamps expected and found, distinct mask values."""
-    return (
-        stages(obs, bands)
-        .groupBy("day", "band")
-        .agg(
-            F.count_if(F.col("raw").isNull()).alias("missing_raw"),
-            F.count_if(F.col("clamped").isNull()).alias("missing_without_qa"),
-            F.count_if(F.col("masked").isNull()).alias("missing_with_qa"),
-            F.count_if(F.col("zenith").isNull()).alias("missing_zenith"),
-            F.count_if(F.coalesce(F.col("state"), F.lit(px.MISSING)) == px.MISSING).alias("missing_state"),
-            F.count_if(F.col("zenith") >= px.ZENITH_LIMIT).alias("clamps_expected"),
-            F.count_if(F.col("clamped") == px.CLAMPED).alias("clamps_without_qa"),
-            F.count_if(F.col("masked") == px.CLAMPED).alias("clamps_with_qa"),
-            F.array_join(F.sort_array(F.collect_set(F.when(F.col("ok"), F.lit("1")).otherwise(F.lit("0")))), ",").alias("mask_values"),
-        )
-    )
+    """Per day and band: what is missing at each stage, clamps expected and found, distinct mask values.
+
+    One aggregate of a day counts for all bands side by side; its few rows are laid out by band afterwards.
+    """
+    ok, zenith, state = px.qa_ok(F.col("state"), F.col("zenith")), F.col("zenith"), F.col("state")
+    shared = {
+        "missing_zenith": F.count_if(zenith.isNull()),
+        "missing_state": F.count_if(F.coalesce(state, F.lit(px.MISSING)) == px.MISSING),
+        "clamps_expected": F.count_if(zenith >= px.ZENITH_LIMIT),
+        "good": F.count_if(ok),
+        "n": F.count("*"),
+    }
+    counts = dict(shared)
+    for b in map(known_band, bands):
+        clamped = px.zenith_clamp(F.col(b), zenith)
+        masked = px.apply_qa(clamped, ok)
+        counts |= {
+            f"missing_raw {b}": F.count_if(F.col(b).isNull()),
+            f"missing_without_qa {b}": F.count_if(clamped.isNull()),
+            f"missing_with_qa {b}": F.count_if(masked.isNull()),
+            f"clamps_without_qa {b}": F.count_if(clamped == px.CLAMPED),
+            f"clamps_with_qa {b}": F.count_if(masked == px.CLAMPED),
+        }
+    days = normalized(obs).groupBy("day").agg(*[c.alias(name) for name, c in counts.items()])
+    own = ("missing_raw", "missing_without_qa", "missing_with_qa", "clamps_without_qa", "clamps_with_qa")
+    cells = [F.struct(F.lit(b).alias("band"), *[F.col(f"{name} {b}").alias(name) for name in own]) for b in bands]
+    mask = F.concat_ws(",", F.when(F.col("good") < F.col("n"), "0"), F.when(F.col("good") > 0, "1"))
+    return days.select("day", "missing_zenith", "missing_state", "clamps_expected", mask.alias("mask_values"), F.inline(F.array(*cells)))
 
 
 def stage_dump(obs: DataFrame, comp: DataFrame, periods: DataFrame, band: str, day: int) -> DataFrame:
     """One band on one day at every stage, next to the composite that the day went into."""
     one = stages(obs.filter(F.col("day") == day), [known_band(band)])
-    placed = one.join(periods.select("h", "v", "season_year", "day", "period"), ["h", "v", "season_year", "day"], "left")
-    whole = comp.select(*PIXEL, "period", F.col(band).alias("composite"))
+    periods = periods.filter(F.col("day") == day).select(*TILE_YEAR, "day", "period")
+    placed = one.join(periods, [*TILE_YEAR, "day"], "left")
+    # Spark moves the semi-join below the composites' aggregate: those of tile-years without the day are never made.
+    whole = comp.join(bounded(periods.select(*TILE_YEAR), MAX_BROADCAST_TILE_YEARS), TILE_YEAR, "left_semi")
+    whole = whole.select(*PIXEL, "period", F.col(band).alias("composite"))
     return placed.join(whole, [*PIXEL, "period"], "left").select(
         *PIXEL, "day", "period", "raw", "clamped", "masked", F.col("ok").cast("int").alias("mask"), "zenith", "state", "composite"
     )
 
 
 def write_dump(df: DataFrame, path: str) -> None:
-    """Store quality layers or a stage dump (rows with a pixel key and a day): the tile-years and days that ``df`` holds are replaced."""
-    replace_partitions(by_file(df, "day"), path, [*TILE_YEAR, "day"])
+    """Store quality layers or a stage dump (rows with a pixel key and a day) in place of the tile-years and days that ``df`` holds.
+
+    Days are sorted inside the files of their tile-year, so a reader of few days skips the row groups and pages of others.
+    """
+    tilestore.put(df, path, "day")
+
+
+def read_dump(spark: SparkSession, path: str) -> DataFrame:
+    return tilestore.read(spark, path, "day").drop("run")

@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from pixelseries.functions.pixel import to_stored
 from pixelseries.operators import metrics as mt
-from pixelseries.operators.bands import TILE_YEAR, by_file
+from pixelseries.operators.composite import composites
+from pixelseries.sources import tilestore
 from pixelseries.sources.adapter import PIXEL
-from pixelseries.sources.storage import replace_partitions, stored
+from pixelseries.sources.storage import staged
+from pixelseries.sources.tilestore import TILE_YEAR
 
 
 def metric_catalog(spark: SparkSession) -> DataFrame:
@@ -30,24 +32,15 @@ def _chosen(names: list[str] | None) -> dict[str, mt.Metric]:
 
 
 def feature_table(comp: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """One wide row per pixel, columns ``<metric>__<band>``: at most three aggregates over ``comp``, joined on the pixel.
+    """One wide row per pixel, columns ``<metric>__<band>``, from one aggregate over ``comp`` that holds what the chosen metrics read.
 
-    ``comp`` is laid out by pixel once, so the aggregates and their join need no further exchange.
+    Composites are laid out by pixel, so the aggregate needs no further exchange.
     """
     chosen = _chosen(names)
-    comp = comp.repartition(*PIXEL)
-    parts = []
-    for source, make in (("rolled", mt.rolled), ("stacked", mt.stacked), ("series", mt.unsorted_monthly)):
-        columns: list[Column] = []
-        for name, m in chosen.items():
-            if m.source == source:
-                columns += [m.value(b.replace("-", "_") if source == "series" else b).alias(f"{name}__{b}".replace("-", "_")) for b in m.bands]
-        if columns:
-            parts.append(make(comp).select(*PIXEL, *columns))
-    wide = parts[0]
-    for part in parts[1:]:
-        wide = wide.join(part, PIXEL)
-    return wide
+    wide = mt.slots(comp, mt.needs_of(chosen.values()))
+    known = mt.built_in()  # whose values are doubles
+    value = lambda name, m, b: m.value(b) if name in known else m.value(b).cast("double")
+    return wide.select(*PIXEL, *[value(name, m, b).alias(f"{name}__{b}".replace("-", "_")) for name, m in chosen.items() for b in m.bands])
 
 
 def run_metrics(comp: DataFrame, names: list[str] | None = None) -> DataFrame:
@@ -78,58 +71,68 @@ def training_table(samples: DataFrame, features: DataFrame) -> DataFrame:
     return joined.withColumn("matched", F.coalesce("matched", F.lit(False)))
 
 
-def write_metrics(long: DataFrame, path: str, stored_missing: bool = True) -> None:
-    """Replace the tile-years and metrics that ``long`` holds; missing values take their stored form if asked.
+def sampled_training_table(samples: DataFrame, obs: DataFrame, names: list[str] | None = None, **options) -> DataFrame:
+    """``training_table`` from observations: composites and features are made of the samples' pixels alone."""
+    return training_table(samples, feature_table(composites(obs, pixels=samples, **options), names))
 
-    The catalog with the descriptions of all layers is stored beside them, in a folder that readers of the table pass over.
+
+def write_metrics(long: DataFrame, path: str, stored_missing: bool = True, source: DataFrame | None = None) -> None:
+    """Store the tile-years and metrics that ``long`` holds in place of older ones; missing values take their stored form if asked.
+
+    ``source`` are the composites they were made of, by which ``reuse_or_compute`` knows whether they still hold. The
+    catalog with the descriptions of all layers is stored beside them, in a folder that readers of the table pass over.
     """
     value = to_stored(F.col("value")).cast("double") if stored_missing else F.col("value")
-    replace_partitions(by_file(long.withColumn("value", value), "metric"), path, [*TILE_YEAR, "metric"])
+    made = long.select(*PIXEL, "metric", "band", value.alias("value"))
+    tilestore.put(made, path, "metric", inputs=None if source is None else tilestore.inputs_of(source))
     metric_catalog(long.sparkSession).coalesce(1).write.mode("overwrite").parquet(f"{path}/_catalog")
 
 
 def stored_metrics(spark: SparkSession, path: str, described: bool = False) -> DataFrame:
     """The stored rows, each with the description of its layer if asked."""
-    rows = spark.read.parquet(path)
+    rows = tilestore.read(spark, path, "metric").drop("run")
     if not described:
         return rows
-    says = spark.read.parquet(f"{path}/_catalog").select("metric", "band", "description")  # a row for each of the 263 layers
+    says = spark.read.parquet(f"{path}/_catalog").select("metric", "band", "description")  # a row for each layer
     return rows.join(F.broadcast(says), ["metric", "band"], "left")
 
 
-LAYER = "h int, v int, season_year int, pixel long, metric string, band string, value double"
+_KEY = [StructField(c, IntegerType()) for c in TILE_YEAR] + [StructField("pixel", LongType())]
+_VALUE = [StructField("band", StringType()), StructField("value", DoubleType())]
+LAYER = StructType([*_KEY, StructField("metric", StringType()), *_VALUE])
+STEP = StructType([*_KEY, StructField("step", IntegerType()), *_VALUE])
+
+
+def _reused(spark: SparkSession, path: str, layer: str, schema: StructType, names: list[str], run: int, wanted: DataFrame) -> DataFrame:
+    rows = tilestore.read(spark, path, layer, schema=schema).filter(F.col(layer).isin(names))
+    return rows.join(wanted.select(*TILE_YEAR), TILE_YEAR, "left_semi").select(*schema.names, (F.col("run") != run).alias("reused"))
 
 
-def reuse_or_compute(comp: DataFrame, stored_rows: DataFrame, name: str, path: str) -> DataFrame:
-    """Rows of metric ``name`` for all tile-years of ``comp``: stored ones as they are, the others computed and added to ``path``.
+def reuse_or_compute(comp: DataFrame, name: str, path: str) -> DataFrame:
+    """Rows of metric ``name`` for all tile-years of ``comp``: those stored in ``path`` that were made of the same composites, else computed.
 
-    ``stored_rows`` may be the table in ``path``. A run again replaces what it computes, so nothing is doubled.
+    What is computed is added to ``path``. Late pixels, changed values and writes that were cut off make a tile-year computed again.
     """
-    have = stored_rows.filter(F.col("metric") == name)
-    done = have.select(*TILE_YEAR).distinct()
-    todo = comp.join(done, TILE_YEAR, "left_anti").select(*comp.columns)
-    made = mt.metric_long(todo, name).withColumn("metric", F.lit(name))
-    replace_partitions(by_file(made), path, [*TILE_YEAR, "metric"])
-    columns = [*PIXEL, "metric", "band", "value"]
-    fresh = stored(comp.sparkSession, path, StructType.fromDDL(LAYER)).filter(F.col("metric") == name).join(done, TILE_YEAR, "left_anti")
-    wanted = comp.select(*TILE_YEAR).distinct()
-    both = have.select(*columns, F.lit(True).alias("reused")).unionByName(fresh.select(*columns, F.lit(False).alias("reused")))
-    return both.join(wanted, TILE_YEAR, "left_semi").select(*columns, "reused")
+    inputs = staged(tilestore.inputs_of(comp), "inputs")
+    todo = tilestore.pending(inputs, path, [name])
+    made = mt.metric_long(tilestore.only(comp, todo), name).withColumn("metric", F.lit(name))
+    run = tilestore.put(made.select(*LAYER.names), path, "metric", inputs=inputs)
+    return _reused(comp.sparkSession, path, "metric", LAYER, [name], run, inputs)
 
 
-def reuse_or_compute_band(source: DataFrame, make: Callable[[DataFrame], DataFrame], band: str, path: str) -> DataFrame:
-    """Layers of ``band`` for all tile-years of ``source``: those in ``path`` as they are, the others made and added.
+def reuse_or_compute_bands(source: DataFrame, make: Callable[[DataFrame], DataFrame], bands: list[str], path: str) -> DataFrame:
+    """Layers of all ``bands`` for all tile-years of ``source``: those in ``path`` that were made of the same rows, else made and added.
 
-    ``make`` turns rows of ``source`` into (pixel key, step, value), with a day or a period as the step: it sees the
-    missing tile-years alone. Bands as read and composites thus share one store, each under its own name.
+    ``make`` turns rows of ``source`` into (pixel key, step, band, value), with a day or a period as the step. It sees, in one
+    pass, the tile-years that miss any of the bands, and of what it makes only missing bands are written.
     """
-    schema = StructType.fromDDL("h int, v int, season_year int, pixel long, step int, band string, value double")
-    columns = [*PIXEL, "step", "band", "value"]
-    have = stored(source.sparkSession, path, schema).filter(F.col("band") == band)
-    done = have.select(*TILE_YEAR).distinct()
-    todo = source.join(done, TILE_YEAR, "left_anti").select(*source.columns)
-    made = make(todo).select(*PIXEL, "step", F.lit(band).alias("band"), F.col("value").cast("double").alias("value"))
-    replace_partitions(by_file(made), path, [*TILE_YEAR, "band"])
-    fresh = stored(source.sparkSession, path, schema).filter(F.col("band") == band).join(done, TILE_YEAR, "left_anti")
-    both = have.select(*columns, F.lit(True).alias("reused")).unionByName(fresh.select(*columns, F.lit(False).alias("reused")))
-    return both.join(source.select(*TILE_YEAR).distinct(), TILE_YEAR, "left_semi").select(*columns, "reused")
+    inputs = staged(tilestore.inputs_of(source), "inputs")
+    todo = tilestore.pending(inputs, path, bands)
+    made = make(tilestore.only(source, todo)).select(*PIXEL, F.col("step").cast("int"), "band", F.col("value").cast("double").alias("value"))
+    run = tilestore.put(tilestore.only(made, todo, "band").select(*STEP.names), path, "band", inputs=inputs)
+    return _reused(source.sparkSession, path, "band", STEP, bands, run, inputs)
+
+
+def reuse_or_compute_band(source: DataFrame, make: Callable[[DataFrame], DataFrame], band: str, path: str) -> DataFrame:
+    """``reuse_or_compute_bands`` for one band: ``make`` gives (pixel key, step, value)."""
+    return reuse_or_compute_bands(source, lambda s: make(s).withColumn("band", F.lit(band)), [band], path)

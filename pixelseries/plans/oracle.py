@@ -169,14 +169,14 @@ def _wide() -> str:
     """One row per pixel, a column for each of the 263 features."""
     cells = ", ".join(
         f"max(value) FILTER (WHERE metric = '{name}' AND band = '{b}') AS {f'{name}__{b}'.replace('-', '_')}"
-        for name, m in metrics.registry().items()
+        for name, m in metrics.built_in().items()
         for b in m.bands
     )
     return f"SELECT {T}, {cells} FROM ({_feature_rows()}) GROUP BY {T}"
 
 
 #: Descriptions are the registry's own words.
-SAYS = "(VALUES " + ", ".join(f"('{n}', '{m.says}')" for n, m in metrics.registry().items()) + ") says(metric, description)"
+SAYS = "(VALUES " + ", ".join(f"('{n}', '{m.says}')" for n, m in metrics.built_in().items()) + ") says(metric, description)"
 
 
 def statements(slice_days: list[int], dump_day: int, dump_band: str) -> dict[str, str]:
@@ -249,6 +249,11 @@ def statements(slice_days: list[int], dump_day: int, dump_band: str) -> dict[str
         "reuse_or_compute": with_(
             LONG, f"SELECT {T}, 'band_min' AS metric, band, value, season_year % 2 = 0 AS reused FROM ({_metric(*VALUES['band_min'])})"
         ),
+        "reuse_or_compute_bands": with_(
+            OBS,
+            f"""SELECT {T}, step, band, value, season_year % 2 = 0 OR (season_year % 3 = 0 AND band IN ('b1', 'b2')) AS reused
+                FROM ({_unpivot('judged', ALL, f'{T}, day AS step', "(CASE WHEN ok THEN CASE WHEN high THEN {b} ELSE 16000 END END)::DOUBLE", 'value')})""",
+        ),
         "reuse_or_compute_band": with_(
             OBS,
             f"""SELECT {T}, day AS step, '{dump_band}' AS band, (CASE WHEN ok THEN CASE WHEN high THEN {dump_band} ELSE 16000 END END)::DOUBLE AS value,
@@ -256,7 +261,7 @@ def statements(slice_days: list[int], dump_day: int, dump_band: str) -> dict[str
         ),
         "collate_batch": with_(
             OBS,
-            """SELECT h, v, season_year, count(DISTINCT day) AS dates,
+            """SELECT h, v, season_year, count(DISTINCT day) AS dates, count_if((day % 1000 - 1) % 16 <> 0) AS off_calendar,
                CASE WHEN count(DISTINCT day) < 23 THEN 'incomplete' WHEN season_year % 2 = 0 THEN 'stored' ELSE 'written' END AS status
                FROM obs GROUP BY h, v, season_year""",
         ),
@@ -312,10 +317,10 @@ feats AS (SELECT *, true AS matched FROM ({_wide()}))""",
                 for n, e in (("cloud", "state & 3"), ("shadow", "state & 4"), ("adjacency", "state & 8192"), ("aerosol", "(state & 192) >> 6"))
             ),
         ),
-        "qa_component_layers": with_(
+        **dict.fromkeys(("qa_component_layers", "write_dump"), with_(
             OBS,
             f"SELECT {T}, day, state & 3 AS cloud, state & 4 AS shadow, state & 8192 AS adjacency, (((state & 192) >> 6) = 3)::INT AS aerosol FROM obs",
-        ),
+        )),
         "band_day_report": with_(
             OBS,
             f"""SELECT day, band, count_if(raw IS NULL) AS missing_raw, count_if(clamped IS NULL) AS missing_without_qa,

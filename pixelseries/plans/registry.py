@@ -90,8 +90,8 @@ def write_metrics(spark, sf):
 def reuse_or_compute(spark, sf):
     path = new_folder(spark, "metrics")
     first = comp(spark, sf).filter("season_year % 2 = 0")  # what an earlier run has left
-    ft.write_metrics(mt.metric_long(first, "band_min").withColumn("metric", F.lit("band_min")), path, False)
-    return ft.reuse_or_compute(comp(spark, sf), ft.stored_metrics(spark, path), "band_min", path)
+    ft.reuse_or_compute(first, "band_min", path)
+    return ft.reuse_or_compute(comp(spark, sf), "band_min", path)
 
 
 def reuse_or_compute_band(spark, sf):
@@ -101,12 +101,28 @@ def reuse_or_compute_band(spark, sf):
     return ft.reuse_or_compute_band(obs(spark, sf), make, DUMP_BAND, path)
 
 
+def reuse_or_compute_bands(spark, sf):
+    """Earlier runs have left all bands of some tile-years, and two bands of others."""
+    path = new_folder(spark, "layers")
+    make = lambda o: bd.cleaned_rows(o).withColumnRenamed("day", "step").unpivot([*PIXEL, "step"], ad.ALL_BANDS, "band", "value")
+    two = lambda o: make(o).filter(F.col("band").isin("b1", "b2"))
+    ft.reuse_or_compute_bands(obs(spark, sf).filter("season_year % 2 = 0"), make, ad.ALL_BANDS, path)
+    ft.reuse_or_compute_bands(obs(spark, sf).filter("season_year % 3 = 0"), two, ["b1", "b2"], path)
+    return ft.reuse_or_compute_bands(obs(spark, sf), make, ad.ALL_BANDS, path)
+
+
 def collate_batch(spark, sf):
     path = new_folder(spark, "bands")
     bd.collate_batch(obs(spark, sf).filter("season_year % 2 = 0"), path)
     return bd.collate_batch(obs(spark, sf), path)
 
 
+def write_dump(spark, sf):
+    path = new_folder(spark, "dump")
+    dg.write_dump(dg.qa_component_layers(obs(spark, sf)), path)
+    return dg.read_dump(spark, path)
+
+
 def write_mask(spark, sf):
     path = new_folder(spark, "masks")
     bd.write_mask(obs(spark, sf), path)
@@ -136,20 +152,22 @@ def missing_to_null(spark, sf):
 def k_means(prefix: str):
     def make(spark, sf):
         known = {k: mt.registry()[f"{prefix}_{k}_mean"] for k in (3, 6, 8)}
-        return mt.to_long_by(mt.stacked(comp(spark, sf)), {(b, k): m.value(b) for k, m in known.items() for b in m.bands}, ["band", "k"])
+        wide = mt.slots(comp(spark, sf), mt.needs_of(known.values()))
+        return mt.to_long_by(wide, {(b, k): m.value(b) for k, m in known.items() for b in m.bands}, ["band", "k"])
 
     return make
 
 
 def temp_mean_greenest3(spark, sf):
-    return mt.to_long_by(mt.stacked(comp(spark, sf)), {(k,): mt.top_mean("green", "b31", k) for k in (1, 3)}, ["k"])
+    wide = mt.slots(comp(spark, sf), {"green": ["b31"]})
+    return mt.to_long_by(wide, {(k,): mt.top_mean("green", "b31", k) for k in (1, 3)}, ["k"])
 
 
 def amplitudes(key: str):
     def make(spark, sf):
         plain = {(b, False): mt.amplitude(b) for b in mt.B8}
         ranked = {(b, True): mt.ranked_amplitude(key, b) for b in mt.B8}
-        return mt.to_long_by(mt.rolled(comp(spark, sf)), plain | ranked, ["band", "ranked"])
+        return mt.to_long_by(mt.slots(comp(spark, sf), {"own": mt.B8, key: mt.B8}), plain | ranked, ["band", "ranked"])
 
     return make
 
@@ -176,7 +194,9 @@ def queries() -> dict:
         "write_metrics": write_metrics,
         "reuse_or_compute": reuse_or_compute,
         "reuse_or_compute_band": reuse_or_compute_band,
+        "reuse_or_compute_bands": reuse_or_compute_bands,
         "collate_batch": collate_batch,
+        "write_dump": write_dump,
         "write_mask": write_mask,
         "normalize_nodata": lambda s, d: bd.normalized(obs(s, d)).select(*PIXEL, "day", *ad.ALL_BANDS, "zenith"),
         "zenith_clamp": long_of(lambda v: px.zenith_clamp(v, F.col("zenith"))),

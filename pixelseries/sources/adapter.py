@@ -20,7 +20,7 @@ PREFIX = "REF44"
 COLLECTION = "006"
 DATES = 23
 
-_held: dict[tuple, DataFrame] = {}
+_held: dict[tuple, tuple] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,17 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def once(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
-    """Several queries read the same intermediate tables: persist each once for a session and folder."""
+    """Several queries read the same intermediate tables: persist each once for a session and state of the folder's files."""
+    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in ("lineitem", "supplier", "nation")])
+    newest = files.agg(F.max("modificationTime")).first()[0]
     key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _held and _held[key][0] != newest:
+        _held.pop(key)[1].unpersist()
     if key not in _held:
-        _held[key] = make().persist()
-    return _held[key]
+        _held[key] = newest, make().persist()
+    return _held[key][1]
 
 
 def release() -> None:
     """Let go of all tables that are held."""
     while _held:
-        _held.popitem()[1].unpersist()
+        _held.popitem()[1][1].unpersist()
 
 
 def season_columns(year: Column, doy: Column) -> dict[str, Column]:
@@ -77,24 +81,52 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A packed value has so many bits, three to a long; layers have 16-bit values.
+VALUE_BITS = 20
+
+
+def pack(values: list[Column]) -> Column:
+    """Up to three small integers as a long; nulls keep their place as 0."""
+    half, out = 1 << (VALUE_BITS - 1), F.lit(0).cast("long")
+    for value in values:
+        out = out * (1 << VALUE_BITS) + F.coalesce(value.cast("long") + half, F.lit(0))
+    return out
+
+
+def unpack(packed: Column, names: list[str]) -> list[Column]:
+    half, mask = 1 << (VALUE_BITS - 1), (1 << VALUE_BITS) - 1
+    field = lambda k: F.shiftright(packed, VALUE_BITS * (len(names) - 1 - k)).bitwiseAND(mask)
+    return [(F.nullif(field(k), F.lit(0).cast("long")) - half).cast("int").alias(name) for k, name in enumerate(names)]
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """obs: raw layers of both products by pixel and date.
 
     A pixel and date takes its CH layers from the first of its line items in one order, its CQ layers from the
-    first in another. Both are maxima of a struct, so one aggregate, with partial maxima before its one exchange, does.
+    first in another. Orders are packed into decimals of fixed width and layers into longs, so that all states are plain
+    numbers: one hash aggregate, with partial states before its one exchange, and no sort.
     """
-    layers = base(spark, sf_dir).selectExpr(
-        *PIXEL, "day", "idx",
-        """struct(o, n, p, ship, cast(if(o % 53 = 0, -28672, q * 60 + d * 7) as int) b3, q * 55 + t * 9 b4, x % 5000 b5, x % 4000 + d b6,
-           x % 3000 + t b7, if(o % 97 = 0, 0, 14000 + x % 1500) b31) ch""",
-        """struct(p, o, n, ship, cast(if(p % 53 = 0, -28672, q * 20 - 100) as int) b1, x % 6000 b2,
-           cast(if(d = 10 and n % 2 = 0, 1, 0) + if(t = 8 and n % 2 = 1, 4, 0) + if(p % 32 = 0, 192, (p % 3) * 64)
-           + if(o % 32 = 0, 8192, 0) as int) state, cast(if(o % 101 = 0, 255, 20 + p % 54) as int) zenith) cq""",
-    )
-    first = layers.groupBy(*PIXEL, "day", "idx").agg(F.max("ch").alias("ch"), F.max("cq").alias("cq"))
-    side = {b: "ch" for b in CH_BANDS} | {b: "cq" for b in CQ_BANDS}
-    bands = [F.col(f"{side[b]}.{b}").cast("int").alias(b) for b in ALL_BANDS]
-    return first.select(*PIXEL, "day", "idx", *bands, "cq.state", "cq.zenith")
+    rows = base(spark, sf_dir)
+    wide = lambda c, digits: F.col(c).cast(f"decimal({digits},0)")
+    tens = lambda k: F.lit("1" + "0" * k).cast(f"decimal({k + 1},0)")
+    line = F.col("o") * 1000 + F.col("n")
+    ship = F.unix_date(F.to_date("ship")) + 100_000
+    ranks = {
+        "ch": line.cast("decimal(18,0)") * tens(18) + (F.col("p") * 1_000_000 + ship).cast("decimal(18,0)"),  # o, n, p, ship
+        "cq": wide("p", 13) * tens(24) + line.cast("decimal(18,0)") * tens(6) + ship.cast("decimal(6,0)"),  # p, o, n, ship
+    }
+    layers = {
+        "b3": "if(o % 53 = 0, -28672, q * 60 + d * 7)", "b4": "q * 55 + t * 9", "b5": "x % 5000", "b6": "x % 4000 + d", "b7": "x % 3000 + t",
+        "b31": "if(o % 97 = 0, 0, 14000 + x % 1500)", "b1": "if(p % 53 = 0, -28672, q * 20 - 100)", "b2": "x % 6000",
+        "state": """if(d = 10 and n % 2 = 0, 1, 0) + if(t = 8 and n % 2 = 1, 4, 0) + if(p % 32 = 0, 192, (p % 3) * 64) + if(o % 32 = 0, 8192, 0)""",
+        "zenith": "if(o % 101 = 0, 255, 20 + p % 54)",
+    }
+    groups = [("ch", ["b3", "b4", "b5"]), ("ch", ["b6", "b7", "b31"]), ("cq", ["b1", "b2", "state"]), ("cq", ["zenith"])]
+    packed = [pack([F.expr(layers[name]) for name in names]).alias(f"v{k}") for k, (_, names) in enumerate(groups)]
+    keyed = rows.select(*PIXEL, "day", "idx", *[rank.alias(f"{side}_rank") for side, rank in ranks.items()], *packed)
+    first = keyed.groupBy(*PIXEL, "day", "idx").agg(*[F.max_by(f"v{k}", f"{side}_rank").alias(f"v{k}") for k, (side, _) in enumerate(groups)])
+    found = first.select(*PIXEL, "day", "idx", *[c for k, (_, names) in enumerate(groups) for c in unpack(F.col(f"v{k}"), names)])
+    return found.select(*PIXEL, "day", "idx", *ALL_BANDS, "state", "zenith")
 
 
 def granules(spark: SparkSession, sf_dir: str) -> DataFrame:
