@@ -152,6 +152,15 @@ def collate_batch(obs: DataFrame, path: str, apply_qa: bool = True) -> DataFrame
     return marked.select(*TILE_YEAR, "dates", "off_calendar", status.alias("status"))
 
 
+def write_bucketed_bands(df: DataFrame, table: str, path: str, buckets: int = 64) -> None:
+    """Append dense bands (of ``clean``) to a table that is stored by pixel: what is computed of it by pixel needs no exchange.
+
+    ``buckets`` must be that of earlier appends. A pixel's dates lie in one bucket, in order.
+    """
+    dealt = df.repartition(buckets, *PIXEL)
+    dealt.write.mode("append").bucketBy(buckets, *PIXEL).sortBy(*PIXEL, "day").option("path", path).format("parquet").saveAsTable(table)
+
+
 def write_mask(obs: DataFrame, path: str) -> None:
     """The QA mask of every date as 1 (good) or the missing value (bad); tile-years that ``obs`` holds are replaced, others stay."""
     ok = px.qa_ok(F.col("state"), px.normalize_nodata(F.col("zenith"), FILL["zenith"]))

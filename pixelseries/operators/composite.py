@@ -91,3 +91,13 @@ def composites(
         obs = obs.join(bounded(pixels.select(*PIXEL).distinct(), MAX_BROADCAST_PIXELS), PIXEL, "left_semi")
     values = cleaned_rows(obs, apply_qa, missing_zenith_passes)
     return with_index(composite_mean(values, periods), ndvi_missing, as_int16)
+
+
+def composites_of_bands(bands: DataFrame, per_period: int = 2, ndvi_missing: str = "zero", as_int16: bool = False) -> DataFrame:
+    """Composites of stored dense bands (rows of ``clean``), whose tile-years have all dates of the calendar for every pixel.
+
+    Periods follow from the dates' indexes, so there is nothing to join; of a table stored by pixel there is no exchange either.
+    """
+    rows = bands.withColumn("period", period_of(F.col("idx"), per_period))
+    means = rows.groupBy(*PIXEL, "period").agg(F.min("day").alias("first_day"), *[F.avg(b).alias(b) for b in ALL_BANDS])
+    return with_index(means, ndvi_missing, as_int16)

@@ -278,6 +278,7 @@ def statements(slice_days: list[int], dump_day: int, dump_band: str) -> dict[str
         "thermal_key": with_(OBS, f"SELECT {T}, day, coalesce(b31, -10001) AS therm FROM filled"),
         "period_map": with_(CALENDAR, "SELECT h, v, season_year, day, period, first_day FROM periods"),
         "composite_mean": with_(COMP, f"SELECT {T}, period, first_day, {', '.join(ALL)} FROM comp"),
+        "stored_composites": with_(COMP, f"SELECT {T}, period, first_day, {', '.join(ALL)}, ndvi, therm FROM comp"),
         "composite_ndvi": with_(COMP, f"SELECT {T}, period, ndvi, therm FROM comp"),
         "dense_grid": with_(
             GRID, f"SELECT {T}, day, g.idx AS idx, {', '.join(ALL)}, state, zenith FROM grid g LEFT JOIN obs USING (h, v, season_year, pixel, day)"

@@ -81,6 +81,14 @@ def write_read_bands(spark, sf):
     return bd.read_bands(spark, path).select(*PIXEL, "day", *ad.ALL_BANDS)
 
 
+def stored_composites(spark, sf):
+    """Bands go to a table stored by pixel, and composites come from it."""
+    path = new_folder(spark, "pixel-bands")
+    name = "pixel_bands_" + path[-32:]
+    bd.write_bucketed_bands(clean(spark, sf), name, path)
+    return cp.composites_of_bands(spark.table(name)).select(*PIXEL, "period", "first_day", *ad.ALL_BANDS, "ndvi", "therm")
+
+
 def write_metrics(spark, sf):
     path = new_folder(spark, "metrics")
     ft.write_metrics(ft.run_metrics(comp(spark, sf)), path)
@@ -191,6 +199,7 @@ def queries() -> dict:
         "day_slice": lambda s, d: bd.day_slice(obs(s, d), DUMP_BAND, SLICE_DAYS),
         "stack_band": stack_band,
         "write_read_bands": write_read_bands,
+        "stored_composites": stored_composites,
         "write_metrics": write_metrics,
         "reuse_or_compute": reuse_or_compute,
         "reuse_or_compute_band": reuse_or_compute_band,

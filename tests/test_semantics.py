@@ -448,3 +448,15 @@ def test_reports_count_before_they_unpivot(spark):
         assert plan.rindex("Generate") < plan.rindex("Exchange")  # the plan is printed from the top
     report = {(r["day"], r["band"]): r for r in dg.band_day_report(obs).collect()}
     assert report[2019065, "b1"]["mask_values"] == "1" and report[2019081, "b2"]["mask_values"] == "0,1"
+
+
+def test_bands_stored_by_pixel_need_no_exchange(spark, tmp_path):
+    """From the scan of stored bands to all features there is no exchange, and appends add tile-years."""
+    for year in (1995, 1996):
+        bd.write_bucketed_bands(bd.clean(season_of(spark, year)), "pixel_bands_test", str(tmp_path / "bands"), 4)
+    comp = cp.composites_of_bands(spark.table("pixel_bands_test"))
+    want = cp.composites(season_of(spark, 1995).unionByName(season_of(spark, 1996)))
+    assert sorted(map(str, comp.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    for made in (comp, ft.feature_table(comp)):
+        assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    spark.sql("DROP TABLE pixel_bands_test")
