@@ -161,13 +161,17 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: So many chosen documents are sent to all tasks; more are joined by a shuffle.
+MAX_CHOSEN = 100_000
+
+
 def training_texts(documents: DataFrame, chosen: DataFrame, max_bytes: int, text_col: str = "text") -> DataFrame:
     """(text, label) of the ``chosen`` documents (doc_id, label, place): whole texts of ``max_bytes`` in all at most.
 
-    ``chosen`` has few rows, by its maker's parameter. Rows that share an id give one text, that with the least hash.
+    ``chosen`` has few rows, by its maker's parameter; it is broadcast only if they are. Rows that share an id give one text, that with the least hash.
     Documents are taken by place as long as they fit; one that does not is passed over.
     """
-    texts = documents.select("doc_id", whole_text(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = documents.select("doc_id", whole_text(text_col).alias("text")).join(bounded(staged(chosen, "chosen"), MAX_CHOSEN), "doc_id")
     one = F.min_by(F.struct("text", "label", "place"), F.xxhash64("text")).alias("x")
     texts = staged(texts.groupBy("doc_id").agg(one).select("doc_id", "x.*"), "training")
     held, ids = 0, []
@@ -176,4 +180,4 @@ def training_texts(documents: DataFrame, chosen: DataFrame, max_bytes: int, text
             held += r["n"]
             ids.append((r["doc_id"],))
     fits = documents.sparkSession.createDataFrame(ids, texts.select("doc_id").schema)
-    return texts.join(F.broadcast(fits), "doc_id", "left_semi").select("text", "label")
+    return texts.join(bounded(fits, MAX_CHOSEN), "doc_id", "left_semi").select("text", "label")
