@@ -133,7 +133,7 @@ def dropped(rows: DataFrame, losers: DataFrame) -> DataFrame:
     maps = losers.groupBy(file.alias(f"{p}file"), F.bitmap_bucket_number(place).alias(f"{p}bucket"))
     maps = staged(maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(f"{p}bits")), "dropped")
     if maps.limit(MAX_BITMAPS + 1).count() > MAX_BITMAPS:
-        return rows.join(losers, ROW, "left_anti")
+        return rows.join(losers, ROW, "left_anti").select(*rows.columns)
     at = F.bitmap_bit_position(place)
     byte = F.conv(F.hex(F.substring(f"{p}bits", (F.floor(at / 8) + 1).cast("int"), 1)), 16, 10).cast("int")
     lost = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))

@@ -85,9 +85,8 @@ def test_phrases_of_odd_rows(spark):
     rows = [(None, "New York, new york; NEW YORK\tcity"), ("und", "new york"), ("en", None), ("en", ""), (None, ".,;"), ("de", "ja"), ("fr", "a a a a É É é é")]
     rows += [("en", "x y z w v u " * 4000)] + [("es", "uno dos tres. cuatro cinco")] * 5 + [("en", " \t\n\x0b the end\x1cof it  the end\x1cof it")]
     frame = spark.createDataFrame([(*r, 1, "k", None) for r in rows], "lang string, text string, _m int, id string, f string")
-    for least in (1, 2, 5):
-        for top in (3, 1000):
-            assert got(pm.phrases(frame, min_count=least, top=top)) == plain(rows, least, top)
+    for least, top in ((1, 1000), (2, 3)):
+        assert got(pm.phrases(frame, min_count=least, top=top)) == plain(rows, least, top)
     assert got(pm.phrases(frame.limit(0))) == [] and got(pm.phrases(frame.filter("text is null"))) == []
     # A looser bound absorbs phrases that stand mostly, not always, within a longer one.
     assert got(pm.phrases(frame, min_count=2, absorb=60)) == plain(rows, 2, 2000, absorb=60)

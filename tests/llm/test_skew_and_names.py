@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from pixelseries.llm import exact_dedup, quality_rules, source_mix, url_filter, warc
 from pixelseries.llm import license_scan as ls
+from pixelseries.llm import common
 from pixelseries.llm.common import ROW, set_aside
 
 CREATIVE_COMMONS = {
@@ -106,3 +107,19 @@ def test_training_order_holds_beyond_five_digits(spark):
     rows = spark.createDataFrame([((p, k),) for p in paths for k in (1, 0)], f"{ROW} struct<file_path string, row_index long>")
     got = [tuple(r[ROW]) for r in rows.orderBy(*corpus_pipeline.in_file_order(rows)).collect()]
     assert got == [(p, k) for p in (paths[0], paths[2], paths[1]) for k in (0, 1)]
+
+
+@pytest.mark.parametrize("bitmaps", [8192, 0])
+def test_losers_leave_by_bitmaps_or_by_a_join(spark, monkeypatch, bitmaps):
+    """Several files, bitmaps of more rows than one holds, rows at their edges, and the join beyond the bound."""
+    monkeypatch.setattr(common, "MAX_BITMAPS", bitmaps)
+    path = common.new_path(spark, "many-rows")
+    spark.range(150_000).repartition(2).withColumn("_xbits", F.lit(1)).write.parquet(path)
+    for df in (spark.read.parquet(path), spark.range(100_000).sort("id")):  # a scan, and a table that is written first
+        rows = common.keyed(df, "rows")
+        place = F.col(f"{ROW}.row_index")
+        lose = place.isin(0, 7, 8, 32767, 32768, 65535, 65536) | (F.col("id") % 11 == 3)
+        kept = common.dropped(rows, rows.filter(lose).select(ROW))
+        assert kept.columns == rows.columns
+        assert kept.select("id").exceptAll(rows.filter(~lose).select("id")).isEmpty() and kept.count() == rows.filter(~lose).count()
+    assert common.dropped(rows, rows.limit(0).select(ROW)).count() == rows.count()
