@@ -85,7 +85,8 @@ def is_scan(df: DataFrame) -> bool:
     plan = df._jdf.queryExecution().analyzed()
     while plan.getClass().getSimpleName() in ("Project", "Filter") and plan.deterministic():
         plan = plan.child()
-    return plan.getClass().getSimpleName() == "LogicalRelation"
+    # A relation of other kinds (JDBC) may come in another order each time.
+    return plan.getClass().getSimpleName() == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation"
 
 
 def keyed(df: DataFrame, name: str) -> DataFrame:

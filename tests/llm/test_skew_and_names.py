@@ -122,4 +122,5 @@ def test_losers_leave_by_bitmaps_or_by_a_join(spark, monkeypatch, bitmaps):
         kept = common.dropped(rows, rows.filter(lose).select(ROW))
         assert kept.columns == rows.columns
         assert kept.select("id").exceptAll(rows.filter(~lose).select("id")).isEmpty() and kept.count() == rows.filter(~lose).count()
+    assert common.is_scan(spark.read.parquet(path).filter("id > 1")) and not common.is_scan(spark.range(3)) and not common.is_scan(spark.read.parquet(path).limit(2))
     assert common.dropped(rows, rows.limit(0).select(ROW)).count() == rows.count()
