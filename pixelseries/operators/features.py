@@ -44,13 +44,13 @@ def feature_table(comp: DataFrame, names: list[str] | None = None) -> DataFrame:
 
 
 def run_metrics(comp: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """(pixel key, metric, band, value) of the chosen metrics, or of all."""
-    wide = feature_table(comp, names)
-    features = [c for c in wide.columns if c not in PIXEL]
-    part = F.split("feature", "__")
-    return wide.unpivot(PIXEL, features, "feature", "value").select(
-        *PIXEL, part[0].alias("metric"), F.replace(part[1], F.lit("_"), F.lit("-")).alias("band"), "value"
-    )
+    """(pixel key, metric, band, value) of the chosen metrics, or of all.
+
+    A pixel's features become an array that is laid out at once: an unpivot would go over its columns again for each row.
+    """
+    cell = "named_struct('metric', '{0}', 'band', '{1}', 'value', `{2}`)"
+    cells = [cell.format(n, b, f"{n}__{b}".replace("-", "_")) for n, m in _chosen(names).items() for b in m.bands]
+    return feature_table(comp, names).selectExpr(*PIXEL, f"inline(array({', '.join(cells)}))")
 
 
 def catalog_report(comp: DataFrame) -> DataFrame:

@@ -213,8 +213,7 @@ def sorted_by_self(comp: DataFrame) -> DataFrame:
 
 def to_long(wide: DataFrame, columns: dict[str, Column], label: str = "band") -> DataFrame:
     """(pixel key, label, value) from one expression per label."""
-    picked = wide.select(*PIXEL, *[c.alias(name) for name, c in columns.items()])
-    return picked.unpivot(PIXEL, list(columns), label, "value")
+    return to_long_by(wide, {(name,): c for name, c in columns.items()}, [label])
 
 
 def to_long_by(wide: DataFrame, columns: dict[tuple, Column], labels: list[str]) -> DataFrame:
