@@ -102,3 +102,8 @@ def read(spark: SparkSession, path: str, layer: str | None = None, constant: str
     now = entries(spark, path).select(*TILE_YEAR, "run", F.col("layer").alias("_layer"))
     named = whole.withColumn("_layer", _layer(layer, constant))
     return named.join(bounded(now, MAX_BROADCAST_ENTRIES), [*TILE_YEAR, "run", "_layer"]).drop("_layer")
+
+
+def stale_runs(spark: SparkSession, path: str) -> DataFrame:
+    """(run): runs whose rows nobody reads any more, or never did; once no reader holds them, their folders can go."""
+    return spark.read.parquet(path).select(F.col("run").cast("long")).distinct().join(entries(spark, path), "run", "left_anti")

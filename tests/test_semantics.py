@@ -238,6 +238,7 @@ def test_late_pixels_and_newer_values_are_taken_in(spark, tmp_path):
     assert status(obs) == {"stored"}
     newer = obs.withColumn("b1", F.when(F.col("day") == 1995065, 7).otherwise(F.col("b1")))
     assert status(newer) == {"redone"} and bd.read_bands(spark, path).filter("day = 1995065").agg(F.max("b1")).first()[0] == 7
+    assert tilestore.stale_runs(spark, path).count() == 2  # the first pixel's run, and that of the older values
     layers, read = str(tmp_path / "layers"), lambda o: bd.read_values(o, "b5", True).withColumnRenamed("day", "step")
     reused = lambda o: {r["reused"] for r in ft.reuse_or_compute_band(o, read, "b5", layers).collect()}
     assert [reused(o) for o in (obs.filter("pixel = 1"), obs, obs, newer)] == [{False}, {False}, {True}, {False}]
