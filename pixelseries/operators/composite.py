@@ -43,23 +43,20 @@ def period_map(dates: DataFrame, per_period: int = 2) -> DataFrame:
     return ranked.select(*TILE_YEAR, "day", "period", first.alias("first_day"))
 
 
-def composite_mean(values: DataFrame, periods: DataFrame) -> DataFrame:
+def composite_mean(values: DataFrame, periods: DataFrame, dealt: bool = False) -> DataFrame:
     """Mean of the values that are there, per pixel, band and period; none gives null.
 
     ``values`` may lack dates: a row without values for every pixel and period stands in for them, so every
-    pixel of a complete tile-year gets all its periods without a join of the observations to a dense grid.
+    pixel of a complete tile-year gets all its periods without a join of the observations to a dense grid. ``dealt`` is that of ``composites``.
     """
     spans = periods.groupBy(*TILE_YEAR, "period").agg(F.min("first_day").alias("first_day"))
     rows = values.join(bounded(periods, MAX_BROADCAST_DATES), [*TILE_YEAR, "day"]).select(*PIXEL, "period", "first_day", *ALL_BANDS)
     empty = values.select(*PIXEL).distinct().join(bounded(spans, MAX_BROADCAST_DATES), TILE_YEAR)
     empty = empty.select(*PIXEL, "period", "first_day", *[F.lit(None).cast("int").alias(b) for b in ALL_BANDS])
+    both = rows.unionByName(empty)
     # Dealt by pixel, so that metrics over the composites need no exchange of their own.
-    return (
-        rows.unionByName(empty)
-        .repartition(*PIXEL)
-        .groupBy(*PIXEL, "period")
-        .agg(F.min("first_day").alias("first_day"), *[F.avg(b).alias(b) for b in ALL_BANDS])
-    )
+    by_pixel = both if dealt else both.repartition(*PIXEL)
+    return by_pixel.groupBy(*PIXEL, "period").agg(F.min("first_day").alias("first_day"), *[F.avg(b).alias(b) for b in ALL_BANDS])
 
 
 def with_index(composites: DataFrame, ndvi_missing: str = "zero", as_int16: bool = False) -> DataFrame:
@@ -79,18 +76,20 @@ def composites(
     as_int16: bool = False,
     missing_zenith_passes: bool = True,
     pixels: DataFrame | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
     """Observations to composites with their index: one exchange by pixel, which metrics use too, and one of distinct pixels.
 
     The calendar is written once, as it is small and read three times; observations meet it without an exchange.
     ``ndvi_missing`` and ``as_int16`` are those of ``with_index``; with ``missing_zenith_passes`` false, a missing zenith fails QA.
     Of ``pixels``, if given, only those (pixel keys) get composites: other observations count for the calendar and go before any exchange.
+    ``dealt`` says that ``obs`` are dealt by pixel already, as those of the adapter are: then neither exchange is made.
     """
     periods = staged(period_map(tile_calendar(obs), per_period), "periods")
     if pixels is not None:
         obs = obs.join(bounded(pixels.select(*PIXEL).distinct(), MAX_BROADCAST_PIXELS), PIXEL, "left_semi")
     values = cleaned_rows(obs, apply_qa, missing_zenith_passes)
-    return with_index(composite_mean(values, periods), ndvi_missing, as_int16)
+    return with_index(composite_mean(values, periods, dealt), ndvi_missing, as_int16)
 
 
 def composites_of_bands(bands: DataFrame, per_period: int = 2, ndvi_missing: str = "zero", as_int16: bool = False) -> DataFrame:

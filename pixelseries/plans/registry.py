@@ -31,7 +31,7 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def comp(spark: SparkSession, sf: str) -> DataFrame:
-    return once(spark, sf, "comp", lambda: cp.composites(obs(spark, sf)))
+    return once(spark, sf, "comp", lambda: cp.composites(obs(spark, sf), dealt=True))
 
 
 def granules(spark: SparkSession, sf: str) -> DataFrame:

@@ -53,10 +53,15 @@ def season_columns(year: Column, doy: Column) -> dict[str, Column]:
     }
 
 
+def composite_date(ship: Column) -> tuple[Column, Column]:
+    """Year and day of it of the 16-day window that a date lies in."""
+    doy = F.dayofyear(ship)
+    return F.year(ship), doy - 1 - (doy - 1) % 16 + 1
+
+
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with pixel, tile and composite date."""
-    year, doy = F.year("l_shipdate"), F.dayofyear("l_shipdate")
-    date = doy - 1 - (doy - 1) % 16 + 1
+    year, date = composite_date(F.col("l_shipdate"))
     return (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -104,13 +109,16 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A pixel and date takes its CH layers from the first of its line items in one order, its CQ layers from the
     first in another. Orders are packed into decimals of fixed width and layers into longs, so that all states are plain
-    numbers: one hash aggregate, with partial states before its one exchange, and no sort.
+    numbers: one hash aggregate and no sort. The one exchange deals line items by pixel as they are: they are half as wide as
+    states, a scan holds few of a pixel and date, and what is computed of observations by pixel needs no further exchange.
     """
-    rows = base(spark, sf_dir)
+    days = F.unix_date(F.to_date("ship")).alias("ship")
+    rows = base(spark, sf_dir).select(*PIXEL, days, "o", "n", "p", "q", "x", "d", "t").repartition(*PIXEL)
+    year, date = composite_date(F.date_from_unix_date("ship"))
     wide = lambda c, digits: F.col(c).cast(f"decimal({digits},0)")
     tens = lambda k: F.lit("1" + "0" * k).cast(f"decimal({k + 1},0)")
     line = F.col("o") * 1000 + F.col("n")
-    ship = F.unix_date(F.to_date("ship")) + 100_000
+    ship = F.col("ship") + 100_000
     ranks = {
         "ch": line.cast("decimal(18,0)") * tens(18) + (F.col("p") * 1_000_000 + ship).cast("decimal(18,0)"),  # o, n, p, ship
         "cq": wide("p", 13) * tens(24) + line.cast("decimal(18,0)") * tens(6) + ship.cast("decimal(6,0)"),  # p, o, n, ship
@@ -123,9 +131,10 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     groups = [("ch", ["b3", "b4", "b5"]), ("ch", ["b6", "b7", "b31"]), ("cq", ["b1", "b2", "state"]), ("cq", ["zenith"])]
     packed = [pack([F.expr(layers[name]) for name in names]).alias(f"v{k}") for k, (_, names) in enumerate(groups)]
-    keyed = rows.select(*PIXEL, "day", "idx", *[rank.alias(f"{side}_rank") for side, rank in ranks.items()], *packed)
-    first = keyed.groupBy(*PIXEL, "day", "idx").agg(*[F.max_by(f"v{k}", f"{side}_rank").alias(f"v{k}") for k, (side, _) in enumerate(groups)])
-    found = first.select(*PIXEL, "day", "idx", *[c for k, (_, names) in enumerate(groups) for c in unpack(F.col(f"v{k}"), names)])
+    keyed = rows.select(*PIXEL, (year * 1000 + date).cast("int").alias("day"), *[rank.alias(f"{side}_rank") for side, rank in ranks.items()], *packed)
+    first = keyed.groupBy(*PIXEL, "day").agg(*[F.max_by(f"v{k}", f"{side}_rank").alias(f"v{k}") for k, (side, _) in enumerate(groups)])
+    idx = season_columns(F.expr("day div 1000"), F.col("day") % 1000)["idx"].alias("idx")
+    found = first.select(*PIXEL, "day", idx, *[c for k, (_, names) in enumerate(groups) for c in unpack(F.col(f"v{k}"), names)])
     return found.select(*PIXEL, "day", "idx", *ALL_BANDS, "state", "zenith")
 
 

@@ -461,3 +461,33 @@ def test_bands_stored_by_pixel_need_no_exchange(spark, tmp_path):
     for made in (comp, ft.feature_table(comp)):
         assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
     spark.sql("DROP TABLE pixel_bands_test")
+
+
+def exchanges_by_pixel(df):
+    """Lines of the plan of ``df`` that deal rows by pixel, besides those of tables that are held."""
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    return [x for x in plan if "Exchange hashpartitioning" in x and "pixel" in x and "REPARTITION_BY_COL" not in x]
+
+
+@pytest.fixture
+def held(spark):
+    """Observations of the adapter, held as the registered queries hold them; joins are not made small by statistics."""
+    obs = ad.observations(spark, SF).persist()
+    obs.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield obs
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("made", [ft.feature_table], ids=["features"])
+def test_composites_of_dealt_observations_need_no_exchange(spark, held, made):
+    """From held observations to features there is no exchange by pixel, and the values are those of undealt ones."""
+    dealt = made(cp.composites(held, dealt=True))
+    assert "RepartitionByExpression" not in dealt._jdf.queryExecution().optimizedPlan().toString() and exchanges_by_pixel(dealt) == []
+    want = made(cp.composites(held.repartition(3)))
+    assert dealt.count() > 0 and dealt.exceptAll(want).isEmpty() and want.exceptAll(dealt).isEmpty()
+
+
+def test_undealt_observations_may_be_called_dealt(spark):
+    obs = season(spark)
+    assert sorted(map(str, cp.composites(obs, dealt=True).collect())) == sorted(map(str, cp.composites(obs).collect()))
