@@ -479,7 +479,7 @@ def held(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("made", [ft.feature_table, mt.sorted_by_self], ids=["features", "self"])
+@pytest.mark.parametrize("made", [ft.feature_table, mt.sorted_by_self, lambda c: mt.metric_long(c, "temp_median")], ids=["features", "self", "temp"])
 def test_composites_of_dealt_observations_need_no_exchange(spark, held, made):
     """From held observations to features there is no exchange by pixel, and the values are those of undealt ones."""
     dealt = made(cp.composites(held, dealt=True))
