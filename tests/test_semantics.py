@@ -469,6 +469,13 @@ def exchanges_by_pixel(df):
     return [x for x in plan if "Exchange hashpartitioning" in x and "pixel" in x and "REPARTITION_BY_COL" not in x]
 
 
+def test_line_items_are_dealt_as_they_are(spark):
+    """No aggregate stands below the exchange of observations: no task of the scan holds states of its pixels and dates."""
+    plan = ad.observations(spark, SF.replace("0.001", "0.01"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("HashAggregate") < plan.index("Exchange hashpartitioning")  # the plan is printed from the top
+    assert len([x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "rank" in x]) == 0
+
+
 @pytest.fixture
 def held(spark):
     """Observations of the adapter, held as the registered queries hold them; joins are not made small by statistics."""
