@@ -484,6 +484,7 @@ def held(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield obs
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    obs.unpersist()
 
 
 @pytest.mark.parametrize("made", [ft.feature_table, mt.sorted_by_self, lambda c: mt.metric_long(c, "temp_median")], ids=["features", "self", "temp"])
