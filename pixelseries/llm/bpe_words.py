@@ -41,6 +41,8 @@ from .common import is_scan, staged, unused, whole_text
 
 #: Bytes of text in a block, about; what a Python worker holds grows with this alone.
 BLOCK_BYTES = 32_000_000
+#: Bytes of text that are split at a time, about: what splitting takes beside a block's words and places grows with this.
+SPLIT_BYTES = 4_000_000
 #: Buckets of the distinct-word table; a worker holds the distinct words of one at a time.
 BUCKETS = 4096
 #: Word positions in each batch that a worker hands back, about.
@@ -78,6 +80,7 @@ def cut_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[i
 
     def cut(count: int) -> tuple[int, pa.Table]:
         whole = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
         # The place in the input keeps blocks of equal rows apart, so that no block is hot.
         digest = xxhash.xxh64(f"{whole.columns[-2][0]} {count} {whole.num_rows}")
         text = whole.columns[-1].chunk(0)
@@ -101,17 +104,24 @@ def cut_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[i
             start, base = end, int(sizes[end - 1])
             if size >= most:
                 yield cut(count)
-                held, size, count = [], 0, count + 1
+                size, count = 0, count + 1
     if held:
         yield cut(count)
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
     """The number of words of each text, and all words in order, as places in the array of distinct ones."""
-    bare = pc.ascii_trim_whitespace(texts)
-    lists = pc.ascii_split_whitespace(pc.if_else(pc.equal(bare, ""), pa.scalar(None, texts.type), bare))
-    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    return counts.astype(np.int64), lists.flatten().dictionary_encode()
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    counts, parts, start = [np.empty(0, np.int64)], [], 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + SPLIT_BYTES, "right")))
+        bare = pc.ascii_trim_whitespace(texts.slice(start, end - start))
+        lists = pc.ascii_split_whitespace(pc.if_else(pc.equal(bare, ""), pa.scalar(None, texts.type), bare))
+        counts.append(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        parts.append(lists.flatten().dictionary_encode())
+        start = end
+    words = pa.chunked_array(parts, pa.dictionary(pa.int32(), texts.type)).unify_dictionaries()
+    return np.concatenate(counts), words.combine_chunks()
 
 
 def dealt(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -121,6 +131,18 @@ def dealt(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return order, bucket[order]
 
 
+def _thrifty(run):
+    """``run``; memory that a batch has needed goes back before the next, and before the worker waits for other tasks, as Spark keeps it."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made in run(batches):
+            yield made
+            pa.default_memory_pool().release_unused()
+        pa.default_memory_pool().release_unused()
+
+    return wrapped
+
+
 def _named_words(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The distinct words of each block and bucket, joined by spaces."""
@@ -132,9 +154,10 @@ def _named_words(most: int):
             heads = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             lists = pa.ListArray.from_arrays(pa.array(np.r_[heads, len(order)].astype(np.int32)), words.take(pa.array(order)))
             columns = [pa.array(bucket[heads]), pa.array(np.full(len(heads), name)), pc.binary_join(lists, " ")]
+            del rows, words, lists
             yield pa.record_batch(columns, ["bucket", "block", "words"])
 
-    return run
+    return _thrifty(run)
 
 
 def _packed(most: int):
@@ -166,9 +189,10 @@ def _packed(most: int):
                 "codes": pa.array([press.compress(planes)], pa.binary()),
                 "at": pa.array([press.compress(sent[by_rank].astype("<u4"))], pa.binary()),
             }
+            del rows, kept, words, codes, planes
             yield pa.record_batch(columns)
 
-    return run
+    return _thrifty(run)
 
 
 def _encoded(path: str):
@@ -194,7 +218,7 @@ def _encoded(path: str):
             columns = {"block": batch["block"], "bucket": batch["bucket"], "sizes": pa.array(sizes, pa.binary()), "ids": pa.array(ids, pa.binary())}
             yield pa.record_batch(columns)
 
-    return run
+    return _thrifty(run)
 
 
 def _joined(path: str, out_schema: pa.Schema):
@@ -209,7 +233,7 @@ def _joined(path: str, out_schema: pa.Schema):
             raise ValueError("a block did not find its words: the input came in another order on its second reading")
         first = (np.cumsum(size) - size)[to]
         size = size[to]
-        code = np.frombuffer(np.ascontiguousarray(np.frombuffer(unpress(codes), np.uint8).reshape(4, -1).T).tobytes(), "<u4")
+        code = np.ascontiguousarray(np.frombuffer(unpress(codes), np.uint8).reshape(4, -1).T).view("<u4").ravel()
         kept = pa.ipc.open_stream(rows).read_all().combine_chunks()
         ends = np.cumsum(kept.columns[-1].to_numpy())
         kept, start, word = kept.remove_column(kept.num_columns - 1), 0, 0
@@ -239,7 +263,7 @@ def _joined(path: str, out_schema: pa.Schema):
                 else:
                     yield from texts(answers, rows, ids, at)
 
-    return run
+    return _thrifty(run)
 
 
 def encode_decode(

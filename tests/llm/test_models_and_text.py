@@ -2,11 +2,14 @@
 
 import hashlib
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -63,6 +66,54 @@ def test_bpe_of_an_input_that_is_no_scan(spark):
     assert got == {k: (made.encode(t, add_special_tokens=False).ids, f"s{k % 2}", "en", None) for k, t in enumerate(texts)}
 
 
+HELD = """
+import re
+import numpy as np, pyarrow as pa
+from pixelseries.llm import bpe_words as bw
+
+def held():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) >> 10
+
+def rows():
+    for k in range(16):
+        words = np.random.default_rng(k).integers(0, 10**6, 600_000).astype(str).reshape(600, 1000)
+        texts = pa.array([" ".join(w) for w in words])
+        yield pa.record_batch([pa.array(np.arange(600)), pa.array(np.zeros(600, np.int32)), texts], ["doc_id", "_place", "_text"])
+
+for run in (bw._named_words, bw._packed):
+    for made in run(bw.BLOCK_BYTES)(rows()):
+        pass
+    del made
+    print(held())
+"""
+
+
+def test_bpe_workers_give_memory_back():
+    """Spark keeps a worker that has split blocks of 32 MB for other tasks; it then holds little."""
+    out = subprocess.run([sys.executable, "-c", HELD], capture_output=True, text=True, check=True).stdout
+    assert max(map(int, out.split())) < 200
+
+
+SPLIT = """
+import pyarrow as pa
+from pixelseries.llm import bpe_words as bw
+
+texts = pa.array([f" {k % 999} b{k % 77}\\t\\n" * 50 for k in range(60_000)])
+counts, words = bw.split_words(texts)
+print(pa.default_memory_pool().max_memory(), 3 * texts.nbytes + words.nbytes)
+"""
+
+
+def test_bpe_splits_in_slices():
+    """What splitting takes beside its result is that of slices, not of all texts; counts and words are those of Python."""
+    most, bound = map(int, subprocess.run([sys.executable, "-c", SPLIT], capture_output=True, text=True, check=True).stdout.split())
+    assert most < bound
+    texts = [" a b\t\n"] * 5 + ["", " \n", "x" * bw.SPLIT_BYTES, "y a"] * 2
+    counts, words = bw.split_words(pa.array(texts))
+    assert counts.tolist() == [len(t.split()) for t in texts] and words.to_pylist() == [w for t in texts for w in t.split()]
+    assert bw.split_words(pa.array([], pa.string()))[0].tolist() == []
+
+
 def test_bpe_query(spark, table):
     made = Tokenizer.from_file(PATH)
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
