@@ -32,6 +32,15 @@ def spark():
     yield session
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_held_tables():
+    """Tables that one module's queries hold are not those of the next module's plans."""
+    yield
+    from pixelseries.sources import adapter
+
+    adapter.release()
+
+
 @pytest.fixture(scope="session")
 def sql():
     """Runs DuckDB SQL over the tables of the small scale."""
