@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelseries.functions import pixel as px
-from pixelseries.operators.catalog import WHOLE, calendar, date_bits, on_calendar
-from pixelseries.sources.adapter import ALL_BANDS, DATES, FILL, PIXEL
+from pixelseries.operators.catalog import WHOLE, calendar, calendar_day, date_bits, on_calendar
+from pixelseries.sources.adapter import ALL_BANDS, DATES, FILL, PIXEL, season_columns
 from pixelseries.sources import tilestore
-from pixelseries.sources.storage import replace_partitions, staged
-from pixelseries.sources.tilestore import FILE_PIXELS, TILE_YEAR
+from pixelseries.sources.storage import bounded, replace_partitions, staged
+from pixelseries.sources.tilestore import FILE_PIXELS, MAX_BROADCAST_ENTRIES, TILE_YEAR
 
 #: The layer name of whole band tables in a store.
 BANDS_LAYER = "bands"
@@ -103,11 +103,23 @@ def tile_calendar(obs: DataFrame) -> DataFrame:
     return calendar(complete_tile_years(obs), TILE_YEAR).select(*TILE_YEAR, "day", "idx")
 
 
-def dense_grid(obs: DataFrame) -> DataFrame:
-    """Every pixel of a complete tile-year has all 23 dates; an absent observation is a row of nulls."""
-    pixels = obs.select(*PIXEL).distinct()
-    grid = pixels.join(tile_calendar(obs), TILE_YEAR)
-    return grid.join(obs.drop("idx"), [*PIXEL, "day"], "left")
+def dense_grid(obs: DataFrame, whole: DataFrame | None = None) -> DataFrame:
+    """Every pixel of a complete tile-year has all 23 dates; an absent observation is a row of nulls.
+
+    Observations stay as they are. One aggregate by pixel finds a pixel's dates as bits, and those that are not set get rows of their
+    own: no grid is made to be joined, and of observations that are dealt by pixel there is no exchange. ``whole`` are the complete tile-years, if known;
+    else they are found and written once, as both sides read them.
+    """
+    whole = bounded(staged(complete_tile_years(obs), "whole") if whole is None else whole.select(*TILE_YEAR), MAX_BROADCAST_ENTRIES)
+    day, year = F.col("day"), F.col("season_year")
+    idx = season_columns(F.expr("day div 1000"), day % 1000)["idx"]
+    rows = obs.join(whole, TILE_YEAR, "left_semi").withColumn("idx", idx)
+    pixels = rows.groupBy(*PIXEL).agg(date_bits(day, year, F.col("idx")).alias("bits"))
+    dates = F.sequence(F.lit(0), F.lit(DATES - 1))
+    gone = pixels.select(*PIXEL, F.explode(F.filter(dates, lambda i: F.getbit("bits", i) == 0)).alias("idx"))
+    layers = [c for c in obs.columns if c not in (*PIXEL, "day", "idx")]
+    empty = gone.select(*PIXEL, calendar_day(year, F.col("idx")).alias("day"), "idx", *[F.lit(None).cast(obs.schema[c].dataType).alias(c) for c in layers])
+    return rows.filter(on_calendar(day, year, F.col("idx"))).select(*PIXEL, "day", "idx", *layers).unionByName(empty)
 
 
 def cleaned_rows(obs: DataFrame, apply_qa: bool = True, missing_zenith_passes: bool = True) -> DataFrame:
@@ -121,9 +133,9 @@ def cleaned_rows(obs: DataFrame, apply_qa: bool = True, missing_zenith_passes: b
     return normalized(obs).select(*PIXEL, "day", "idx", *[value(b).cast("int").alias(b) for b in ALL_BANDS])
 
 
-def clean(obs: DataFrame, apply_qa: bool = True) -> DataFrame:
-    """The dense grid of cleaned observations."""
-    return cleaned_rows(dense_grid(obs), apply_qa)
+def clean(obs: DataFrame, apply_qa: bool = True, whole: DataFrame | None = None) -> DataFrame:
+    """The dense grid of cleaned observations; ``whole`` is that of ``dense_grid``."""
+    return cleaned_rows(dense_grid(obs, whole), apply_qa)
 
 
 def write_bands(df: DataFrame, path: str) -> None:
@@ -146,7 +158,7 @@ def collate_batch(obs: DataFrame, path: str, apply_qa: bool = True) -> DataFrame
     complete = dates.filter(F.col("bits") == WHOLE)
     before = staged(tilestore.entries(obs.sparkSession, path).select(*TILE_YEAR, F.lit(True).alias("_there")), "entries")
     todo = tilestore.pending(complete, path, [BANDS_LAYER])
-    tilestore.put(clean(tilestore.only(obs, todo), apply_qa), path, constant=BANDS_LAYER, inputs=todo.drop("layer"))
+    tilestore.put(clean(obs, apply_qa, whole=todo), path, constant=BANDS_LAYER, inputs=todo.drop("layer"))
     status = F.when(F.col("bits") != WHOLE, "incomplete").when(F.col("_todo").isNull(), "stored").when(F.col("_there"), "redone").otherwise("written")
     marked = dates.join(before, TILE_YEAR, "left").join(todo.select(*TILE_YEAR, F.lit(True).alias("_todo")), TILE_YEAR, "left")
     return marked.select(*TILE_YEAR, "dates", "off_calendar", status.alias("status"))

@@ -499,3 +499,24 @@ def test_composites_of_dealt_observations_need_no_exchange(spark, held, made):
 def test_undealt_observations_may_be_called_dealt(spark):
     obs = season(spark)
     assert sorted(map(str, cp.composites(obs, dealt=True).collect())) == sorted(map(str, cp.composites(obs).collect()))
+
+
+def test_dense_grid_of_held_observations_is_joined_with_nothing_by_pixel(spark, held):
+    """Rows of missing dates come from bits of each pixel: no exchange, sort or join of a grid, and the rows are those of undealt observations."""
+    dense = bd.clean(held)
+    plan = dense._jdf.queryExecution().executedPlan().toString()
+    assert exchanges_by_pixel(dense) == [] and "SortMergeJoin" not in plan and "Sort [" not in plan
+    want = bd.clean(held.repartition(3))
+    assert dense.count() > 0 and dense.exceptAll(want).isEmpty() and want.exceptAll(dense).isEmpty()
+    assert {r["count"] for r in dense.groupBy(*PIXEL).count().collect()} == {ad.DATES}
+
+
+def test_dense_grid_fills_what_is_missing_and_keeps_the_rest(spark):
+    """Pixels without a date, without any date of the calendar, and with an index that does not fit their day."""
+    obs = season(spark, skip=(0, 7, 22))
+    off = obs.filter("pixel = 2 AND idx = 4").withColumns({"pixel": F.lit(3).cast("long"), "day": F.col("day") + 1})
+    shifted = obs.filter("pixel = 2").withColumns({"pixel": F.lit(4).cast("long"), "idx": F.lit(0)})
+    rows = bd.dense_grid(obs.unionByName(off).unionByName(shifted)).collect()
+    at = lambda p, value: {r["idx"] for r in rows if r["pixel"] == p and r["day"] == days()[r["idx"]] and (r["b1"] is not None) == value}
+    assert len(rows) == 4 * 23 and at(1, False) == {0, 7, 22} and len(at(1, True)) == 20
+    assert len(at(2, True)) == 23 and len(at(3, False)) == 23 and len(at(4, True)) == 23
